@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hitparade.operators import ingest, quality
 from hitparade.operators import star as star_ops
 from hitparade.plans import reports
 from hitparade.sources import landing
@@ -21,6 +22,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # The snapshot used by the single-date reports (a ship month present at every
 # scale factor).
 REPORT_SNAPSHOT = "1998-03-01"
+# A snapshot no scale factor has, for the failing freshness case.
+ABSENT_SNAPSHOT = "2030-01-01"
 
 
 def _star(spark: SparkSession, sf_dir: str) -> star_ops.Star:
@@ -68,8 +71,106 @@ def q_star_view(spark, sf_dir):
     return star_ops.star_view(_star(spark, sf_dir))
 
 
+def q_single_snapshot_gate(spark, sf_dir):
+    return star_ops.snapshot_span(_star(spark, sf_dir).fait_popularite)
+
+
+# quality rules; the faults are the ones FIXTURES lists, so each rule has
+# something to find on the generated data
+def q_dq_unicite(spark, sf_dir):
+    # uniqueness of the fact built from chart rows *before* dedup
+    return quality.check_unicite(star_ops.build_fait_popularite(landing.chart_tracks(spark, sf_dir)))
+
+
+def q_dq_completude(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.check_completude(s.fait_popularite).unionByName(
+        quality.check_completude(s.dim_titre, column="bpm")
+    )
+
+
+def q_dq_validite(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.check_validite(s.fait_popularite, s.dim_titre, bpm_range=(0.0, 150.0))
+
+
+def q_dq_coherence(spark, sf_dir):
+    # dimension built from artist lookups that pass validity (fans >= 0)
+    titres = landing.first_seen_titles(spark, sf_dir)
+    enriched = ingest.enrich_artists(titres, landing.valid_artist_records(spark, sf_dir))
+    artistes = enriched.where("resolved").select("id", "name", "nb_fan", "nb_album", enriched.date_snapshot.alias("date"))
+    fait = star_ops.build_fait_popularite(titres)
+    return quality.check_coherence(fait, star_ops.build_dim_artiste(artistes))
+
+
+def q_dq_fraicheur(spark, sf_dir):
+    fait = _star(spark, sf_dir).fait_popularite
+    return quality.check_fraicheur(fait, REPORT_SNAPSHOT).unionByName(quality.check_fraicheur(fait, ABSENT_SNAPSHOT))
+
+
+def q_dq_report(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.quality_report(s.fait_popularite, s.dim_titre, s.dim_artiste, date_attendue=REPORT_SNAPSHOT)
+
+
+# ingest
+def q_genre_exclude_all(spark, sf_dir):
+    return ingest.chart_sizes_by_genre(landing.genre_records(spark, sf_dir), landing.chart_entries(spark, sf_dir))
+
+
+def q_envelope_reject(spark, sf_dir):
+    _, rejected = ingest.split_envelopes(landing.response_bodies(spark, sf_dir))
+    return rejected
+
+
+def q_chart_page_cap(spark, sf_dir):
+    return ingest.paginate_chart(landing.chart_tracks(spark, sf_dir))
+
+
+def q_track_flatten(spark, sf_dir):
+    return ingest.read_chart_pages(landing.chart_pages(spark, sf_dir))
+
+
+def q_required_fields(spark, sf_dir):
+    return ingest.required_field_report(landing.chart_tracks(spark, sf_dir))
+
+
+def q_artist_enrich(spark, sf_dir):
+    return ingest.enrich_artists(landing.first_seen_titles(spark, sf_dir), landing.artist_records(spark, sf_dir))
+
+
+def q_distinct_artists(spark, sf_dir):
+    return ingest.distinct_artists(landing.first_seen_titles(spark, sf_dir))
+
+
+def q_genre_yield(spark, sf_dir):
+    entries = landing.chart_entries(spark, sf_dir)
+    return ingest.genre_yield(entries, ingest.first_seen(entries))
+
+
+def q_extract_summary(spark, sf_dir):
+    titres, artistes = landing.staging(spark, sf_dir)
+    return ingest.extract_summary(landing.chart_entries(spark, sf_dir), titres, artistes)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+        "single_snapshot_gate": q_single_snapshot_gate,
+        "dq_unicite": q_dq_unicite,
+        "dq_completude": q_dq_completude,
+        "dq_validite": q_dq_validite,
+        "dq_coherence": q_dq_coherence,
+        "dq_fraicheur": q_dq_fraicheur,
+        "dq_report": q_dq_report,
+        "genre_exclude_all": q_genre_exclude_all,
+        "envelope_reject": q_envelope_reject,
+        "chart_page_cap": q_chart_page_cap,
+        "track_flatten": q_track_flatten,
+        "required_fields": q_required_fields,
+        "artist_enrich": q_artist_enrich,
+        "distinct_artists": q_distinct_artists,
+        "genre_yield": q_genre_yield,
+        "extract_summary": q_extract_summary,
         "first_seen_dedup": q_first_seen_dedup,
         "dim_titre": q_dim_titre,
         "dim_artiste": q_dim_artiste,
@@ -102,6 +203,14 @@ WITH entries AS (
            CAST(floor(l_extendedprice) AS BIGINT) AS rank,
            l_returnflag = 'R' AS explicit_lyrics
     FROM lineitem
+), chart AS (
+    SELECT e.id, t.title, t.duration, e.rank, t.bpm, t.gain, e.explicit_lyrics,
+           e.artist_id, e.genre_id, e.date_snapshot, e.position
+    FROM entries e LEFT JOIN (
+        SELECT p_partkey AS id, p_name AS title, p_size AS duration,
+               CASE WHEN p_size % 5 = 0 THEN CAST(p_size * 6 AS DOUBLE) END AS bpm,
+               p_retailprice AS gain
+        FROM part) t ON t.id = e.id
 ), titles AS (
     SELECT p_partkey AS id, p_name AS title, p_size AS duration,
            CASE WHEN p_size % 5 = 0 THEN CAST(p_size * 6 AS DOUBLE) END AS bpm,
@@ -110,7 +219,8 @@ WITH entries AS (
 ), kept AS (
     SELECT * FROM entries
     QUALIFY row_number() OVER (PARTITION BY date_snapshot, id
-                               ORDER BY genre_id, position, artist_id, rank) = 1
+                               ORDER BY genre_id NULLS FIRST, position NULLS FIRST,
+                                        artist_id NULLS FIRST, rank NULLS FIRST) = 1
 ), titres AS (
     SELECT k.id, t.title, t.duration, k.rank, t.bpm, t.gain, k.explicit_lyrics,
            k.artist_id, k.genre_id, k.date_snapshot
@@ -132,6 +242,22 @@ WITH entries AS (
     FROM titres
 ), dim_artiste AS (
     SELECT id AS id_artiste, name AS nom, nb_fan, nb_album, "date" FROM artistes
+), artists AS (
+    SELECT s_suppkey AS id, s_name AS name, CAST(floor(s_acctbal * 100) AS BIGINT) AS nb_fan,
+           CAST(s_nationkey AS BIGINT) AS nb_album
+    FROM supplier
+), paged AS (
+    SELECT * EXCLUDE (rn, chart_len),
+           CAST((rn - 1) // 100 AS INTEGER) AS page_no,
+           CAST((rn - 1) % 100 AS INTEGER) AS page_pos,
+           chart_len > ((rn - 1) // 100 + 1) * 100 AS has_next
+    FROM (SELECT *,
+                 row_number() OVER (PARTITION BY date_snapshot, genre_id
+                                    ORDER BY position NULLS FIRST, id NULLS FIRST, artist_id NULLS FIRST,
+                                             rank NULLS FIRST, explicit_lyrics NULLS FIRST) AS rn,
+                 count(*) OVER (PARTITION BY date_snapshot, genre_id) AS chart_len
+          FROM chart)
+    WHERE rn <= 200
 ), dim_date AS (
     SELECT CAST(d AS DATE) AS "date",
            CAST(dayofmonth(CAST(d AS DATE)) AS INTEGER) AS jour,
@@ -207,8 +333,142 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN dim_date dd ON CAST(dd."date" AS VARCHAR) = fp."date"
         """,
     }
+    body.update(_ingest_sql())
+    body.update(_quality_sql())
     for key, sql in _report_sql(REPORT_SNAPSHOT).items():
         body[key] = sql
     for key, sql in _report_sql(None).items():
         body[f"{key}_history"] = sql
     return {k: _BASE + v for k, v in body.items()}
+
+
+def _rule(name: str, violations: str, observed: str, threshold: str, passed: str) -> str:
+    return (
+        f"SELECT '{name}' AS rule, CAST({violations} AS BIGINT) AS violations, "
+        f"CAST({observed} AS DOUBLE) AS observed, CAST({threshold} AS DOUBLE) AS threshold, "
+        f"({passed}) AS passed"
+    )
+
+
+def _zero(name: str, v: str, threshold: str = "0.0") -> str:
+    return _rule(name, v, v, threshold, f"{v} = 0")
+
+
+def _completude(name: str, table: str, column: str) -> str:
+    present = f"{column} IS NOT NULL AND NOT isnan(CAST({column} AS DOUBLE))"
+    return _rule(
+        name, "n - ok", "CASE WHEN n > 0 THEN ok / n END", "0.98", "n > 0 AND COALESCE(ok / n > 0.98, FALSE)"
+    ) + f" FROM (SELECT COUNT(*) AS n, COUNT_IF({present}) AS ok FROM {table})"
+
+
+def _validite(bpm_high: float) -> str:
+    bad_bpm = f"bpm IS NOT NULL AND NOT isnan(bpm) AND (bpm < 0 OR bpm > {bpm_high})"
+    return f"""
+        {_zero("validite_score", "s")}
+        FROM (SELECT COUNT_IF(score_popularite IS NOT NULL AND score_popularite < 0) AS s FROM fait_popularite)
+        UNION ALL {_zero("validite_duree", "d")}
+        FROM (SELECT COUNT_IF(duree <= 0) AS d FROM dim_titre)
+        UNION ALL {_zero("validite_bpm", "b", str(bpm_high))}
+        FROM (SELECT COUNT_IF({bad_bpm}) AS b FROM dim_titre)"""
+
+
+def _unicite(table: str) -> str:
+    return f"""{_zero("unicite", "d")}
+        FROM (SELECT COALESCE(SUM(n - 1), 0) AS d
+              FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY id_titre, date_snapshot))"""
+
+
+def _coherence(dim: str) -> str:
+    return f"""{_zero("coherence", "o")}
+        FROM (SELECT COALESCE(COUNT(*), 0) AS o FROM fait_popularite fp
+              WHERE NOT EXISTS (SELECT 1 FROM {dim} da
+                                WHERE da.id_artiste IS NOT DISTINCT FROM fp.id_artiste
+                                  AND da."date" = fp."date"))"""
+
+
+def _fraicheur(d: str) -> str:
+    return _rule("fraicheur", "CASE WHEN f > 0 THEN 0 ELSE 1 END", "f", "NULL", "f > 0") + (
+        f" FROM (SELECT COUNT_IF(date_snapshot = '{d}') AS f FROM fait_popularite)"
+    )
+
+
+def _quality_sql() -> dict[str, str]:
+    return {
+        "single_snapshot_gate": """
+            SELECT COUNT(DISTINCT date_snapshot) AS n_snapshots, MIN(date_snapshot) AS first_snapshot,
+                   MAX(date_snapshot) AS last_snapshot
+            FROM fait_popularite""",
+        "dq_unicite": ", chart_fait AS (SELECT id AS id_titre, date_snapshot FROM chart) " + _unicite("chart_fait"),
+        "dq_completude": _completude("completude", "fait_popularite", "score_popularite")
+        + " UNION ALL "
+        + _completude("completude_bpm", "dim_titre", "bpm"),
+        "dq_validite": _validite(150.0),
+        "dq_coherence": """, valid_dim AS (
+                SELECT d.artist_id AS id_artiste, d.date_snapshot AS "date"
+                FROM (SELECT DISTINCT date_snapshot, artist_id FROM titres) d
+                JOIN artists a ON a.id = d.artist_id
+                WHERE a.nb_fan IS NULL OR a.nb_fan >= 0)
+            """
+        + _coherence("valid_dim"),
+        "dq_fraicheur": _fraicheur(REPORT_SNAPSHOT) + " UNION ALL " + _fraicheur(ABSENT_SNAPSHOT),
+        "dq_report": " UNION ALL ".join(
+            [
+                _unicite("fait_popularite"),
+                _completude("completude", "fait_popularite", "score_popularite"),
+                _validite(300.0),
+                _coherence("dim_artiste"),
+                _fraicheur(REPORT_SNAPSHOT),
+            ]
+        ),
+    }
+
+
+def _ingest_sql() -> dict[str, str]:
+    track_cols = "id, title, duration, rank, bpm, gain, explicit_lyrics, artist_id, genre_id"
+    return {
+        "genre_exclude_all": """
+            SELECT g.id, g.name, CAST(COALESCE(c.n, 0) AS BIGINT) AS n_entries
+            FROM (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation
+                  WHERE n_nationkey IS DISTINCT FROM 0) g
+            LEFT JOIN (SELECT genre_id, COUNT(*) AS n FROM entries GROUP BY genre_id) c
+                   ON c.genre_id = g.id""",
+        "envelope_reject": """
+            , bodies AS (
+                SELECT event_id, event_type,
+                       CASE WHEN event_type = 'error' THEN '{"error": ' || props || '}' ELSE props END AS body
+                FROM events)
+            SELECT event_id, event_type, body, CAST(json_extract(body, '$.error') AS VARCHAR) AS error
+            FROM bodies
+            WHERE CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT'
+                       THEN list_contains(json_keys(body), 'error') ELSE FALSE END""",
+        "chart_page_cap": "SELECT * FROM paged",
+        "track_flatten": f"SELECT date_snapshot, {track_cols}, page_no, page_pos FROM paged",
+        "required_fields": """
+            SELECT COUNT(*) AS n_tracks, COUNT_IF(id IS NULL) AS missing_id,
+                   COUNT_IF(title IS NULL) AS missing_title, COUNT_IF(duration IS NULL) AS missing_duration,
+                   COUNT_IF(rank IS NULL) AS missing_rank, COUNT_IF(artist_id IS NULL) AS missing_artist_id,
+                   COUNT_IF(id IS NULL OR title IS NULL OR duration IS NULL OR rank IS NULL
+                            OR artist_id IS NULL) AS n_rejected
+            FROM chart""",
+        "artist_enrich": """
+            SELECT d.date_snapshot, d.artist_id AS id, a.name, a.nb_fan, a.nb_album,
+                   a.id IS NOT NULL AS resolved
+            FROM (SELECT DISTINCT date_snapshot, artist_id FROM titres) d
+            LEFT JOIN artists a ON a.id = d.artist_id""",
+        "distinct_artists": "SELECT DISTINCT date_snapshot, artist_id FROM titres",
+        "genre_yield": """
+            SELECT r.date_snapshot, r.genre_id, r.n_received, CAST(COALESCE(k.n_new, 0) AS BIGINT) AS n_new
+            FROM (SELECT date_snapshot, genre_id, COUNT(*) AS n_received FROM entries GROUP BY ALL) r
+            LEFT JOIN (SELECT date_snapshot, genre_id, COUNT(*) AS n_new FROM kept GROUP BY ALL) k
+                   ON k.date_snapshot = r.date_snapshot AND k.genre_id = r.genre_id""",
+        "extract_summary": """
+            SELECT COALESCE(g.date_snapshot, t.date_snapshot, a.date_snapshot) AS date_snapshot,
+                   CAST(COALESCE(g.n, 0) AS BIGINT) AS n_genres,
+                   CAST(COALESCE(t.n, 0) AS BIGINT) AS n_tracks,
+                   CAST(COALESCE(a.n, 0) AS BIGINT) AS n_artists
+            FROM (SELECT date_snapshot, COUNT(DISTINCT genre_id) AS n FROM entries GROUP BY ALL) g
+            FULL JOIN (SELECT date_snapshot, COUNT(*) AS n FROM titres GROUP BY ALL) t
+                   ON t.date_snapshot = g.date_snapshot
+            FULL JOIN (SELECT "date" AS date_snapshot, COUNT(*) AS n FROM artistes GROUP BY ALL) a
+                   ON a.date_snapshot = COALESCE(g.date_snapshot, t.date_snapshot)""",
+    }

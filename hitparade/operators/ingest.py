@@ -97,7 +97,7 @@ def paginate_chart(
     page_size: int = CHART_PAGE_SIZE,
     max_pages: int = MAX_CHART_PAGES,
     keys: Sequence[str] = ("date_snapshot", "genre_id"),
-    order: Sequence[str] = ("position", "id", "artist_id", "rank"),
+    order: Sequence[str] = ("position", "id", "artist_id", "rank", "explicit_lyrics"),
 ) -> DataFrame:
     """Chart entries → the first ``max_pages`` pages of each chart.
 
@@ -121,16 +121,21 @@ def paginate_chart(
     )
 
 
-def stop_after_last_page(pages: DataFrame, max_pages: int = MAX_CHART_PAGES) -> DataFrame:
-    """Landed pages → pages that the walk actually reads.
+def parse_chart_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
+    """Add ``doc`` = the parsed ``{data, next}`` body of each landed page."""
+    return pages.withColumn("doc", F.from_json(F.col(body_col), schemas.CHART_PAGE))
 
-    ``pages`` has (date_snapshot, genre_id, page_no, next, ...): keep page
-    numbers below ``max_pages`` and not after the first page whose ``next`` is
-    null. Computed as a per-chart aggregate joined back, so no chart is sorted.
+
+def stop_after_last_page(parsed: DataFrame, max_pages: int = MAX_CHART_PAGES) -> DataFrame:
+    """Parsed pages → the pages the chart walk actually reads.
+
+    Keep page numbers below ``max_pages`` and none after the first page whose
+    ``next`` is absent. Computed as a per-chart aggregate joined back, so no
+    chart is sorted as a whole.
     """
-    capped = pages.where(F.col("page_no") < max_pages)
+    capped = parsed.where(F.col("page_no") < max_pages)
     last = capped.groupBy("date_snapshot", "genre_id").agg(
-        F.min(F.when(F.col("next").isNull(), F.col("page_no"))).alias("_last_page")
+        F.min(F.when(F.col("doc.next").isNull(), F.col("page_no"))).alias("_last_page")
     )
     return (
         capped.join(last, ["date_snapshot", "genre_id"])
@@ -139,20 +144,19 @@ def stop_after_last_page(pages: DataFrame, max_pages: int = MAX_CHART_PAGES) ->
     )
 
 
-def flatten_chart_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
-    """Parsed chart-page bodies → one track record per chart entry.
+def flatten_chart_pages(parsed: DataFrame) -> DataFrame:
+    """Parsed chart pages → one track record per chart entry.
 
-    Flattens ``artist.id`` to ``artist_id``, stamps the page's ``genre_id``
-    and a chart ``position`` (page_no * page width + index in page).
-    Optional fields absent from the body are null. A missing ``data`` key is an
-    empty page.
+    Flattens ``artist.id`` to ``artist_id``, stamps the page's ``genre_id``,
+    keeps ``page_no`` and the index in the page (``page_pos``). Optional
+    fields absent from the body are null; a missing ``data`` key is an empty
+    page.
     """
-    doc = F.from_json(F.col(body_col), schemas.CHART_PAGE)
-    exploded = pages.select(
+    exploded = parsed.select(
         "date_snapshot",
         "genre_id",
         "page_no",
-        F.posexplode(F.coalesce(doc.getField("data"), F.array())).alias("page_pos", "t"),
+        F.posexplode(F.coalesce(F.col("doc.data"), F.array())).alias("page_pos", "t"),
     )
     return exploded.select(
         "date_snapshot",
@@ -165,8 +169,47 @@ def flatten_chart_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
         F.col("t.explicit_lyrics").alias("explicit_lyrics"),
         F.col("t.artist.id").alias("artist_id"),
         F.col("genre_id").cast("long").alias("genre_id"),
-        "page_no",
-        "page_pos",
+        F.col("page_no").cast("int").alias("page_no"),
+        F.col("page_pos").cast("int").alias("page_pos"),
+    )
+
+
+def read_chart_pages(pages: DataFrame, max_pages: int = MAX_CHART_PAGES) -> DataFrame:
+    """Landed chart pages (date_snapshot, genre_id, page_no, body) → tracks,
+    following the page cap and the early stop."""
+    return flatten_chart_pages(stop_after_last_page(parse_chart_pages(pages), max_pages))
+
+
+def page_bodies(paged: DataFrame, page_size: int = CHART_PAGE_SIZE) -> DataFrame:
+    """Paged chart rows (from :func:`paginate_chart`) → one landed JSON body per
+    page, ``{data: [track...], next: url}``, tracks in page order with the
+    artist nested as in the API. A page holds at most ``page_size`` rows, so
+    the collect per group is bounded.
+    """
+    track = F.struct(
+        "id", "title", "duration", "rank", "bpm", "gain", "explicit_lyrics", F.struct(F.col("artist_id").alias("id")).alias("artist")
+    )
+    grouped = paged.groupBy("date_snapshot", "genre_id", "page_no").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("page_pos"), track.alias("t")))).alias("_rows"),
+        F.max("has_next").alias("_has_next"),
+    )
+    next_url = F.when(
+        F.col("_has_next"),
+        F.format_string("chart/%d/tracks?index=%d", F.col("genre_id"), (F.col("page_no") + 1) * page_size),
+    )
+    body = F.to_json(F.struct(F.transform("_rows", lambda r: r["t"]).alias("data"), next_url.alias("next")))
+    return grouped.select("date_snapshot", "genre_id", "page_no", body.alias("body"))
+
+
+def chart_sizes_by_genre(genres: DataFrame, entries: DataFrame) -> DataFrame:
+    """The genre walk: every genre of the list except the pseudo-genre, with
+    the number of chart entries it contributed (0 when none). The genre list
+    is the small side of the join; entries are counted per genre first."""
+    sizes = entries.groupBy("genre_id").agg(F.count(F.lit(1)).alias("n_entries"))
+    return (
+        exclude_all_genres(genres)
+        .join(sizes, F.col("id") == F.col("genre_id"), "left")
+        .select("id", "name", F.coalesce("n_entries", F.lit(0)).cast("long").alias("n_entries"))
     )
 
 
@@ -204,14 +247,16 @@ def enrich_artists(titres: DataFrame, artist_records: DataFrame) -> DataFrame:
     used by a title are looked up (the distinct prunes the rest).
     """
     ids = distinct_artists(titres)
-    lookups = artist_records.select(F.col("id").alias("artist_id"), "name", "nb_fan", "nb_album")
+    lookups = artist_records.select(
+        F.col("id").alias("artist_id"), "name", "nb_fan", "nb_album", F.lit(True).alias("_found")
+    )
     return ids.join(lookups, "artist_id", "left").select(
         "date_snapshot",
         F.col("artist_id").alias("id"),
         "name",
         "nb_fan",
         "nb_album",
-        F.col("name").isNotNull().alias("resolved"),
+        F.coalesce(F.col("_found"), F.lit(False)).alias("resolved"),
     )
 
 

@@ -34,12 +34,12 @@ COMPLETENESS_THRESHOLD = 0.98
 BPM_RANGE = (0.0, 300.0)
 UNIQUENESS_KEY = ("id_titre", "date_snapshot")
 
-REPORT_COLUMNS = ("check", "violations", "observed", "threshold", "passed")
+REPORT_COLUMNS = ("rule", "violations", "observed", "threshold", "passed")
 
 
-def _row(check: str, violations: Column, observed: Column, threshold: float | None, passed: Column) -> list[Column]:
+def _row(rule: str, violations: Column, observed: Column, threshold: float | None, passed: Column) -> list[Column]:
     return [
-        F.lit(check).alias("check"),
+        F.lit(rule).alias("rule"),
         violations.cast("long").alias("violations"),
         observed.cast("double").alias("observed"),
         F.lit(threshold).cast("double").alias("threshold"),
@@ -47,6 +47,12 @@ def _row(check: str, violations: Column, observed: Column, threshold: float | No
     ]
 
 
+def _report_rows(agg: DataFrame, rows: list[list[Column]]) -> DataFrame:
+    """Turn one aggregated row into several report rows without re-scanning:
+    the rows are built as an array of structs and exploded."""
+    return agg.select(F.explode(F.array(*[F.struct(*r) for r in rows])).alias("_r")).select("_r.*")
+
+
 def check_unicite(fait: DataFrame, key: Sequence[str] = UNIQUENESS_KEY) -> DataFrame:
     """Rows beyond the first of each key. Partial aggregation first, so a hot
     key collapses to one count per map task before the shuffle."""
@@ -55,6 +61,20 @@ def check_unicite(fait: DataFrame, key: Sequence[str] = UNIQUENESS_KEY) -> DataF
     return counts.agg(dups.alias("_d")).select(*_row("unicite", F.col("_d"), F.col("_d"), 0.0, F.col("_d") == 0))
 
 
+def _completude_row(name: str, n: Column, ok: Column, seuil: float) -> list[Column]:
+    ratio = F.when(n > 0, ok / n)
+    passed = (n > 0) & F.coalesce(ratio > F.lit(seuil), F.lit(False))
+    return _row(name, n - ok, ratio, seuil, passed)
+
+
+def _zero_row(name: str, v: Column, threshold: float | None = 0.0) -> list[Column]:
+    return _row(name, v, v, threshold, v == 0)
+
+
+def _fraicheur_row(fresh: Column) -> list[Column]:
+    return _row("fraicheur", F.when(fresh > 0, 0).otherwise(1), fresh, None, fresh > 0)
+
+
 def check_completude(
     fait: DataFrame, column: str = "score_popularite", seuil: float = COMPLETENESS_THRESHOLD
 ) -> DataFrame:
@@ -62,10 +82,19 @@ def check_completude(
     share is strictly above ``seuil``. ``observed`` is the share (null if
     empty)."""
     agg = fait.agg(F.count(F.lit(1)).alias("_n"), F.count_if(present(column)).alias("_ok"))
-    ratio = F.when(F.col("_n") > 0, F.col("_ok") / F.col("_n"))
-    passed = (F.col("_n") > 0) & F.coalesce(ratio > F.lit(seuil), F.lit(False))
     name = "completude" if column == "score_popularite" else f"completude_{column}"
-    return agg.select(*_row(name, F.col("_n") - F.col("_ok"), ratio, seuil, passed))
+    return agg.select(*_completude_row(name, F.col("_n"), F.col("_ok"), seuil))
+
+
+def _titre_profile(dim_titre: DataFrame, bpm_range: tuple[float, float]) -> DataFrame:
+    return dim_titre.agg(
+        F.count_if(F.col("duree") <= 0).alias("_d"),
+        F.count_if(out_of_range("bpm", *bpm_range)).alias("_b"),
+    )
+
+
+def _titre_rows(bpm_range: tuple[float, float]) -> list[list[Column]]:
+    return [_zero_row("validite_duree", F.col("_d")), _zero_row("validite_bpm", F.col("_b"), bpm_range[1])]
 
 
 def check_validite(
@@ -76,14 +105,8 @@ def check_validite(
     One aggregate over the fact, one over the title dimension.
     """
     f = fait.agg(F.count_if(out_of_range("score_popularite", 0, None)).alias("_s"))
-    t = dim_titre.agg(
-        F.count_if(F.col("duree") <= 0).alias("_d"),
-        F.count_if(out_of_range("bpm", *bpm_range)).alias("_b"),
-    )
-    score = f.select(*_row("validite_score", F.col("_s"), F.col("_s"), 0.0, F.col("_s") == 0))
-    duree = t.select(*_row("validite_duree", F.col("_d"), F.col("_d"), 0.0, F.col("_d") == 0))
-    bpm = t.select(*_row("validite_bpm", F.col("_b"), F.col("_b"), bpm_range[1], F.col("_b") == 0))
-    return score.unionByName(duree).unionByName(bpm)
+    score = f.select(*_zero_row("validite_score", F.col("_s")))
+    return score.unionByName(_report_rows(_titre_profile(dim_titre, bpm_range), _titre_rows(bpm_range)))
 
 
 def orphan_artist_rows(fait: DataFrame, dim_artiste: DataFrame) -> DataFrame:
@@ -106,14 +129,14 @@ def orphan_artist_rows(fait: DataFrame, dim_artiste: DataFrame) -> DataFrame:
 def check_coherence(fait: DataFrame, dim_artiste: DataFrame) -> DataFrame:
     orphans = orphan_artist_rows(fait, dim_artiste)
     v = F.coalesce(F.sum("n_rows"), F.lit(0))
-    return orphans.agg(v.alias("_o")).select(*_row("coherence", F.col("_o"), F.col("_o"), 0.0, F.col("_o") == 0))
+    return orphans.agg(v.alias("_o")).select(*_zero_row("coherence", F.col("_o")))
 
 
 def check_fraicheur(fait: DataFrame, date_attendue: str) -> DataFrame:
     """Passes when at least one fact row is stamped ``date_attendue``.
     ``observed`` is the number of such rows."""
     agg = fait.agg(F.count_if(F.col("date_snapshot") == F.lit(date_attendue)).alias("_f"))
-    return agg.select(*_row("fraicheur", F.when(F.col("_f") > 0, 0).otherwise(1), F.col("_f"), None, F.col("_f") > 0))
+    return agg.select(*_fraicheur_row(F.col("_f")))
 
 
 def quality_report(
@@ -124,21 +147,32 @@ def quality_report(
     seuil: float = COMPLETENESS_THRESHOLD,
     bpm_range: tuple[float, float] = BPM_RANGE,
 ) -> DataFrame:
-    """All rules in gate order: unicite, completude, validite (3), coherence,
-    then fraicheur when an expected date is given. ``rule_order`` keeps the
-    order explicit for display."""
-    parts = [
-        check_unicite(fait),
-        check_completude(fait, seuil=seuil),
-        check_validite(fait, dim_titre, bpm_range),
-        check_coherence(fait, dim_artiste),
+    """All rules: unicite, completude, validite (3), coherence, and fraicheur
+    when an expected date is given.
+
+    Four jobs' worth of work in one plan: the fact-level rules (completude,
+    validite_score, fraicheur) share a single aggregate over the fact, the
+    title rules share one over dim_titre; uniqueness and coherence each need
+    their own keyed aggregate.
+    """
+    fact_aggs = [
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(present("score_popularite")).alias("_ok"),
+        F.count_if(out_of_range("score_popularite", 0, None)).alias("_s"),
+    ]
+    fact_rows = [
+        _completude_row("completude", F.col("_n"), F.col("_ok"), seuil),
+        _zero_row("validite_score", F.col("_s")),
     ]
     if date_attendue is not None:
-        parts.append(check_fraicheur(fait, date_attendue))
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    return report
+        fact_aggs.append(F.count_if(F.col("date_snapshot") == F.lit(date_attendue)).alias("_f"))
+        fact_rows.append(_fraicheur_row(F.col("_f")))
+    return (
+        check_unicite(fait)
+        .unionByName(_report_rows(fait.agg(*fact_aggs), fact_rows))
+        .unionByName(_report_rows(_titre_profile(dim_titre, bpm_range), _titre_rows(bpm_range)))
+        .unionByName(check_coherence(fait, dim_artiste))
+    )
 
 
 class QualityGateError(AssertionError):
@@ -152,7 +186,7 @@ def enforce(report: DataFrame) -> list[dict]:
     failed = [r for r in rows if not r["passed"]]
     if failed:
         detail = "; ".join(
-            f"{r['check']}: {r['violations']} violation(s), observed {r['observed']}" for r in failed
+            f"{r['rule']}: {r['violations']} violation(s), observed {r['observed']}" for r in failed
         )
         raise QualityGateError(f"quality gate failed — {detail}")
     return rows

@@ -127,3 +127,17 @@ def staging(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(titres, artistes) for every snapshot of the landing tables."""
     titres = first_seen_titles(spark, sf_dir)
     return titres, staged_artists(spark, sf_dir, titres)
+
+
+def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed chart pages: (date_snapshot, genre_id, page_no, body) for the
+    pages the extraction fetched (``max_pages`` per chart, in chart order)."""
+    return ingest.page_bodies(ingest.paginate_chart(chart_tracks(spark, sf_dir)))
+
+
+def valid_artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artist lookups that pass validity: a fan count, when given, is >= 0.
+    A rejected lookup leaves its artist out of the dimension."""
+    from hitparade.functions import out_of_range
+
+    return artist_records(spark, sf_dir).where(~out_of_range("nb_fan", 0, None))
