@@ -13,10 +13,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitparade.operators import ingest, quality
+from pyspark.sql import functions as F
+
+from hitparade import schemas
+from hitparade.operators import ingest, quality, staging
 from hitparade.operators import star as star_ops
-from hitparade.plans import reports
+from hitparade.plans import daily, reports
+from hitparade.session import scratch_dir
+from hitparade.sinks import catalog
+from hitparade.sinks import lake as lake_sink
+from hitparade.sinks import raw as raw_sink
+from hitparade.sources import lake as lake_src
 from hitparade.sources import landing
+from hitparade.sources import raw as raw_src
+from hitparade.streaming import snapshot_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The snapshot used by the single-date reports (a ship month present at every
@@ -153,8 +163,145 @@ def q_extract_summary(spark, sf_dir):
     return ingest.extract_summary(landing.chart_entries(spark, sf_dir), titres, artistes)
 
 
+# lake: every query writes to a fresh folder under the session's checkpoint
+# dir, then returns what it reads back
+def _landed_raw(spark, sf_dir) -> str:
+    raw_root = scratch_dir(spark, "raw")
+    titres, artistes = landing.staging(spark, sf_dir)
+    raw_sink.land_raw(titres, artistes, raw_root)
+    return raw_root
+
+
+def _published(spark, sf_dir) -> tuple[str, dict[str, int]]:
+    root = scratch_dir(spark, "curated")
+    return root, lake_sink.publish_star(_star(spark, sf_dir), root)
+
+
+def q_raw_roundtrip(spark, sf_dir):
+    raw = raw_src.read_raw(spark, _landed_raw(spark, sf_dir))
+    return staging.explode_tracks(raw).select(*schemas.TRACK_COLUMNS, "date_snapshot")
+
+
+def _staged(spark, sf_dir) -> str:
+    staging_root = scratch_dir(spark, "staging")
+    daily.run_staging(spark, _landed_raw(spark, sf_dir), staging_root)
+    return staging_root
+
+
+def q_staging_titres(spark, sf_dir):
+    return lake_src.read_table(spark, _staged(spark, sf_dir), "titres", schema=schemas.TITRES).drop("date")
+
+
+def q_staging_artistes(spark, sf_dir):
+    return lake_src.read_table(spark, _staged(spark, sf_dir), "artistes", schema=schemas.ARTISTES)
+
+
+def q_snapshot_date_from_path(spark, sf_dir):
+    raw = raw_src.read_raw(spark, _landed_raw(spark, sf_dir))
+    n = lambda c: F.sum(F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0)).cast("long")
+    return raw.groupBy("date_snapshot").agg(n("tracks").alias("n_tracks"), n("artists").alias("n_artists"))
+
+
+def q_snapshot_overwrite(spark, sf_dir):
+    # a first run wrote un-deduplicated facts for every snapshot; the rerun of
+    # one snapshot replaces that date only
+    root = scratch_dir(spark, "overwrite")
+    stale = star_ops.build_fait_popularite(landing.chart_tracks(spark, sf_dir))
+    lake_sink.write_table(stale, root, mode="dates")
+    rerun = _star(spark, sf_dir).at(REPORT_SNAPSHOT).fait_popularite
+    lake_sink.write_table(rerun, root, mode="dates")
+    return spark.read.schema(schemas.with_partition(schemas.FAIT_POPULARITE)).parquet(root)
+
+
+def q_write_modes(spark, sf_dir):
+    # full refresh, then append (every date twice), then a per-date overwrite
+    # of one snapshot (back to once)
+    path = scratch_dir(spark, "modes")
+    fait = _star(spark, sf_dir).fait_popularite
+    lake_sink.write_table(fait, path, mode="full")
+    lake_sink.write_table(fait, path, mode="append")
+    lake_sink.write_table(fait.where(F.col("date") == REPORT_SNAPSHOT), path, mode="dates")
+    back = spark.read.schema(schemas.with_partition(schemas.FAIT_POPULARITE)).parquet(path)
+    return back.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _registered(spark, sf_dir, before_write: bool = False) -> str:
+    root = scratch_dir(spark, "curated")
+    db = "charts_" + root.rsplit("-", 1)[-1]
+    if before_write:
+        catalog.register_curated(spark, db, root, db_location=f"{root}/_db")
+        lake_sink.publish_star(_star(spark, sf_dir), root)
+    else:
+        lake_sink.publish_star(_star(spark, sf_dir), root)
+        catalog.register_curated(spark, db, root, db_location=f"{root}/_db")
+    catalog.recover_partitions(spark, [f"{db}.{t}" for t in schemas.CURATED])
+    return db
+
+
+def q_catalog_tables(spark, sf_dir):
+    return reports.genre_popularity(lake_src.catalog_star(spark, _registered(spark, sf_dir)))
+
+
+def q_catalog_partitions(spark, sf_dir):
+    db = _registered(spark, sf_dir, before_write=True)
+    return catalog.partitions(spark, f"{db}.fait_popularite")
+
+
+def q_retention_expired(spark, sf_dir):
+    raw_root = _landed_raw(spark, sf_dir)
+    db = "raw_" + raw_root.rsplit("-", 1)[-1]
+    catalog.create_database(spark, db, f"{raw_root}_db")
+    catalog.register_table(spark, db, "documents", raw_root, schemas.RAW_DOCUMENT, fmt="json")
+    catalog.recover_partitions(spark, [f"{db}.documents"])
+    return catalog.expired_partitions(catalog.partitions(spark, f"{db}.documents"), as_of=REPORT_SNAPSHOT)
+
+
+def q_report_sink(spark, sf_dir):
+    out = lake_sink.write_report(
+        reports.genre_popularity(_star(spark, sf_dir)), scratch_dir(spark, "reports"), "genre_popularity"
+    )
+    return spark.read.parquet(out)
+
+
+def q_load_metrics(spark, sf_dir):
+    _, metrics = _published(spark, sf_dir)
+    return spark.createDataFrame(sorted(metrics.items()), "table_name string, n_rows long")
+
+
+def q_snapshot_read(spark, sf_dir):
+    root, _ = _published(spark, sf_dir)
+    return lake_src.read_partition(spark, root, "fait_popularite", REPORT_SNAPSHOT)
+
+
+def q_freshness_partition(spark, sf_dir):
+    db = _registered(spark, sf_dir)
+    return catalog.partition_freshness(spark, f"{db}.fait_popularite", [REPORT_SNAPSHOT, ABSENT_SNAPSHOT])
+
+
+def q_stream_snapshot_ingest(spark, sf_dir):
+    raw_root = _landed_raw(spark, sf_dir)
+    curated_root = scratch_dir(spark, "curated")
+    query = snapshot_ingest.start_snapshot_ingest(spark, raw_root, curated_root, scratch_dir(spark, "stream-ckpt"))
+    query.awaitTermination()
+    return lake_src.read_table(spark, curated_root, "fait_popularite")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+        "raw_roundtrip": q_raw_roundtrip,
+        "staging_titres": q_staging_titres,
+        "staging_artistes": q_staging_artistes,
+        "snapshot_date_from_path": q_snapshot_date_from_path,
+        "snapshot_overwrite": q_snapshot_overwrite,
+        "write_modes": q_write_modes,
+        "catalog_tables": q_catalog_tables,
+        "catalog_partitions": q_catalog_partitions,
+        "retention_expired": q_retention_expired,
+        "report_sink": q_report_sink,
+        "load_metrics": q_load_metrics,
+        "snapshot_read": q_snapshot_read,
+        "freshness_partition": q_freshness_partition,
+        "stream_snapshot_ingest": q_stream_snapshot_ingest,
         "single_snapshot_gate": q_single_snapshot_gate,
         "dq_unicite": q_dq_unicite,
         "dq_completude": q_dq_completude,
@@ -333,6 +480,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN dim_date dd ON CAST(dd."date" AS VARCHAR) = fp."date"
         """,
     }
+    body.update(_lake_sql())
     body.update(_ingest_sql())
     body.update(_quality_sql())
     for key, sql in _report_sql(REPORT_SNAPSHOT).items():
@@ -472,3 +620,47 @@ def _ingest_sql() -> dict[str, str]:
             FULL JOIN (SELECT "date" AS date_snapshot, COUNT(*) AS n FROM artistes GROUP BY ALL) a
                    ON a.date_snapshot = COALESCE(g.date_snapshot, t.date_snapshot)""",
     }
+
+
+def _lake_sql() -> dict[str, str]:
+    r1_history = _report_sql(None)["rpt_genre_popularity"]
+    d, absent = REPORT_SNAPSHOT, ABSENT_SNAPSHOT
+    fresh = lambda x: f"""SELECT 'fraicheur_partition' AS rule, '{x}' AS "date",
+            CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS violations,
+            CAST(n AS DOUBLE) AS observed, n > 0 AS passed
+        FROM (SELECT COUNT(*) AS n FROM fait_popularite WHERE "date" = '{x}')"""
+    return {
+        "raw_roundtrip": "SELECT * FROM titres",
+        "staging_titres": "SELECT * FROM titres",
+        "staging_artistes": "SELECT * FROM artistes",
+        "snapshot_date_from_path": """
+            SELECT COALESCE(t.d, a.d) AS date_snapshot, CAST(COALESCE(t.n, 0) AS BIGINT) AS n_tracks,
+                   CAST(COALESCE(a.n, 0) AS BIGINT) AS n_artists
+            FROM (SELECT date_snapshot AS d, COUNT(*) AS n FROM titres GROUP BY ALL) t
+            FULL JOIN (SELECT "date" AS d, COUNT(*) AS n FROM artistes GROUP BY ALL) a ON a.d = t.d""",
+        "snapshot_overwrite": f"""
+            SELECT date_snapshot, id AS id_titre, artist_id AS id_artiste, rank AS score_popularite,
+                   date_snapshot AS "date"
+            FROM chart WHERE date_snapshot <> '{d}'
+            UNION ALL
+            SELECT * FROM fait_popularite WHERE "date" = '{d}'""",
+        "write_modes": f"""
+            SELECT "date", CAST(CASE WHEN "date" = '{d}' THEN n ELSE 2 * n END AS BIGINT) AS n_rows
+            FROM (SELECT "date", COUNT(*) AS n FROM fait_popularite GROUP BY ALL)""",
+        "catalog_tables": r1_history,
+        "catalog_partitions": 'SELECT DISTINCT "date" FROM fait_popularite',
+        "retention_expired": f"""
+            SELECT DISTINCT date_snapshot AS "date",
+                   CAST(datediff('day', CAST(date_snapshot AS DATE), DATE '{d}') AS BIGINT) AS age_days
+            FROM titres
+            WHERE CAST(date_snapshot AS DATE) < DATE '{d}' - INTERVAL 100 DAY""",
+        "report_sink": r1_history,
+        "load_metrics": """
+            SELECT 'dim_artiste' AS table_name, COUNT(*) AS n_rows FROM dim_artiste
+            UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
+            UNION ALL SELECT 'dim_titre', COUNT(*) FROM dim_titre
+            UNION ALL SELECT 'fait_popularite', COUNT(*) FROM fait_popularite""",
+        "snapshot_read": f"""SELECT * FROM fait_popularite WHERE "date" = '{d}'""",
+        "freshness_partition": fresh(d) + " UNION ALL " + fresh(absent),
+        "stream_snapshot_ingest": "SELECT * FROM fait_popularite",
+    }
