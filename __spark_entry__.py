@@ -173,8 +173,13 @@ def _landed_raw(spark, sf_dir) -> str:
 
 
 def _published(spark, sf_dir) -> tuple[str, dict[str, int]]:
-    root = scratch_dir(spark, "curated")
-    return root, lake_sink.publish_star(_star(spark, sf_dir), root)
+    """The production path: staging tables written once, then the curated job
+    (gates + four tables) reading staging."""
+    staging_root, root = scratch_dir(spark, "staging"), scratch_dir(spark, "curated")
+    titres, artistes = landing.staging(spark, sf_dir)
+    lake_sink.write_table(titres.withColumn("date", F.col("date_snapshot")), f"{staging_root}/titres")
+    lake_sink.write_table(artistes, f"{staging_root}/artistes")
+    return root, daily.run_curated(spark, staging_root, root, backfill=True).rows
 
 
 def q_raw_roundtrip(spark, sf_dir):
@@ -229,11 +234,11 @@ def _registered(spark, sf_dir, before_write: bool = False) -> str:
     root = scratch_dir(spark, "curated")
     db = "charts_" + root.rsplit("-", 1)[-1]
     if before_write:
-        catalog.register_curated(spark, db, root, db_location=f"{root}/_db")
+        catalog.register_curated(spark, db, root, db_location=f"{root}_db")
         lake_sink.publish_star(_star(spark, sf_dir), root)
     else:
-        lake_sink.publish_star(_star(spark, sf_dir), root)
-        catalog.register_curated(spark, db, root, db_location=f"{root}/_db")
+        root, _ = _published(spark, sf_dir)
+        catalog.register_curated(spark, db, root, db_location=f"{root}_db")
     catalog.recover_partitions(spark, [f"{db}.{t}" for t in schemas.CURATED])
     return db
 
@@ -280,8 +285,10 @@ def q_freshness_partition(spark, sf_dir):
 
 def q_stream_snapshot_ingest(spark, sf_dir):
     raw_root = _landed_raw(spark, sf_dir)
-    curated_root = scratch_dir(spark, "curated")
-    query = snapshot_ingest.start_snapshot_ingest(spark, raw_root, curated_root, scratch_dir(spark, "stream-ckpt"))
+    staging_root, curated_root = scratch_dir(spark, "staging"), scratch_dir(spark, "curated")
+    query = snapshot_ingest.start_snapshot_ingest(
+        spark, raw_root, staging_root, curated_root, scratch_dir(spark, "stream-ckpt")
+    )
     query.awaitTermination()
     return lake_src.read_table(spark, curated_root, "fait_popularite")
 

@@ -7,6 +7,12 @@ Modes:
 * ``"full"`` — full refresh: the destination is replaced as a whole;
 * ``"append"`` — add files, keep everything.
 
+Partitioned writes go through an AQE ``REBALANCE`` on the partition column:
+rows of one date are gathered, a date larger than the advisory partition size
+is split, small ones are coalesced — so a backfill writes a few right-sized
+files per date instead of one file per (task, date), and a date holding a
+third of the rows is still written by many tasks.
+
 Spark's commit protocol replaces the old files itself, so no leftover part
 files from an earlier run are ever merged into a later read. Row counts are
 taken with an ``Observation`` during the write — no second pass.
@@ -40,9 +46,12 @@ def write_table(
     partition_by: Sequence[str] = ("date",),
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt)
     if mode == "dates":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")

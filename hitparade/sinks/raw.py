@@ -38,6 +38,7 @@ def land_raw(titres: DataFrame, artistes: DataFrame, raw_root: str) -> None:
     """Write the snapshots present in the inputs; other dates are untouched."""
     (
         raw_documents(titres, artistes)
+        .hint("rebalance", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

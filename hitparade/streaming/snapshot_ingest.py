@@ -3,7 +3,8 @@
 The raw zone is watched as a file stream. Each micro-batch only tells *which
 snapshots changed*; those snapshots are then rebuilt from the whole raw zone
 (a batch read semi-joined to the changed dates, so only their partitions are
-scanned) and written with dynamic partition overwrite. A snapshot whose files
+scanned) into staging, and the curated star is built from staging — the same
+two stages as the daily job, each written with dynamic partition overwrite. A snapshot whose files
 arrive across several batches is simply rebuilt again — the result is always
 the first-seen dedup of everything landed for that date, and rerunning a batch
 (after a failure, from the checkpoint) rewrites the same partitions with the
@@ -22,20 +23,39 @@ from hitparade import schemas
 from hitparade.operators import quality, staging
 from hitparade.operators import star as star_ops
 from hitparade.sinks import lake as lake_sink
+from hitparade.sources import lake as lake_src
 from hitparade.sources import raw as raw_src
 
 _STREAM_SCHEMA = T.StructType(list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION])
 
 
 def rebuild_snapshots(
-    spark: SparkSession, raw_root: str, changed: DataFrame, curated_root: str, enforce_quality: bool = True
+    spark: SparkSession,
+    raw_root: str,
+    changed: DataFrame,
+    staging_root: str,
+    curated_root: str,
+    enforce_quality: bool = True,
 ) -> dict[str, int]:
-    """Rebuild the curated star for the snapshots listed in ``changed``
-    (a DataFrame with a ``date`` column) from the whole raw zone."""
+    """Rebuild staging and the curated star for the snapshots listed in
+    ``changed`` (a DataFrame with a ``date`` column) from the whole raw zone.
+
+    Staging is the lineage cut: the raw JSON is parsed once per staging table,
+    and the four curated tables and the quality report read columnar staging
+    pruned to the changed dates instead of re-running the dedup each.
+    """
     dates = changed.select(F.col("date").alias("_d")).distinct()
     raw = raw_src.read_raw(spark, raw_root)
     raw = raw.join(dates, raw["date_snapshot"] == dates["_d"], "left_semi")
-    star = star_ops.build_star(staging.build_titres(raw), staging.build_artistes(raw))
+    titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
+    lake_sink.write_table(titres, f"{staging_root}/titres")
+    lake_sink.write_table(staging.build_artistes(raw), f"{staging_root}/artistes")
+
+    def staged(table: str, schema) -> DataFrame:
+        df = lake_src.read_table(spark, staging_root, table, schema=schema)
+        return df.join(dates, df["date"] == dates["_d"], "left_semi")
+
+    star = star_ops.build_star(staged("titres", schemas.TITRES).drop("date"), staged("artistes", schemas.ARTISTES))
     if enforce_quality:
         quality.enforce(quality.quality_report(star.fait_popularite, star.dim_titre, star.dim_artiste))
     return lake_sink.publish_star(star, curated_root, mode="dates")
@@ -44,6 +64,7 @@ def rebuild_snapshots(
 def start_snapshot_ingest(
     spark: SparkSession,
     raw_root: str,
+    staging_root: str,
     curated_root: str,
     checkpoint: str,
     available_now: bool = True,
@@ -58,7 +79,9 @@ def start_snapshot_ingest(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        rebuild_snapshots(batch.sparkSession, raw_root, batch.select("date"), curated_root, enforce_quality)
+        rebuild_snapshots(
+            batch.sparkSession, raw_root, batch.select("date"), staging_root, curated_root, enforce_quality
+        )
 
     writer = stream.select("date").writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

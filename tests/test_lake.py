@@ -160,14 +160,14 @@ def test_write_modes(spark, tmp_path):
 
 
 def test_stream_ingest_is_incremental_and_idempotent(spark, tmp_path):
-    raw, cur, ck = (str(tmp_path / x) for x in ("raw", "curated", "ckpt"))
+    raw, stg, cur, ck = (str(tmp_path / x) for x in ("raw", "staging", "curated", "ckpt"))
     _landed(spark, raw, ["1998-03-01"])
-    snapshot_ingest.start_snapshot_ingest(spark, raw, cur, ck).awaitTermination()
+    snapshot_ingest.start_snapshot_ingest(spark, raw, stg, cur, ck).awaitTermination()
     first = lake_src.read_table(spark, cur, "fait_popularite").count()
     _landed(spark, raw, ["1998-04-01"])
-    snapshot_ingest.start_snapshot_ingest(spark, raw, cur, ck).awaitTermination()
+    snapshot_ingest.start_snapshot_ingest(spark, raw, stg, cur, ck).awaitTermination()
     fact = lake_src.read_table(spark, cur, "fait_popularite")
     assert {r.date for r in fact.select("date").distinct().collect()} == {"1998-03-01", "1998-04-01"}
     total = fact.count()
-    snapshot_ingest.start_snapshot_ingest(spark, raw, cur, ck).awaitTermination()  # nothing new
+    snapshot_ingest.start_snapshot_ingest(spark, raw, stg, cur, ck).awaitTermination()  # nothing new
     assert lake_src.read_table(spark, cur, "fait_popularite").count() == total > first
