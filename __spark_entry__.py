@@ -599,11 +599,14 @@ def _ingest_sql() -> dict[str, str]:
         "chart_page_cap": "SELECT * FROM paged",
         "track_flatten": f"SELECT date_snapshot, {track_cols}, page_no, page_pos FROM paged",
         "required_fields": """
-            SELECT COUNT(*) AS n_tracks, COUNT_IF(id IS NULL) AS missing_id,
-                   COUNT_IF(title IS NULL) AS missing_title, COUNT_IF(duration IS NULL) AS missing_duration,
-                   COUNT_IF(rank IS NULL) AS missing_rank, COUNT_IF(artist_id IS NULL) AS missing_artist_id,
-                   COUNT_IF(id IS NULL OR title IS NULL OR duration IS NULL OR rank IS NULL
-                            OR artist_id IS NULL) AS n_rejected
+            SELECT COUNT(*) AS n_tracks,
+                   CAST(COUNT_IF(id IS NULL) AS BIGINT) AS missing_id,
+                   CAST(COUNT_IF(title IS NULL) AS BIGINT) AS missing_title,
+                   CAST(COUNT_IF(duration IS NULL) AS BIGINT) AS missing_duration,
+                   CAST(COUNT_IF(rank IS NULL) AS BIGINT) AS missing_rank,
+                   CAST(COUNT_IF(artist_id IS NULL) AS BIGINT) AS missing_artist_id,
+                   CAST(COUNT_IF(id IS NULL OR title IS NULL OR duration IS NULL OR rank IS NULL
+                                 OR artist_id IS NULL) AS BIGINT) AS n_rejected
             FROM chart""",
         "artist_enrich": """
             SELECT d.date_snapshot, d.artist_id AS id, a.name, a.nb_fan, a.nb_album,
