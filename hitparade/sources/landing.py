@@ -41,9 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def chart_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per chart appearance, without title attributes."""
+def chart_entries(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> DataFrame:
+    """One row per chart appearance, without title attributes.
+
+    With ``snapshot_date`` only that month is read: the month is also stated
+    as a range on the raw ship date, which Parquet can evaluate
+    (``PushedFilters``), so row groups of other months are skipped.
+    """
     li = table(spark, sf_dir, "lineitem")
+    if snapshot_date is not None:
+        start = F.to_date(F.lit(snapshot_date))
+        li = li.where(
+            (F.col("l_shipdate") >= start.cast("timestamp_ntz"))
+            & (F.col("l_shipdate") < F.add_months(start, 1).cast("timestamp_ntz"))
+        )
     return li.select(
         month_snapshot("l_shipdate").alias("date_snapshot"),
         F.col("l_partkey").alias("id"),
@@ -106,13 +117,13 @@ def response_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "event_type", body.alias("body"))
 
 
-def first_seen_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def first_seen_titles(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> DataFrame:
     """Staging titres: first-seen title per (snapshot, id), with attributes.
 
     Dedup runs on the narrow entry rows and *then* joins the catalogue, so the
     join sees one row per title-day instead of one per chart appearance.
     """
-    kept = ingest.first_seen(chart_entries(spark, sf_dir))
+    kept = ingest.first_seen(chart_entries(spark, sf_dir, snapshot_date))
     titres = with_titles(kept, title_records(spark, sf_dir))
     return titres.select(*schemas.TRACK_COLUMNS, "date_snapshot")
 
@@ -123,9 +134,9 @@ def staged_artists(spark: SparkSession, sf_dir: str, titres: DataFrame) -> DataF
     return enriched.select(*schemas.ARTIST_COLUMNS, F.col("date_snapshot").alias("date"))
 
 
-def staging(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(titres, artistes) for every snapshot of the landing tables."""
-    titres = first_seen_titles(spark, sf_dir)
+def staging(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(titres, artistes) for every snapshot of the landing tables, or for one."""
+    titres = first_seen_titles(spark, sf_dir, snapshot_date)
     return titres, staged_artists(spark, sf_dir, titres)
 
 
