@@ -19,6 +19,7 @@ from hitparade import schemas
 from hitparade.operators import ingest, quality, staging
 from hitparade.operators import star as star_ops
 from hitparade.plans import daily, reports
+from hitparade.plans import extract as extract_plan
 from hitparade.session import scratch_dir
 from hitparade.sinks import catalog
 from hitparade.sinks import lake as lake_sink
@@ -160,6 +161,24 @@ def q_genre_yield(spark, sf_dir):
     return ingest.genre_yield(entries, ingest.first_seen(entries))
 
 
+def _extraction(spark, sf_dir) -> extract_plan.Extraction:
+    """The extraction job over landed bodies: genre list, capped chart pages,
+    artist lookups."""
+    return extract_plan.extract(
+        landing.genre_list_body(spark, sf_dir),
+        landing.chart_pages(spark, sf_dir),
+        landing.artist_lookup_bodies(spark, sf_dir),
+    )
+
+
+def q_extract_titles(spark, sf_dir):
+    return _extraction(spark, sf_dir).titres
+
+
+def q_extract_artists(spark, sf_dir):
+    return _extraction(spark, sf_dir).artistes
+
+
 def q_extract_summary(spark, sf_dir):
     titres, artistes = landing.staging(spark, sf_dir)
     return ingest.extract_summary(landing.chart_entries(spark, sf_dir), titres, artistes)
@@ -327,6 +346,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_artists": q_distinct_artists,
         "genre_yield": q_genre_yield,
         "extract_summary": q_extract_summary,
+        "extract_titles": q_extract_titles,
+        "extract_artists": q_extract_artists,
         "first_seen_dedup": q_first_seen_dedup,
         "dim_titre": q_dim_titre,
         "dim_artiste": q_dim_artiste,
@@ -580,6 +601,16 @@ def _quality_sql() -> dict[str, str]:
     }
 
 
+_EXTRACTED = """, extracted AS (
+    SELECT id, title, duration, rank, bpm, gain, explicit_lyrics, artist_id, genre_id, date_snapshot
+    FROM paged
+    WHERE genre_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS DISTINCT FROM 0)
+      AND id IS NOT NULL AND title IS NOT NULL AND duration IS NOT NULL AND rank IS NOT NULL
+      AND artist_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY date_snapshot, id ORDER BY genre_id, page_no, page_pos) = 1
+)"""
+
+
 def _ingest_sql() -> dict[str, str]:
     track_cols = "id, title, duration, rank, bpm, gain, explicit_lyrics, artist_id, genre_id"
     return {
@@ -616,6 +647,11 @@ def _ingest_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT date_snapshot, artist_id FROM titres) d
             LEFT JOIN artists a ON a.id = d.artist_id""",
         "distinct_artists": "SELECT DISTINCT date_snapshot, artist_id FROM titres",
+        "extract_titles": f"{_EXTRACTED} SELECT * FROM extracted",
+        "extract_artists": f"""{_EXTRACTED}
+            SELECT d.artist_id AS id, a.name, a.nb_fan, a.nb_album, d.date_snapshot AS "date"
+            FROM (SELECT DISTINCT date_snapshot, artist_id FROM extracted) d
+            JOIN artists a ON a.id = d.artist_id""",
         "genre_yield": """
             SELECT r.date_snapshot, r.genre_id, r.n_received, CAST(COALESCE(k.n_new, 0) AS BIGINT) AS n_new
             FROM (SELECT date_snapshot, genre_id, COUNT(*) AS n_received FROM entries GROUP BY ALL) r

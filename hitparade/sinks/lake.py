@@ -67,9 +67,17 @@ def write_table(
 
 
 def counted_write(df: DataFrame, path: str, name: str, **kwargs) -> int:
-    """Write and return the number of rows written (observed in the write)."""
+    """Write and return the number of rows written (observed in the write).
+
+    The observation sits after the rebalance shuffle, in the write's result
+    stage, where Spark applies each task's metric update exactly once even
+    when tasks or map stages are retried.
+    """
+    partition_by = kwargs.get("partition_by", ("date",))
+    if partition_by and kwargs.pop("rebalance", True):
+        df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{name}")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kwargs)
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, rebalance=False, **kwargs)
     return int(obs.get["rows"])
 
 

@@ -152,3 +152,18 @@ def valid_artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hitparade.functions import out_of_range
 
     return artist_records(spark, sf_dir).where(~out_of_range("nb_fan", 0, None))
+
+
+def genre_list_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed genre-list body: ``{data: [{id, name}...]}`` in genre-id
+    order, pseudo-genre included. The list is the 25-row ``nation`` table at
+    every scale, so gathering it into one body is bounded."""
+    genres = genre_records(spark, sf_dir)
+    listed = F.to_json(F.struct(F.sort_array(F.collect_list(F.struct("id", "name"))).alias("data")))
+    return genres.agg(listed.alias("body"))
+
+
+def artist_lookup_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed lookup body per artist."""
+    a = artist_records(spark, sf_dir)
+    return a.select(F.to_json(F.struct(*schemas.ARTIST_COLUMNS)).alias("body"))
