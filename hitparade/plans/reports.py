@@ -68,20 +68,25 @@ def bpm_by_genre(star: Star, snapshot_date: str | None = None) -> DataFrame:
     )
 
 
-def catalog_overview(star: Star, snapshot_date: str | None = None) -> DataFrame:
+def catalog_overview(star: Star, snapshot_date: str | None = None, approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """R4 — distinct titles and distinct artists by genre.
 
     Two distinct counts over one join: Catalyst expands each row once per
-    distinct column and aggregates partially before the shuffle.
+    distinct column and aggregates partially before the shuffle. With
+    ``approximate`` the counts are HyperLogLog++ sketches (relative standard
+    deviation ``rsd``) merged map-side — one fixed-size buffer per genre per
+    task, no per-value shuffle.
     """
     s = star.at(snapshot_date)
     joined = s.dim_titre.join(s.fait_popularite, ["id_titre", "date"])
+    if approximate:
+        titles = F.approx_count_distinct("id_titre", rsd)
+        artists = F.approx_count_distinct("id_artiste", rsd)
+    else:
+        titles, artists = F.count_distinct("id_titre"), F.count_distinct("id_artiste")
     return (
         joined.groupBy("genre")
-        .agg(
-            F.count_distinct("id_titre").alias("nb_titres"),
-            F.count_distinct("id_artiste").alias("nb_artistes"),
-        )
+        .agg(titles.alias("nb_titres"), artists.alias("nb_artistes"))
         .orderBy(F.desc("nb_titres"), "genre")
     )
 

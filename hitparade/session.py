@@ -9,7 +9,6 @@ call agrees.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -28,20 +27,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return str(jdir.get()).rstrip("/")
     local = tempfile.mkdtemp(prefix="hitparade-checkpoints-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder ``<checkpoint root>/hitparade/<name>-<uuid>``."""
     return f"{checkpoint_root(spark)}/hitparade/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """``file:/x`` → ``/x`` for the few helpers that need an OS path (tests)."""
-    return path[len("file:") :] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(path, exist_ok=True)

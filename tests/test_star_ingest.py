@@ -152,3 +152,16 @@ def test_staging_explode_nulls(spark):
     assert len(titres) == 2 and {r.id for r in titres} == {None, 1}
     assert staging.build_artistes(raw).count() == 0
     assert staging.build_titres(raw, snapshot_date="2026-01-01").select(F.max("date_snapshot")).first()[0] == "2026-01-01"
+
+
+def test_catalog_overview_approximate_close_to_exact(spark):
+    from hitparade.plans import reports
+    from hitparade.sources import landing
+
+    titres, artistes = landing.staging(spark, "/root/testdata/sf0.01")
+    s = star_ops.build_star(titres, artistes)
+    exact = {r.genre: (r.nb_titres, r.nb_artistes) for r in reports.catalog_overview(s).collect()}
+    approx = {r.genre: (r.nb_titres, r.nb_artistes) for r in reports.catalog_overview(s, approximate=True).collect()}
+    assert exact.keys() == approx.keys()
+    for g, (t, a) in exact.items():
+        assert abs(approx[g][0] - t) <= 0.05 * t and abs(approx[g][1] - a) <= 0.05 * a + 1
