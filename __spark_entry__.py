@@ -198,8 +198,14 @@ def _published(spark, sf_dir) -> tuple[str, dict[str, int]]:
     (gates + four tables) reading staging."""
     staging_root, root = scratch_dir(spark, "staging"), scratch_dir(spark, "curated")
     titres, artistes = landing.staging(spark, sf_dir)
-    lake_sink.write_table(titres.withColumn("date", F.col("date_snapshot")), f"{staging_root}/titres")
-    lake_sink.write_table(artistes, f"{staging_root}/artistes")
+    lake_sink.run_concurrently(
+        {
+            "titres": lambda: lake_sink.counted_write(
+                titres.withColumn("date", F.col("date_snapshot")), f"{staging_root}/titres", "titres"
+            ),
+            "artistes": lambda: lake_sink.counted_write(artistes, f"{staging_root}/artistes", "artistes"),
+        }
+    )
     return root, daily.run_curated(spark, staging_root, root, backfill=True).rows
 
 

@@ -34,18 +34,20 @@ class RunResult:
 def run_staging(spark: SparkSession, raw_path: str, staging_root: str, multi_line: bool = False, strict: bool = True) -> RunResult:
     """Raw documents at ``raw_path`` → ``staging_root/{titres,artistes}``.
 
-    The raw path is read once per table; both are written with dynamic
-    partition overwrite, so only the snapshots present in the raw input are
-    replaced.
+    The raw path is read once per table (the two writes run as concurrent
+    jobs); both use dynamic partition overwrite, so only the snapshots present
+    in the raw input are replaced.
     """
     raw = raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict)
     titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw)
     root = staging_root.rstrip("/")
-    rows = {
-        "titres": lake_sink.counted_write(titres, f"{root}/titres", "titres"),
-        "artistes": lake_sink.counted_write(artistes, f"{root}/artistes", "artistes"),
-    }
+    rows = lake_sink.run_concurrently(
+        {
+            "titres": lambda: lake_sink.counted_write(titres, f"{root}/titres", "titres"),
+            "artistes": lambda: lake_sink.counted_write(artistes, f"{root}/artistes", "artistes"),
+        }
+    )
     return RunResult(None, rows)
 
 

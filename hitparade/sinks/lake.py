@@ -20,7 +20,8 @@ taken with an ``Observation`` during the write — no second pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -81,14 +82,28 @@ def counted_write(df: DataFrame, path: str, name: str, **kwargs) -> int:
     return int(obs.get["rows"])
 
 
-def publish_star(star: Star, root: str, mode: str = "dates", files_per_date: int | None = None) -> dict[str, int]:
-    """Write the four curated tables under ``root/<table>/date=...``; return
-    the row count written per table."""
-    metrics = {}
-    for name, df in star.tables().items():
+def run_concurrently(jobs: dict[str, Callable[[], int]], max_workers: int = 4) -> dict[str, int]:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each) so they share the executors instead of queueing; results by name.
+    The first failure is re-raised after all jobs have finished."""
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
+def publish_star(
+    star: Star, root: str, mode: str = "dates", files_per_date: int | None = None, concurrent: bool = True
+) -> dict[str, int]:
+    """Write the four curated tables under ``root/<table>/date=...`` (four
+    independent jobs, submitted together); return the rows written per table."""
+    def job(name: str, df: DataFrame) -> Callable[[], int]:
         out = spread_by_date(df, files_per_date) if files_per_date else df
-        metrics[name] = counted_write(out, f"{root.rstrip('/')}/{name}", name, mode=mode)
-    return metrics
+        return lambda: counted_write(out, f"{root.rstrip('/')}/{name}", name, mode=mode)
+
+    jobs = {name: job(name, df) for name, df in star.tables().items()}
+    return run_concurrently(jobs) if concurrent else {k: f() for k, f in jobs.items()}
 
 
 def write_report(report: DataFrame, root: str, name: str, snapshot_date: str | None = None) -> str:

@@ -48,8 +48,13 @@ def rebuild_snapshots(
     raw = raw_src.read_raw(spark, raw_root)
     raw = raw.join(dates, raw["date_snapshot"] == dates["_d"], "left_semi")
     titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
-    lake_sink.write_table(titres, f"{staging_root}/titres")
-    lake_sink.write_table(staging.build_artistes(raw), f"{staging_root}/artistes")
+    artistes = staging.build_artistes(raw)
+    lake_sink.run_concurrently(
+        {
+            "titres": lambda: lake_sink.counted_write(titres, f"{staging_root}/titres", "titres"),
+            "artistes": lambda: lake_sink.counted_write(artistes, f"{staging_root}/artistes", "artistes"),
+        }
+    )
 
     def staged(table: str, schema) -> DataFrame:
         df = lake_src.read_table(spark, staging_root, table, schema=schema)
