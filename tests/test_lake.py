@@ -171,3 +171,26 @@ def test_stream_ingest_is_incremental_and_idempotent(spark, tmp_path):
     total = fact.count()
     snapshot_ingest.start_snapshot_ingest(spark, raw, stg, cur, ck).awaitTermination()  # nothing new
     assert lake_src.read_table(spark, cur, "fait_popularite").count() == total > first
+
+
+def test_bucketed_layout_removes_join_shuffle(spark, tmp_path):
+    titres, artistes = landing.staging(spark, SF)
+    mem = star_ops.build_star(titres, artistes)
+    names = catalog.register_bucketed_curated(spark, "charts_bucketed", str(tmp_path / "cur"), 8, str(tmp_path / "db"))
+    catalog.insert_star(mem, "charts_bucketed")
+    catalog.insert_star(mem.at("1998-03-01"), "charts_bucketed")  # rerun one date: replaced, not appended
+    lake = lake_src.catalog_star(spark, "charts_bucketed")
+    assert lake.fait_popularite.count() == mem.fait_popularite.count()
+    prev = spark.conf.get(catalog.CO_PARTITION_CONF)
+    spark.conf.set(catalog.CO_PARTITION_CONF, "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reports.genre_popularity(lake)
+        got = sorted(map(tuple, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(catalog.CO_PARTITION_CONF, prev)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(tuple, reports.genre_popularity(mem).collect()))
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # only the group-by
+    assert len(names) == 4
