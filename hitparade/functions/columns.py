@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the Hive partition segment carrying a snapshot date in a path.
-DATE_PARTITION_PATTERN = r"date=(\d{4}-\d{2}-\d{2})"
+from hitparade.constants import DATE_PARTITION_PATTERN
 
 
 def _c(col: Column | str) -> Column:

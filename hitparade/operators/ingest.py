@@ -24,14 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitparade import schemas
+from hitparade.constants import ALL_GENRES_ID, CHART_PAGE_SIZE, MAX_CHART_PAGES, REQUIRED_TRACK_FIELDS
 from hitparade.functions import has_json_key
 
-# Fixed values (the reference's defaults).
-ALL_GENRES_ID = 0
-CHART_PAGE_SIZE = 100
-MAX_CHART_PAGES = 2
-# Required fields of a chart track: a missing one aborted the reference's run.
-REQUIRED_TRACK_FIELDS = ("id", "title", "duration", "rank", "artist_id")
 # Total order deciding which occurrence of a title is "first seen" on a day.
 FIRST_SEEN_ORDER = ("genre_id", "position", "artist_id", "rank")
 SNAPSHOT_KEY = ("date_snapshot", "id")

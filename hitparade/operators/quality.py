@@ -27,13 +27,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitparade.constants import BPM_RANGE, COMPLETENESS_THRESHOLD, UNIQUENESS_KEY
 from hitparade.functions import out_of_range, present
 
-# Thresholds of the reference's rules.
-COMPLETENESS_THRESHOLD = 0.98
-BPM_RANGE = (0.0, 300.0)
-UNIQUENESS_KEY = ("id_titre", "date_snapshot")
-
 REPORT_COLUMNS = ("rule", "violations", "observed", "threshold", "passed")
 
 

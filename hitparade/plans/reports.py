@@ -17,12 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitparade.constants import EMERGING_MAX_FANS, TOP_K
 from hitparade.operators.star import Star
 
-# Report parameters of the reference.
-TOP_K = 20
-EMERGING_MAX_FANS = 500_000
-
 
 def genre_popularity(star: Star, snapshot_date: str | None = None) -> DataFrame:
     """R1 — titles and average popularity by genre, most popular first."""

@@ -2,9 +2,9 @@
 
 Scratch data (tables written by a job and read back, streaming checkpoints)
 goes under the shared folder the cluster names in ``spark.checkpoint.dir`` —
-never a machine-local temporary folder. Only when a session has none (a local
-test) is one created, and then it is registered on the session so every later
-call agrees.
+never a machine-local temporary folder. Only a local-mode session without
+one (a test) gets a temporary folder, registered on the session so every later
+call agrees; a cluster session without one is an error.
 """
 
 from __future__ import annotations
@@ -25,6 +25,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return str(jdir.get()).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: point it at a folder shared by the cluster "
+            "(a driver-local temporary folder is not visible to executors)"
+        )
     local = tempfile.mkdtemp(prefix="hitparade-checkpoints-")
     spark.sparkContext.setCheckpointDir(local)
     return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")

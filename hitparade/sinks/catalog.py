@@ -15,9 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitparade import schemas
-
-# Fixed value: raw snapshots expire after this many days; curated never does.
-RAW_RETENTION_DAYS = 100
+from hitparade.constants import RAW_RETENTION_DAYS
 
 
 def _quote(path: str) -> str:
