@@ -36,12 +36,20 @@ def snapshot_date_from_path(raw_path: str) -> str:
     return match.group(1)
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = False, strict: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    strict: bool = True,
+    snapshot_dates: list[str] | None = None,
+) -> DataFrame:
     """Raw documents with ``date_snapshot`` taken from each file's path.
 
     Columns: tracks, artists, date_snapshot (+ ``_corrupt_record`` when not
     strict). The partition column, when the layout has one, is declared STRING
-    so inference cannot retype it.
+    so inference cannot retype it. ``snapshot_dates`` restricts a partitioned
+    raw root to those ``date=`` folders (partition pruning: other days are
+    not listed or read).
     """
     fields = list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION]
     if not strict:
@@ -54,6 +62,8 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False, strict: b
     if not strict:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.json(path)
+    if snapshot_dates is not None:
+        df = df.where(F.col("date").isin(list(snapshot_dates)))
     from_path = F.nullif(path_snapshot_date(F.col("_metadata.file_path")), F.lit(""))
     date = F.coalesce(F.nullif(F.col("date"), F.lit("")), from_path)
     keep = ["tracks", "artists"] + ([] if strict else [CORRUPT])

@@ -1,9 +1,9 @@
 """Incremental snapshot ingest with Structured Streaming.
 
 The raw zone is watched as a file stream. Each micro-batch only tells *which
-snapshots changed*; those snapshots are then rebuilt from the whole raw zone
-(a batch read semi-joined to the changed dates, so only their partitions are
-scanned) into staging, and the curated star is built from staging — the same
+snapshots changed* (its distinct ``date`` values); those snapshots are then
+rebuilt from the whole raw zone (a batch read pruned to their ``date=``
+folders) into staging, and the curated star is built from staging — the same
 two stages as the daily job, each written with dynamic partition overwrite. A snapshot whose files
 arrive across several batches is simply rebuilt again — the result is always
 the first-seen dedup of everything landed for that date, and rerunning a batch
@@ -32,21 +32,23 @@ _STREAM_SCHEMA = T.StructType(list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTI
 def rebuild_snapshots(
     spark: SparkSession,
     raw_root: str,
-    changed: DataFrame,
+    dates: list[str],
     staging_root: str,
     curated_root: str,
     enforce_quality: bool = True,
 ) -> dict[str, int]:
-    """Rebuild staging and the curated star for the snapshots listed in
-    ``changed`` (a DataFrame with a ``date`` column) from the whole raw zone.
+    """Rebuild staging and the curated star for the snapshots ``dates`` from
+    the whole raw zone.
 
-    Staging is the lineage cut: the raw JSON is parsed once per staging table,
-    and the four curated tables and the quality report read columnar staging
-    pruned to the changed dates instead of re-running the dedup each.
+    ``dates`` are partition values (one per changed day), used as static
+    partition filters on the raw and staging reads. Staging is the lineage
+    cut: the raw JSON is parsed once per staging table, and the four curated
+    tables and the quality report read columnar staging instead of re-running
+    the dedup each.
     """
-    dates = changed.select(F.col("date").alias("_d")).distinct()
-    raw = raw_src.read_raw(spark, raw_root)
-    raw = raw.join(dates, raw["date_snapshot"] == dates["_d"], "left_semi")
+    if not dates:
+        return {}
+    raw = raw_src.read_raw(spark, raw_root, snapshot_dates=dates)
     titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw)
     lake_sink.run_concurrently(
@@ -57,8 +59,7 @@ def rebuild_snapshots(
     )
 
     def staged(table: str, schema) -> DataFrame:
-        df = lake_src.read_table(spark, staging_root, table, schema=schema)
-        return df.join(dates, df["date"] == dates["_d"], "left_semi")
+        return lake_src.read_table(spark, staging_root, table, schema=schema).where(F.col("date").isin(dates))
 
     star = star_ops.build_star(staged("titres", schemas.TITRES).drop("date"), staged("artistes", schemas.ARTISTES))
     if enforce_quality:
@@ -75,18 +76,23 @@ def start_snapshot_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     enforce_quality: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what has landed and stops
     (a scheduled daily run); otherwise it keeps polling every
-    ``processing_time``."""
-    stream = spark.readStream.schema(_STREAM_SCHEMA).json(raw_root)
+    ``processing_time``. ``max_files_per_trigger`` bounds each micro-batch.
+
+    A micro-batch contributes only its distinct ``date`` values (one per
+    changed day, a handful) — they are the partition filters of the rebuild.
+    """
+    reader = spark.readStream.schema(_STREAM_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(raw_root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rebuild_snapshots(
-            batch.sparkSession, raw_root, batch.select("date"), staging_root, curated_root, enforce_quality
-        )
+        dates = sorted(r["date"] for r in batch.select("date").distinct().collect())
+        rebuild_snapshots(batch.sparkSession, raw_root, dates, staging_root, curated_root, enforce_quality)
 
     writer = stream.select("date").writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

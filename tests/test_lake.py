@@ -194,3 +194,18 @@ def test_bucketed_layout_removes_join_shuffle(spark, tmp_path):
     assert got == sorted(map(tuple, reports.genre_popularity(mem).collect()))
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # only the group-by
     assert len(names) == 4
+
+
+def test_stream_bounded_batches_and_rebuild(spark, tmp_path):
+    raw, stg, cur, ck = (str(tmp_path / x) for x in ("raw", "staging", "curated", "ckpt"))
+    _landed(spark, raw, ["1998-03-01", "1998-04-01", "1998-05-01"])
+    q = snapshot_ingest.start_snapshot_ingest(spark, raw, stg, cur, ck, max_files_per_trigger=2)
+    q.awaitTermination()
+    assert len(q.recentProgress) > 1  # several bounded micro-batches
+    fact = lake_src.read_table(spark, cur, "fait_popularite")
+    titres, _ = landing.staging(spark, SF)
+    exp = titres.where(F.col("date_snapshot").isin("1998-03-01", "1998-04-01", "1998-05-01"))
+    assert sorted(map(tuple, fact.select("id_titre", "date").collect())) == sorted(
+        map(tuple, exp.select("id", "date_snapshot").collect())
+    )
+    assert snapshot_ingest.rebuild_snapshots(spark, raw, [], stg, cur) == {}
