@@ -126,5 +126,6 @@ def with_partition(schema: T.StructType) -> T.StructType:
 
 
 def ddl(schema: T.StructType) -> str:
-    """Column list for CREATE TABLE, e.g. ``id_titre BIGINT, nom STRING``."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
+    """Column list for CREATE TABLE, e.g. ``id_titre bigint, nom string``.
+    Nested field names keep their case (``array<struct<id:bigint,...>>``)."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -209,3 +209,17 @@ def test_stream_bounded_batches_and_rebuild(spark, tmp_path):
         map(tuple, exp.select("id", "date_snapshot").collect())
     )
     assert snapshot_ingest.rebuild_snapshots(spark, raw, [], stg, cur) == {}
+
+
+def test_registered_raw_table_keeps_nested_schema(spark, tmp_path):
+    from hitparade import schemas
+
+    raw = str(tmp_path / "raw")
+    _landed(spark, raw, ["1998-03-01"])
+    catalog.create_database(spark, "raw_schema_test", str(tmp_path / "db"))
+    catalog.register_table(spark, "raw_schema_test", "documents", raw, schemas.RAW_DOCUMENT, fmt="json")
+    catalog.recover_partitions(spark, ["raw_schema_test.documents"])
+    t = spark.table("raw_schema_test.documents")
+    assert t.schema["tracks"].dataType == schemas.RAW_DOCUMENT["tracks"].dataType
+    n = t.select(F.explode("tracks").alias("x")).where(F.col("x.id").isNotNull()).count()
+    assert n == landing.first_seen_titles(spark, SF).where("date_snapshot = '1998-03-01'").count()
