@@ -11,6 +11,7 @@ isolated and idempotent.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -24,6 +25,9 @@ from hitparade.sources import lake as lake_src
 from hitparade.sources import raw as raw_src
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass
 class RunResult:
     snapshot_dates: list[str] | None
@@ -48,6 +52,7 @@ def run_staging(spark: SparkSession, raw_path: str, staging_root: str, multi_lin
             "artistes": lambda: lake_sink.counted_write(artistes, f"{root}/artistes", "artistes"),
         }
     )
+    log.info("staging written from %s: %s", raw_path, rows)
     return RunResult(None, rows)
 
 
@@ -75,7 +80,10 @@ def run_curated(
         star.fait_popularite, star.dim_titre, star.dim_artiste, date_attendue=dates[0] if dates else None, seuil=seuil
     )
     checks = quality.enforce(report)
+    ratio = next((c["observed"] for c in checks if c["rule"] == "completude"), None)
+    log.info("quality gate passed for %s: completeness of score_popularite %s", dates or "all staged snapshots", ratio)
     rows = lake_sink.publish_star(star, curated_root, mode="dates")
+    log.info("curated written to %s: %s", curated_root, rows)
     return RunResult(dates, rows, checks)
 
 

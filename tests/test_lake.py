@@ -249,3 +249,22 @@ def test_report_sink_per_date_rerun(spark, tmp_path):
     assert back.where("date = '1998-03-01'").count() == r1.count() == 7
     # an untyped read infers the date= partition as DATE
     assert {str(r.date) for r in back.select("date").distinct().collect()} == {"1998-03-01", "1998-04-01"}
+
+
+def test_spark_written_nan_reads_back(spark, tmp_path):
+    import math
+
+    from hitparade import schemas
+
+    titres = spark.createDataFrame(
+        [(1, "a", 100, 5, float("nan"), -1.0, False, 1, 1, "2026-09-05")], schemas.TITRES
+    )
+    artistes = spark.createDataFrame([(1, "A", None, None, "2026-09-05")], "id bigint, name string, nb_fan bigint, nb_album bigint, date string")
+    raw = str(tmp_path / "raw")
+    raw_sink.land_raw(titres, artistes, raw)
+    from hitparade.operators import staging
+
+    back = staging.build_titres(raw_src.read_raw(spark, raw)).first()
+    assert math.isnan(back.bpm) and back.date_snapshot == "2026-09-05"
+    art = staging.build_artistes(raw_src.read_raw(spark, raw)).first()
+    assert art.nb_fan is None and art.name == "A"
