@@ -38,3 +38,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder ``<checkpoint root>/hitparade/<name>-<uuid>``."""
     return f"{checkpoint_root(spark)}/hitparade/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(shuffle_partitions: int = 20_000, advisory_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster, to pass to ``SparkSession.builder.config``.
+
+    Start with many shuffle partitions and let AQE coalesce them to
+    ``advisory_partition_mb`` (so no reducer spills at 100 TB, and small
+    stages do not run thousands of empty tasks); split file scans at the same
+    size; split skewed join partitions and skewed rebalance partitions; and
+    let a join whose keys extend a bucket key use the buckets (the bucketed
+    curated layout).
+    """
+    size = f"{advisory_partition_mb}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
