@@ -210,7 +210,7 @@ def _published(spark, sf_dir) -> tuple[str, dict[str, int]]:
 
 
 def q_raw_roundtrip(spark, sf_dir):
-    raw = raw_src.read_raw(spark, _landed_raw(spark, sf_dir))
+    raw = raw_src.read_raw(spark, _landed_raw(spark, sf_dir), kind="tracks")
     return staging.explode_tracks(raw).select(*schemas.TRACK_COLUMNS, "date_snapshot")
 
 
@@ -283,7 +283,9 @@ def q_retention_expired(spark, sf_dir):
     raw_root = _landed_raw(spark, sf_dir)
     db = "raw_" + raw_root.rsplit("-", 1)[-1]
     catalog.create_database(spark, db, f"{raw_root}_db")
-    catalog.register_table(spark, db, "documents", raw_root, schemas.RAW_DOCUMENT, fmt="json")
+    catalog.register_table(
+        spark, db, "documents", raw_root, schemas.RAW_DOCUMENT, fmt="json", partition_by=("date", "kind")
+    )
     catalog.recover_partitions(spark, [f"{db}.documents"])
     return catalog.expired_partitions(catalog.partitions(spark, f"{db}.documents"), as_of=REPORT_SNAPSHOT)
 

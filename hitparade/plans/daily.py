@@ -38,13 +38,15 @@ class RunResult:
 def run_staging(spark: SparkSession, raw_path: str, staging_root: str, multi_line: bool = False, strict: bool = True) -> RunResult:
     """Raw documents at ``raw_path`` → ``staging_root/{titres,artistes}``.
 
-    The raw path is read once per table (the two writes run as concurrent
-    jobs); both use dynamic partition overwrite, so only the snapshots present
+    Each table reads only its own kind of raw document (the two writes run as
+    concurrent jobs); both use dynamic partition overwrite, so only the snapshots present
     in the raw input are replaced.
     """
-    raw = raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict)
-    titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
-    artistes = staging.build_artistes(raw)
+    def raw(kind: str):
+        return raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict, kind=kind)
+
+    titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
+    artistes = staging.build_artistes(raw("artists"))
     root = staging_root.rstrip("/")
     rows = lake_sink.run_concurrently(
         {

@@ -34,11 +34,15 @@ def register_table(
     location: str,
     schema,
     fmt: str = "parquet",
+    partition_by: tuple[str, ...] = ("date",),
 ) -> None:
-    """External table over ``location``, partitioned by ``date`` STRING."""
+    """External table over ``location``, partitioned by STRING columns
+    (``date``, or ``date, kind`` for the raw zone)."""
+    parts = ", ".join(f"`{c}` STRING" for c in partition_by)
+    names = ", ".join(f"`{c}`" for c in partition_by)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({schemas.ddl(schema)}, `date` STRING) "
-        f"USING {fmt} PARTITIONED BY (`date`) LOCATION '{_quote(location)}'"
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({schemas.ddl(schema)}, {parts}) "
+        f"USING {fmt} PARTITIONED BY ({names}) LOCATION '{_quote(location)}'"
     )
 
 
@@ -59,9 +63,12 @@ def recover_partitions(spark: SparkSession, tables: Iterable[str]) -> None:
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:
-    """``date`` values registered for a table (catalog metadata only)."""
-    return spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.regexp_extract("partition", r"date=([^/]*)", 1).alias("date")
+    """Distinct ``date`` values registered for a table (catalog metadata only;
+    a table also partitioned below ``date`` lists each date once)."""
+    return (
+        spark.sql(f"SHOW PARTITIONS {table}")
+        .select(F.regexp_extract("partition", r"date=([^/]*)", 1).alias("date"))
+        .distinct()
     )
 
 

@@ -1,9 +1,11 @@
 """Writer of the raw zone: JSON lines, one bounded document per line.
 
-A title becomes ``{"tracks": [track]}`` and an artist ``{"artists": [artist]}``
-under ``date=<snapshot>/``; the reader explodes both arrays, so the legacy
-one-document-per-day files and these lines read the same way. Rerunning a
-snapshot replaces only its own ``date=`` folder (dynamic overwrite).
+A title becomes ``{"tracks": [track]}`` under ``date=<snapshot>/kind=tracks/``
+and an artist ``{"artists": [artist]}`` under ``date=<snapshot>/kind=artists/``;
+the reader explodes both arrays, so the legacy one-document-per-day files and
+these lines read the same way, and each staging table lists and parses only
+its own kind of document. Rerunning a snapshot replaces only its own
+``date=`` folders (dynamic overwrite).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from hitparade import schemas
 
 
 def raw_documents(titres: DataFrame, artistes: DataFrame) -> DataFrame:
-    """(tracks, artists, date) rows: one document per title and per artist.
+    """(tracks, artists, date, kind) rows: one document per title and per artist.
 
     ``titres`` carry ``date_snapshot``; ``artistes`` carry ``date``.
     """
@@ -25,11 +27,13 @@ def raw_documents(titres: DataFrame, artistes: DataFrame) -> DataFrame:
         F.array(track).alias("tracks"),
         F.lit(None).cast(schemas.RAW_DOCUMENT["artists"].dataType).alias("artists"),
         F.col("date_snapshot").alias("date"),
+        F.lit("tracks").alias("kind"),
     )
     artist_docs = artistes.select(
         F.lit(None).cast(schemas.RAW_DOCUMENT["tracks"].dataType).alias("tracks"),
         F.array(artist).alias("artists"),
         F.col("date"),
+        F.lit("artists").alias("kind"),
     )
     return track_docs.unionByName(artist_docs)
 
@@ -38,9 +42,9 @@ def land_raw(titres: DataFrame, artistes: DataFrame, raw_root: str) -> None:
     """Write the snapshots present in the inputs; other dates are untouched."""
     (
         raw_documents(titres, artistes)
-        .hint("rebalance", "date")
+        .hint("rebalance", "date", "kind")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
+        .partitionBy("date", "kind")
         .json(raw_root)
     )

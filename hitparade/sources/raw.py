@@ -42,6 +42,7 @@ def read_raw(
     multi_line: bool = False,
     strict: bool = True,
     snapshot_dates: list[str] | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """Raw documents with ``date_snapshot`` taken from each file's path.
 
@@ -49,9 +50,11 @@ def read_raw(
     strict). The partition column, when the layout has one, is declared STRING
     so inference cannot retype it. ``snapshot_dates`` restricts a partitioned
     raw root to those ``date=`` folders (partition pruning: other days are
-    not listed or read).
+    not listed or read); ``kind`` (``"tracks"`` / ``"artists"``) to the
+    ``kind=`` folders of that document type — a layout without ``kind=``
+    folders is read whole.
     """
-    fields = list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION]
+    fields = list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION, T.StructField("kind", T.StringType())]
     if not strict:
         fields.append(T.StructField(CORRUPT, T.StringType()))
     reader = (
@@ -64,6 +67,8 @@ def read_raw(
     df = reader.json(path)
     if snapshot_dates is not None:
         df = df.where(F.col("date").isin(list(snapshot_dates)))
+    if kind is not None:
+        df = df.where(F.col("kind").isNull() | (F.col("kind") == F.lit(kind)))
     from_path = F.nullif(path_snapshot_date(F.col("_metadata.file_path")), F.lit(""))
     date = F.coalesce(F.nullif(F.col("date"), F.lit("")), from_path)
     keep = ["tracks", "artists"] + ([] if strict else [CORRUPT])

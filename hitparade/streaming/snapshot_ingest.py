@@ -26,7 +26,9 @@ from hitparade.sinks import lake as lake_sink
 from hitparade.sources import lake as lake_src
 from hitparade.sources import raw as raw_src
 
-_STREAM_SCHEMA = T.StructType(list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION])
+_STREAM_SCHEMA = T.StructType(
+    list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION, T.StructField("kind", T.StringType())]
+)
 
 
 def rebuild_snapshots(
@@ -48,9 +50,11 @@ def rebuild_snapshots(
     """
     if not dates:
         return {}
-    raw = raw_src.read_raw(spark, raw_root, snapshot_dates=dates)
-    titres = staging.build_titres(raw).withColumn("date", F.col("date_snapshot"))
-    artistes = staging.build_artistes(raw)
+    def raw(kind: str) -> DataFrame:
+        return raw_src.read_raw(spark, raw_root, snapshot_dates=dates, kind=kind)
+
+    titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
+    artistes = staging.build_artistes(raw("artists"))
     lake_sink.run_concurrently(
         {
             "titres": lambda: lake_sink.counted_write(titres, f"{staging_root}/titres", "titres"),
