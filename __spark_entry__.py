@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from hitparade import schemas
@@ -88,8 +87,8 @@ def q_single_snapshot_gate(spark, sf_dir):
     return star_ops.snapshot_span(_star(spark, sf_dir).fait_popularite)
 
 
-# quality rules; the faults are the ones FIXTURES lists, so each rule has
-# something to find on the generated data
+# quality rules; each query injects the fault FIXTURES.md lists for it, so the
+# rule has something to find on the generated data
 def q_dq_unicite(spark, sf_dir):
     # uniqueness of the fact built from chart rows *before* dedup
     return quality.check_unicite(star_ops.build_fait_popularite(landing.chart_tracks(spark, sf_dir)))
