@@ -404,7 +404,8 @@ WITH entries AS (
     SELECT * FROM entries
     QUALIFY row_number() OVER (PARTITION BY date_snapshot, id
                                ORDER BY genre_id NULLS FIRST, position NULLS FIRST,
-                                        artist_id NULLS FIRST, rank NULLS FIRST) = 1
+                                        artist_id NULLS FIRST, rank NULLS FIRST,
+                                        explicit_lyrics NULLS FIRST) = 1
 ), titres AS (
     SELECT k.id, t.title, t.duration, k.rank, t.bpm, t.gain, k.explicit_lyrics,
            k.artist_id, k.genre_id, k.date_snapshot

@@ -27,8 +27,10 @@ from hitparade import schemas
 from hitparade.constants import ALL_GENRES_ID, CHART_PAGE_SIZE, MAX_CHART_PAGES, REQUIRED_TRACK_FIELDS
 from hitparade.functions import has_json_key
 
-# Total order deciding which occurrence of a title is "first seen" on a day.
-FIRST_SEEN_ORDER = ("genre_id", "position", "artist_id", "rank")
+# Total order deciding which occurrence of a title is "first seen" on a day:
+# genre order, chart position, then the remaining entry columns, so entries
+# that still tie are identical and a recomputed task keeps the same row.
+FIRST_SEEN_ORDER = ("genre_id", "position", "artist_id", "rank", "explicit_lyrics")
 SNAPSHOT_KEY = ("date_snapshot", "id")
 
 
@@ -100,7 +102,8 @@ def paginate_chart(
     ``has_next`` (a further entry exists after this page). Rows beyond the cap
     are the ones the extraction never fetched. ``row_number() <= cap`` is a
     per-group top-k: Spark keeps at most ``cap`` rows per chart in every map
-    task before the shuffle.
+    task before the shuffle (for caps up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
     """
     cap = page_size * max_pages
     w = Window.partitionBy(*keys).orderBy(*order)
