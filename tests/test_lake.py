@@ -271,3 +271,12 @@ def test_spark_written_nan_reads_back(spark, tmp_path):
     assert math.isnan(back.bpm) and back.date_snapshot == "2026-09-05"
     art = staging.build_artistes(raw_src.read_raw(spark, raw)).first()
     assert art.nb_fan is None and art.name == "A"
+
+
+def test_cluster_conf_keys_are_known_sql_settings(spark):
+    from hitparade.session import cluster_conf
+
+    conf = cluster_conf()
+    for key in conf:
+        spark.conf.get(key)  # a registered setting has a default; an unknown key raises
+        assert spark.conf.isModifiable(key), key
