@@ -239,13 +239,16 @@ def distinct_artists(titres: DataFrame) -> DataFrame:
 def enrich_artists(titres: DataFrame, artist_records: DataFrame) -> DataFrame:
     """Artist record per distinct (snapshot, artist) of the kept titles.
 
-    ``artist_records`` are the landed lookups (id, name, nb_fan, nb_album), one
-    per id. Left join: an unresolved id gives a row with ``resolved = false``
-    and null attributes, for :func:`assert_resolved` to gate on. Only artists
-    used by a title are looked up (the distinct prunes the rest).
+    ``artist_records`` are the landed lookups (id, name, nb_fan, nb_album). A
+    lookup landed twice (a retried request) counts once: the lookups are
+    reduced to one per id, deterministically, before the join. Left join: an
+    unresolved id gives a row with ``resolved = false`` and null attributes,
+    for :func:`assert_resolved` to gate on. Only artists used by a title are
+    looked up (the distinct prunes the rest).
     """
     ids = distinct_artists(titres)
-    lookups = artist_records.select(
+    one_per_id = first_seen(artist_records, ("id",), ("name", "nb_fan", "nb_album"))
+    lookups = one_per_id.select(
         F.col("id").alias("artist_id"), "name", "nb_fan", "nb_album", F.lit(True).alias("_found")
     )
     return ids.join(lookups, "artist_id", "left").select(
