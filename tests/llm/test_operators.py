@@ -1,0 +1,283 @@
+"""The training-data queries against brute force on the smallest tables, and odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from hitparade.llm import byte_bpe, decontaminate, language_id, queries, simple8b, token_files, url_filter, word_bpe
+
+SF = "/root/testdata/sf0.001"
+LONG = "word " * 20_000 + "x" * 5_000
+ODD = [None, "", " \n\t ", "a", "Zażółć gęślą 日本語 🙂\x1c\x1d tail", LONG, "That it. I'll we'd", "That it. I'll we'd"]
+
+
+def table(name):
+    return pq.read_table(f"{SF}/{name}.parquet").to_pandas()
+
+
+def odd_docs(spark):
+    rows = [(i if i else None, t, None if i % 2 else "en", "s", None, 7) for i, t in enumerate(ODD)]
+    rows.append(rows[-1])
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, score int"
+    )
+
+
+def empty_docs(spark):
+    return odd_docs(spark).limit(0)
+
+
+@pytest.fixture(scope="module")
+def odd_dir(spark, tmp_path_factory):
+    """A folder whose tables have the odd rows, and one whose tables are empty."""
+    out = []
+    for name, n in (("odd", 100), ("empty", 0)):
+        d = str(tmp_path_factory.mktemp(name))
+        odd_docs(spark).limit(n).write.parquet(f"{d}/documents.parquet")
+        bench = [(1, "that it i ll we d"), (2, None), (None, "word " * 13), (1, "that it i ll we d"), (3, "!!")]
+        spark.createDataFrame(bench, "item_id long, text string").limit(n).write.parquet(f"{d}/benchmark.parquet")
+        labels = [(i, i % 2, 0) for i in range(1, 8)] + [(None, None, None), (3, None, 1)]
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").limit(n).write.parquet(f"{d}/labels.parquet")
+        urls = [None, "", "x", "http://A.example.com/en/1?x", "a://com", "a://com/", "http://www.Example.com/en/", "u://net/es/#f"]
+        pages = [(i if i else None, u, None) for i, u in enumerate(urls)] + [(3, urls[3], "h")] * 2
+        spark.createDataFrame(pages, "page_id long, url string, html string").limit(n).write.parquet(f"{d}/pages.parquet")
+        out.append(d)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_odd_and_empty_tables(spark, odd_dir, name):
+    odd, empty = odd_dir
+    table_name = "pages" if name.startswith("op4_") else "documents"
+    n = spark.read.parquet(f"{odd}/{table_name}.parquet").count()
+    assert len(queries.QUERIES[name](spark, odd).collect()) == n
+    assert queries.QUERIES[name](spark, empty).collect() == []
+
+
+# --- 2 ----------------------------------------------------------------------------------------
+
+
+def brute_contamination(docs, items, window=13):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def words(t):
+        return word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t)) if t else []
+
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + window]), set()).add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for k in sizes:
+            for i in range(len(w) - k + 1):
+                if (got := windows.get(tuple(w[i : i + k]))) is not None:
+                    hit.update(range(i, i + k))
+                    found |= {str(x) for x in got if x is not None}
+        out.append((doc, len(w), len(hit), sorted(found)))
+    return out
+
+
+def test_decontamination_matches_brute_force(spark):
+    d, b = table("documents"), table("benchmark")
+    want = {
+        doc: (n, h, len(f), hashlib.sha256(",".join(f).encode()).hexdigest(), h > 0 and 20 * h >= n)
+        for doc, n, h, f in brute_contamination(zip(d.doc_id, d.text), zip(b.item_id, b.text))
+    }
+    got = {r[0]: tuple(r)[1:] for r in queries.op2_decontaminate(spark, SF).collect()}
+    assert got == want
+    assert any(x[4] for x in want.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_scan_matches_brute_force_on_random_words(spark, seed):
+    rng = np.random.default_rng(seed)
+    items = [(str(i % 7), " ".join(rng.choice(list("abc"), rng.integers(0, 9)))) for i in range(12)] + [(None, "c c a")]
+    docs = [(i, " ".join(rng.choice(list("abcd"), rng.integers(0, 40)))) for i in range(60)]
+    want = brute_contamination(docs, items, window=4)
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    for most in (10_000, 9):  # one automaton; several groups
+        got = decontaminate.scan(df, bench, window=4, max_group_words=most).orderBy("doc_id").collect()
+        assert [(r.doc_id, r.n_words, sum(r.spans[1::2]) - sum(r.spans[::2]), r["items"]) for r in got] == want
+
+
+def test_spans_are_cut_and_contaminated_documents_go(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    rest = " ".join(f"x{i}" for i in range(300))
+    docs = [(1, f"Start. {item.upper()}! {rest}"), (2, f"{item} only"), (3, rest), (4, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    kept = decontaminate.remove_spans(decontaminate.scan(df, bench)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in kept] == [(1, f"Start. ! {rest}"), (3, rest), (4, None)]
+
+
+# --- 3 ----------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def test_byte_bpe_matches_tiktoken(spark, ranks):
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    d = table("documents")
+    got = {r[0]: tuple(r)[1:] for r in queries.op3_byte_bpe(spark, SF).collect()}
+    for doc, text in zip(d.doc_id, d.text):
+        ids = np.array(enc.encode_ordinary(text), "<u4")
+        assert got[doc] == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_byte_bpe_on_odd_texts(spark, ranks):
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    op = queries.byte_bpe_operator(spark)
+    rng = np.random.default_rng(1)
+    mixed = ["".join(rng.choice(list("ab \n\té中\x1f'slt9. İǅﬁ▁"), 200)) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*ODD, *mixed])], "ids long, text string")
+    rows = op.decode(op.encode(docs)).collect()  # the column named like the output is replaced
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+
+
+# --- 4 ----------------------------------------------------------------------------------------
+
+
+def test_url_rules(spark, odd_dir):
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in queries.op4_url_filter(spark, odd_dir[0]).collect()}
+    assert got == {
+        (None, "", "", None, "allow"),
+        (1, "", "", None, "allow"),
+        (2, "", "", None, "allow"),
+        (3, "a.example.com", "/en/1", "example.com/en/", "block"),
+        (4, "com", "", None, "allow"),
+        (5, "com", "/", "com/", "allow"),
+        (6, "www.example.com", "/en/", "www.example.com/en/", "allow"),
+        (7, "net", "/es/", "net/es/", "block"),
+    }
+
+
+def test_bloom_filter_holds_every_key(spark):
+    keys = spark.range(5_000).selectExpr("xxhash64(id) AS h")
+    for most in (64 << 20, 64):  # a full filter only costs joins
+        bloom = url_filter.BlockedBloom.build(keys, "h", 5_000, max_bytes=most)
+        assert bloom.may_hold(np.array([r.h for r in keys.collect()])).all()
+    bloom = url_filter.BlockedBloom.build(keys, "h", 5_000)
+    other = np.array([r.h for r in spark.range(10**6, 10**6 + 5_000).selectExpr("xxhash64(id) AS h").collect()])
+    assert bloom.may_hold(other).mean() < 0.02
+
+
+def test_empty_url_list(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    rules = spark.createDataFrame([], "host string, path string, verdict string")
+    assert [tuple(r) for r in url_filter.judge(pages, rules).collect()] == [(1, "http://a.com/", "a.com", "/", None, "allow")]
+
+
+# --- 5 ----------------------------------------------------------------------------------------
+
+
+def test_language_counts_match_brute_force(spark):
+    docs = [("Ab a!", "en"), ("ab", "fr"), ("b1b", "en"), (None, "en"), ("xx", None)]
+    model = language_id.LanguageID.fit(spark.createDataFrame(docs, "text string, lang string"), orders=(1, 2), buckets=97, alpha=1.0)
+    assert model.langs == ["en", "fr"]
+    for lang, texts in (("en", [" ab a ", " b b ", " "]), ("fr", [" ab "])):
+        counts = np.ones(97)
+        for t in texts:
+            codes = np.array([ord(c) for c in t], np.uint64)
+            for n in (1, 2):
+                for i in range(len(t) - n + 1):
+                    counts[language_id.gram_buckets(codes[i : i + n], np.array([0]), n, 97)[0][0]] += 1
+        row = model.log_prob[model.langs.index(lang)]
+        assert np.allclose(row, np.log(counts / counts.sum()), atol=1e-5)
+
+
+def test_language_accuracy_on_held_out(spark):
+    d = table("documents").set_index("doc_id")
+    rows = queries.op5_language_id(spark, SF).collect()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in d.index if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r.lang_pred == d.lang[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_of_texts_without_letters(spark):
+    model = queries.fit_language_id(spark.read.parquet(f"{SF}/documents.parquet"))
+    got = model.predict(spark.createDataFrame([(None,), ("",), ("12 !!",), ("the and of the",)], "text string")).collect()
+    assert [(r.lang_pred, r.score) for r in got[:3]] == [("und", 0.0)] * 3
+    assert got[3].lang_pred == "en"
+
+
+# --- 9 ----------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("top", [1, 2, 40_000, 1 << 20, 1 << 40, (1 << 60) - 1, (1 << 64) - 1])
+def test_simple8b_round_trip(top):
+    rng = np.random.default_rng(top % 1000)
+    for n in (0, 1, 2, 59, 60, 61, 119, 120, 121, 1000):
+        v = rng.integers(0, top, n, dtype=np.uint64, endpoint=True)
+        v[rng.random(n) < 0.3] = 0
+        words, escaped = simple8b.pack(v)
+        assert (simple8b.unpack(words, escaped, n) == v).all()
+    words, _ = simple8b.pack(np.zeros(1200, np.uint64))
+    assert len(words) == 10
+
+
+def test_token_file_blocks(tmp_path):
+    rng = np.random.default_rng(0)
+    docs = [rng.integers(0, 49_408, n).astype("<u4") for n in (0, 3, 70_000, 5, 200_000, 0, 1)]
+    ids = [None, 1, 2, 2, 3, 4, 5]
+    data = token_files.to_bytes(ids, docs)
+    import io
+
+    reader = token_files.FileReader(io.BytesIO(data), len(data))
+    got = list(reader.documents())
+    assert [g[0] for g in got] == ids
+    assert [g[1] for g in got] == np.cumsum([0, *map(len, docs)])[:-1].tolist()
+    assert all((a == b[2]).all() for a, b in zip(docs, got))
+    assert (reader.ids(1, 2) == np.concatenate(docs)[token_files.BLOCK : 2 * token_files.BLOCK]).all()
+    with pytest.raises(ValueError):
+        token_files.FileReader(io.BytesIO(data[:-1]), len(data) - 1)
+
+
+def test_token_files_match_library(spark):
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tok.encode_special_tokens = True
+    d = table("documents").sort_values("doc_id")
+    got = sorted(tuple(r) for r in queries.op9_token_files(spark, SF).collect())
+    start, want = 0, []
+    for doc, text in zip(d.doc_id, d.text):
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        want.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert got == want
+
+
+def test_word_encoder_on_odd_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    enc = word_bpe.WordEncoder(open(path, encoding="utf-8").read(), 1)
+    rng = np.random.default_rng(1)
+    mixed = ["".join(rng.choice(list("ab \n\té中\x1f\x85\xa0'slt9. İǅﬁΣ<|>\u0301"), 200)) for _ in range(200)]
+    for t, ids in zip([*ODD, *mixed], enc([*ODD, *mixed])):
+        assert ids.tolist() == [*(tok.encode(t, add_special_tokens=False).ids if t else []), 1]
+
+
+def test_token_files_order_of_odd_rows(spark, odd_dir):
+    rows = queries.op9_token_files(spark, odd_dir[0]).collect()
+    rows.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, 1, 2, 3, 4, 5, 6, 7, 7]
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
+    assert Counter(r.n_tokens for r in rows)[1] >= 3
