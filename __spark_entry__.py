@@ -28,6 +28,15 @@ from hitparade.sources import landing
 from hitparade.sources import raw as raw_src
 from hitparade.streaming import snapshot_ingest
 
+try:  # the training-data operators can be left out of an installation
+    from hitparade.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The snapshot used by the single-date reports (a ship month present at every
 # scale factor).
@@ -321,7 +330,8 @@ def q_stream_snapshot_ingest(spark, sf_dir):
     return lake_src.read_table(spark, curated_root, "fait_popularite")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the chart operators."""
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "raw_roundtrip": q_raw_roundtrip,
         "staging_titres": q_staging_titres,
@@ -500,7 +510,21 @@ def _report_sql(snapshot: str | None) -> dict[str, str]:
     }
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query; those of the training-data operators where they are installed."""
+    return library_queries() | (llm_queries.QUERIES if llm_queries else {}) | (
+        {"pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    )
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = library_oracle_sql() | (llm_queries.ORACLE_SQL if llm_queries else {})
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
+def library_oracle_sql() -> dict[str, str]:
     body = {
         "first_seen_dedup": "SELECT * FROM titres",
         "dim_titre": "SELECT * FROM dim_titre",

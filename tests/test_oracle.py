@@ -19,7 +19,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.library_queries()) == set(E.library_oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -28,7 +28,7 @@ def test_entry_smoke(spark):
     assert len(df.collect()) == 9
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.library_queries()))
 def test_query_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
