@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitparade.llm import byte_bpe, decontaminate, language_id, token_files, url_filter, word_bpe
+from hitparade.llm import byte_bpe, decontaminate, language_id, quality_rules, secrets, token_files, url_filter, word_bpe
 from hitparade.session import scratch_dir
 
 #: Id appended to each document's ids in token files.
@@ -118,6 +118,32 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.coalesce(crc_mod(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+# --- 7: quality rules -----------------------------------------------------------------------
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    made = quality_rules.score(docs, model)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return made.select("doc_id", *base, "llr")
+
+
+# --- 8: secret scan -------------------------------------------------------------------------
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(spark, docs))
+    count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS[:3])],
+        F.sha2(secrets.described("base").cast("binary"), 256).alias("base_sha256"),
+        secrets.described("secrets").alias("spans"),
+    )
+
+
 # --- 9: token files -------------------------------------------------------------------------
 
 
@@ -136,6 +162,8 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
 }
 
