@@ -28,24 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitparade.llm.arrow import append_columns
+from hitparade.llm.hashing import TO_WORDS, words_of
 
 WINDOW = 13
 #: Item words that one automaton may hold (about 600 bytes each).
 MAX_GROUP_WORDS = 200_000
 
 _WORD = rb"[0-9a-z\x80-\xff]+"
-_TO_WORDS = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
 #: SQL pattern of what separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The normalised words of a text."""
-    return text.encode().translate(_TO_WORDS).split() if text else []
-
-
 class Automaton:
     """Generalised suffix automaton over word ids, with the items that hold each window.
 
@@ -274,7 +267,7 @@ def cut(text: str | None, spans: list[int]) -> str | None:
     if not spans:
         return text
     data = text.encode()
-    at = [m.span() for m in re.finditer(_WORD, data.translate(_TO_WORDS))]
+    at = [m.span() for m in re.finditer(_WORD, data.translate(TO_WORDS))]
     out, done = [], 0
     for a, b in zip(spans[::2], spans[1::2], strict=True):
         out.append(data[done : at[a][0]])

@@ -119,7 +119,8 @@ def fit(
     alpha: float = 1.0,
 ) -> list[int] | None:
     """Thousandths of log p(trusted) - log p(raw) by bucket; None without trusted texts."""
-    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_id")).distinct()
+    # labels grow with the corpus: both sides are shuffled, at any size
+    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_id")).distinct().hint("shuffle_hash")
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     rows = rows.join(trusted, F.col("_doc") == F.col("_id"), "left")
     rows = _measured(rows, "_text").select(

@@ -10,7 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitparade.llm import byte_bpe, decontaminate, language_id, quality_rules, secrets, token_files, url_filter, word_bpe
+from hitparade.llm import (
+    byte_bpe,
+    decontaminate,
+    kd_shards,
+    language_id,
+    line_crf,
+    ngram_join,
+    quality_rules,
+    secrets,
+    token_files,
+    url_filter,
+    word_bpe,
+)
 from hitparade.session import scratch_dir
 
 #: Id appended to each document's ids in token files.
@@ -26,6 +38,13 @@ def crc_mod(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+# --- 1: n-gram Jaccard join -----------------------------------------------------------------
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("key")
+
+
 # --- 2: benchmark decontamination -----------------------------------------------------------
 
 
@@ -118,6 +137,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.coalesce(crc_mod(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+# --- 6: quality classifier ------------------------------------------------------------------
+
+
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(crc_mod(5) != 0)
+    made = line_crf.LineCRF.fit(docs, labels).predict(docs, keep_text=False)
+    held_out = F.coalesce(crc_mod(5) == 0, F.lit(False)).alias("held_out")
+    return made.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 # --- 7: quality rules -----------------------------------------------------------------------
 
 
@@ -157,14 +187,29 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 10: sharding ---------------------------------------------------------------------------
+
+SHARDS = 40
+
+
+def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = kd_shards.assign(table(spark, sf_dir, "documents"), shards=SHARDS)
+    return made.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontaminate": op2_decontaminate,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_quality_crf": op6_quality_crf,
     "op7_quality_rules": op7_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
+    "op10_kd_shards": op10_kd_shards,
 }
 
 ORACLE_SQL = {"op4_url_filter": OP4_SQL}

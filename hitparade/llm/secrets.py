@@ -2,13 +2,13 @@
 
 Patterns find assignments, access keys and long hex runs. The method adds runs
 of ``[A-Za-z0-9+/_=-]`` of ``MIN_LENGTH`` characters and more whose log-likelihood
-under a first-order Markov model of random strings exceeds that under one of
-ordinary identifiers by ``MIN_TOTAL`` in all and ``MIN_MEAN`` a transition
+under one of two first-order Markov models of random strings exceeds that under
+one of ordinary identifiers by ``MIN_TOTAL`` in all and ``MIN_MEAN`` a transition
 (thousandths of a nat), where no pattern match overlaps them.
 
-Labelled samples: random are the values that the patterns match in the corpus,
-and strings of known randomness (hex and base64 of SHA-256 digests of
-``GENERATED`` counters), mixed half and half; ordinary are the corpus's other
+Labelled samples: random are the values that the patterns match in the corpus
+(one model), and strings of known randomness, hex and base64 of SHA-256 digests
+of ``GENERATED`` counters (the other); ordinary are the corpus's other
 runs of ``TRAIN_LENGTH`` characters and more. Transitions of all of them are
 counted by Spark, at most 128 x 128 counts a class reach the driver. Everything
 is SQL functions.
@@ -105,8 +105,9 @@ def _conditional(counts: dict[int, int], alphabet: list[int], alpha: float) -> d
     return out
 
 
-def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", alpha: float = 0.5) -> list[int]:
-    """Thousandths of log p(random) - log p(ordinary) by transition, 128 x first + second."""
+def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", alpha: float = 0.5) -> list[list[int]]:
+    """For each model of random strings, thousandths of log p(random) - log p(ordinary) by
+    transition, 128 x first + second. Without pattern matches there is one model."""
     text = F.coalesce(F.col(text_col), F.lit("")).alias("t")
     rows = docs.select(text)
     value = F.when(F.col("t").rlike(ASSIGN), F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)))
@@ -138,29 +139,30 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", alpha: flo
     hit = {r.pair: r["count"] for r in got if r.random}
     plain = {r.pair: r["count"] for r in got if not r.random}
     alphabet = sorted({x for p in (*made, *hit, *plain) for x in divmod(p, 128)})
-    p_made, p_hit = _conditional(made, alphabet, alpha), _conditional(hit or made, alphabet, alpha)
     p_plain = _conditional(plain, alphabet, alpha)
-    table = [0] * (128 * 128)
-    for p in p_made:
-        table[p] = round(1000 * math.log((p_made[p] + p_hit[p]) / 2 / p_plain[p]))
-    return table
+    tables = []
+    for counts in filter(None, (made, hit)):
+        table = [0] * (128 * 128)
+        for pair, p in _conditional(counts, alphabet, alpha).items():
+            table[pair] = round(1000 * math.log(p / p_plain[pair]))
+        tables.append(table)
+    return tables
 
 
-def markov_spans(text_col: str, base_col: str, table: list[int], min_total: int, min_mean: int) -> Column:
+def markov_spans(text_col: str, base_col: str, tables: list[list[int]], min_total: int, min_mean: int) -> Column:
     """Runs that are likelier random than ordinary, away from the base spans."""
     text = F.col(text_col)
 
-    def llr(chars: Column) -> Column:
+    def llr(chars: Column, table: list[int]) -> Column:
         return F.aggregate(
             F.sequence(F.lit(0), F.size(chars) - 2),
             F.lit(0),
-            lambda a, i: a
-            + F.get(int_table(table), F.ascii(F.get(chars, i)) * 128 + F.ascii(F.get(chars, i + 1))),
+            lambda a, i: a + F.get(int_table(table), F.ascii(F.get(chars, i)) * 128 + F.ascii(F.get(chars, i + 1))),
         )
 
     def random(run: Column) -> Column:
-        total = bind(F.split(run, ""), llr)
-        return bind(total, lambda x: (x >= min_total) & (x >= min_mean * (F.char_length(run) - 1)))
+        best = bind(F.split(run, ""), lambda chars: F.array_max(F.array(*[llr(chars, t) for t in tables])))
+        return bind(best, lambda x: (x >= min_total) & (x >= min_mean * (F.char_length(run) - 1)))
 
     pattern = f"{RUN}{{{MIN_LENGTH},}}"
     some = F.exists(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), random)
@@ -169,13 +171,13 @@ def markov_spans(text_col: str, base_col: str, table: list[int], min_total: int,
 
 
 def scan(
-    docs: DataFrame, table: list[int], text_col: str = "text", min_total: int = MIN_TOTAL, min_mean: int = MIN_MEAN
+    docs: DataFrame, tables: list[list[int]], text_col: str = "text", min_total: int = MIN_TOTAL, min_mean: int = MIN_MEAN
 ) -> DataFrame:
     """``docs`` with ``base`` and ``secrets`` (base and method): arrays of (start, rank, end),
     the rank an index into KINDS, ordered by start, then kind. A null text counts as empty."""
     rows = docs.drop(*[c for c in ("base", "secrets") if c != text_col])
     rows = rows.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("base", base_spans("_text"))
-    more = markov_spans("_text", "base", table, min_total, min_mean)
+    more = markov_spans("_text", "base", tables, min_total, min_mean)
     return rows.withColumn("secrets", F.array_sort(F.concat("base", more))).drop("_text")
 
 
