@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Text bytes one call of an operator's kernel sees at most (a single longer text is still whole).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

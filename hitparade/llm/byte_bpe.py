@@ -27,8 +27,8 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 
 from hitparade.llm.arrow import append_columns
 
-#: Pre-tokens remembered in a Python worker; when full, the shorter half stays (results do not change).
-MEMORY = 350_000
+#: Pre-tokens remembered in a task; when full, the shorter half stays (results do not change).
+MEMORY = 200_000
 #: Longer pre-tokens are encoded without being remembered.
 LONGEST_REMEMBERED = 64
 
@@ -75,7 +75,7 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one worker process."""
+    """Encoder and decoder of one task (a worker process keeps nothing of it)."""
 
     def __init__(self, model: bytes, pattern: str):
         self.sp = SentencePieceProcessor(model_proto=model)
@@ -116,18 +116,6 @@ class Codec:
         return [b"".join(map(self.bytes_of.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in ids]
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
-
-
-def _codec(model: bytes, pattern: str) -> Codec:
-    """One codec a worker process: loading a model costs more than a small partition."""
-    key = (hash(model), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(model, pattern)
-    return _CODECS[key]
-
-
 class ByteBPE:
     """A byte-level BPE vocabulary as a Spark operator.
 
@@ -144,7 +132,7 @@ class ByteBPE:
         model, pattern = self.model, self.pattern
 
         def kernel():
-            codec = _codec(model.value, pattern)
+            codec = Codec(model.value, pattern)
             return lambda texts: [pa.array(codec.encode(texts), pa.binary())]
 
         return append_columns(docs, text_col, kernel, [T.StructField(ids_col, T.BinaryType())], keep_text)
@@ -154,7 +142,7 @@ class ByteBPE:
         model, pattern = self.model, self.pattern
 
         def kernel():
-            codec = _codec(model.value, pattern)
+            codec = Codec(model.value, pattern)
             return lambda ids: [pa.array(codec.decode(ids), pa.binary())]
 
         return append_columns(docs, ids_col, kernel, [T.StructField(out_col, T.BinaryType())])
@@ -164,7 +152,7 @@ class ByteBPE:
         model, pattern = self.model, self.pattern
 
         def kernel():
-            codec = _codec(model.value, pattern)
+            codec = Codec(model.value, pattern)
 
             def run(texts):
                 ids = codec.encode(texts)

@@ -29,7 +29,7 @@ from hitparade.llm.arrow import append_columns, slices
 
 UNDETERMINED = "und"
 #: Characters in one numpy pass (a longer text is still one pass).
-PASS_CHARS = 1 << 20
+PASS_CHARS = 1 << 18
 
 _LETTERS: list[np.ndarray] = []
 

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from hitparade.llm.byte_bpe import shorter_half
 
 #: Chunks and pre-tokens remembered in a Python worker; when full, the shorter half stays (results do not change).
-MEMORY = 300_000
+MEMORY = 200_000
 #: Longer chunks are encoded without being remembered.
 LONGEST_REMEMBERED = 48
 #: Pre-tokens in one call of the model.
