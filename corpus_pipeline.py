@@ -18,19 +18,27 @@ from hitparade.session import scratch_dir
 MIN_LANGUAGE_SCORE = 0.4
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column but the text under a name that no operator uses."""
+    return docs.select(*[F.col(c) if c == "text" else F.col(c).alias(f"_doc_{c}") for c in docs.columns])
+
+
+def _back(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of ``names`` after ``_apart``; ``n_chars`` counted anew."""
+    out = docs.select(*[F.col("text") if c == "text" else F.col(f"_doc_{c}").alias(c) for c in names])
+    return _with_length(out).select(*names)
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or of no language that the model can tell, go."""
-    names = docs.columns
-    # the model's columns are named apart from whatever the table has
-    plain = docs.select("doc_id", "text", "lang")
-    model = queries.fit_language_id(plain)
-    judged = model.predict(docs.select(F.col("text"), F.struct(*docs.columns).alias("_row")))
+    model = queries.fit_language_id(docs.select("doc_id", "text", "lang"))
+    judged = model.predict(_apart(docs))
     kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*[F.col("_row")[c].alias(c) for c in names])
+    return kept.select(*[F.col(c if c == "text" else f"_doc_{c}").alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,21 +48,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; shorter benchmark spans are cut out of the others."""
-    names = docs.columns
-    rows = docs.select(F.col("text"), F.struct(*names).alias("_row"))
-    scanned = decontaminate.scan(rows, queries.table(spark, sf_dir, "benchmark"))
-    left = decontaminate.remove_spans(scanned)
-    out = left.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in names])
-    return _with_length(out).select(*names)
+    scanned = decontaminate.scan(_apart(docs), queries.table(spark, sf_dir, "benchmark"))
+    return _back(decontaminate.remove_spans(scanned), docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; every document stays."""
-    names = docs.columns
-    rows = docs.select(F.col("text"), F.struct(*names).alias("_row"))
-    masked = secrets.redact(secrets.scan(rows, secrets.fit(spark, docs.select("text"))))
-    out = masked.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in names])
-    return _with_length(out).select(*names)
+    tables = secrets.fit(spark, docs.select("text"))
+    return _back(secrets.redact(secrets.scan(_apart(docs), tables)), docs.columns)
 
 
 def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
