@@ -48,8 +48,9 @@ ABSENT_SNAPSHOT = "2030-01-01"
 def _star(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> star_ops.Star:
     """The star from the landing tables — every snapshot, or only ``snapshot``
     (read with a pushed-down ship-date range)."""
-    titres, artistes = landing.staging(spark, sf_dir, snapshot)
-    return star_ops.build_star(titres, artistes)
+    kept = landing.kept_entries(spark, sf_dir, snapshot)
+    titres, artistes = landing.titles_of(spark, sf_dir, kept), landing.staged_artists(spark, sf_dir, kept)
+    return star_ops.build_star(titres, artistes, kept)
 
 
 def _report(name: str, snapshot: str | None) -> Callable[[SparkSession, str], DataFrame]:
@@ -100,7 +101,7 @@ def q_single_snapshot_gate(spark, sf_dir):
 # rule has something to find on the generated data
 def q_dq_unicite(spark, sf_dir):
     # uniqueness of the fact built from chart rows *before* dedup
-    return quality.check_unicite(star_ops.build_fait_popularite(landing.chart_tracks(spark, sf_dir)))
+    return quality.check_unicite(star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir)))
 
 
 def q_dq_completude(spark, sf_dir):
@@ -117,10 +118,10 @@ def q_dq_validite(spark, sf_dir):
 
 def q_dq_coherence(spark, sf_dir):
     # dimension built from artist lookups that pass validity (fans >= 0)
-    titres = landing.first_seen_titles(spark, sf_dir)
-    enriched = ingest.enrich_artists(titres, landing.valid_artist_records(spark, sf_dir))
+    kept = landing.kept_entries(spark, sf_dir)
+    enriched = ingest.enrich_artists(kept, landing.valid_artist_records(spark, sf_dir))
     artistes = enriched.where("resolved").select("id", "name", "nb_fan", "nb_album", enriched.date_snapshot.alias("date"))
-    fait = star_ops.build_fait_popularite(titres)
+    fait = star_ops.build_fait_popularite(kept)
     return quality.check_coherence(fait, star_ops.build_dim_artiste(artistes))
 
 
@@ -144,8 +145,9 @@ def q_envelope_reject(spark, sf_dir):
     return rejected
 
 
-def q_chart_page_cap(spark, sf_dir):
-    return ingest.paginate_chart(landing.chart_tracks(spark, sf_dir))
+def q_chart_pages_read(spark, sf_dir):
+    pages = ingest.stop_after_last_page(ingest.parse_chart_pages(landing.chart_pages(spark, sf_dir)))
+    return pages.select("date_snapshot", "genre_id", "page_no", F.size("doc.data").cast("long").alias("n_tracks"))
 
 
 def q_track_flatten(spark, sf_dir):
@@ -170,8 +172,8 @@ def q_genre_yield(spark, sf_dir):
 
 
 def _extraction(spark, sf_dir) -> extract_plan.Extraction:
-    """The extraction job over landed bodies: genre list, capped chart pages,
-    artist lookups."""
+    """The extraction job over landed bodies: genre list, chart pages, artist
+    lookups."""
     return extract_plan.extract(
         landing.genre_list_body(spark, sf_dir),
         landing.chart_pages(spark, sf_dir),
@@ -246,9 +248,9 @@ def q_snapshot_overwrite(spark, sf_dir):
     # a first run wrote un-deduplicated facts for every snapshot; the rerun of
     # one snapshot replaces that date only
     root = scratch_dir(spark, "overwrite")
-    stale = star_ops.build_fait_popularite(landing.chart_tracks(spark, sf_dir))
+    stale = star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir))
     lake_sink.write_table(stale, root, mode="dates")
-    rerun = _star(spark, sf_dir).at(REPORT_SNAPSHOT).fait_popularite
+    rerun = _star(spark, sf_dir, REPORT_SNAPSHOT).fait_popularite
     lake_sink.write_table(rerun, root, mode="dates")
     return spark.read.schema(schemas.with_partition(schemas.FAIT_POPULARITE)).parquet(root)
 
@@ -295,7 +297,10 @@ def q_retention_expired(spark, sf_dir):
         spark, db, "documents", raw_root, schemas.RAW_DOCUMENT, fmt="json", partition_by=("date", "kind")
     )
     catalog.recover_partitions(spark, [f"{db}.documents"])
-    return catalog.expired_partitions(catalog.partitions(spark, f"{db}.documents"), as_of=REPORT_SNAPSHOT)
+    expired = catalog.expired_partitions(catalog.partitions(spark, f"{db}.documents"), as_of=REPORT_SNAPSHOT)
+    catalog.drop_partitions(spark, f"{db}.documents", [r.date for r in expired.select("date").collect()])
+    left = spark.table(f"{db}.documents").where(F.col("kind") == "tracks")
+    return left.groupBy("date").agg(F.sum(F.size("tracks")).alias("n_tracks"))
 
 
 def q_report_sink(spark, sf_dir):
@@ -356,7 +361,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": q_dq_report,
         "genre_exclude_all": q_genre_exclude_all,
         "envelope_reject": q_envelope_reject,
-        "chart_page_cap": q_chart_page_cap,
+        "chart_pages_read": q_chart_pages_read,
         "track_flatten": q_track_flatten,
         "required_fields": q_required_fields,
         "artist_enrich": q_artist_enrich,
@@ -452,7 +457,6 @@ WITH entries AS (
                                              rank NULLS FIRST, explicit_lyrics NULLS FIRST) AS rn,
                  count(*) OVER (PARTITION BY date_snapshot, genre_id) AS chart_len
           FROM chart)
-    WHERE rn <= 200
 ), dim_date AS (
     SELECT CAST(d AS DATE) AS "date",
            CAST(dayofmonth(CAST(d AS DATE)) AS INTEGER) AS jour,
@@ -469,44 +473,32 @@ def _filter(alias: str, snapshot: str | None) -> str:
 
 
 def _report_sql(snapshot: str | None) -> dict[str, str]:
-    fp = _filter("fp", snapshot)
-    dt = _filter("dt", snapshot)
-    da = _filter("da", snapshot)
-    r2_order = "nb_fan DESC, id_artiste" + ("" if snapshot else ', "date"')
+    on = "TRUE" if snapshot is None else f"\"date\" = '{snapshot}'"
+    tie = "" if snapshot else ', "date"'
+    # the fact with its title's genre, and with its artist, at the wanted dates
+    charted = f"(SELECT * FROM fait_popularite JOIN dim_titre USING (id_titre, \"date\") WHERE {on})"
+    played = f"(SELECT * FROM fait_popularite JOIN dim_artiste USING (id_artiste, \"date\") WHERE {on})"
     return {
         "rpt_genre_popularity": f"""
-            SELECT dt.genre, COUNT(*) AS nb_titres,
-                   AVG(fp.score_popularite) AS score_popularite_moyen
-            FROM fait_popularite fp
-            JOIN dim_titre dt ON dt.id_titre = fp.id_titre AND dt."date" = fp."date"
-            WHERE TRUE {fp}
-            GROUP BY dt.genre""",
+            SELECT genre, AVG(score_popularite) AS score_popularite_moyen, COUNT(*) AS nb_titres
+            FROM {charted} GROUP BY ALL""",
         "rpt_top_artists": f"""
-            SELECT id_artiste, nom, nb_fan, nb_album FROM dim_artiste da
-            WHERE TRUE {da}
-            ORDER BY {r2_order} LIMIT 20""",
+            SELECT id_artiste, nom, nb_fan, nb_album FROM dim_artiste WHERE {on}
+            QUALIFY row_number() OVER (ORDER BY nb_fan DESC NULLS LAST, id_artiste{tie}) <= 20""",
         "rpt_bpm_by_genre": f"""
-            SELECT genre, COUNT(bpm) AS nb_titres_avec_bpm, AVG(bpm) AS bpm_moyen,
-                   MIN(bpm) AS bpm_min, MAX(bpm) AS bpm_max
-            FROM dim_titre dt WHERE TRUE {dt}
-            GROUP BY genre""",
+            SELECT genre, MAX(bpm) AS bpm_max, MIN(bpm) AS bpm_min, AVG(bpm) AS bpm_moyen,
+                   COUNT(bpm) AS nb_titres_avec_bpm
+            FROM dim_titre WHERE {on} GROUP BY ALL""",
         "rpt_catalog_overview": f"""
-            SELECT dt.genre, COUNT(DISTINCT dt.id_titre) AS nb_titres,
-                   COUNT(DISTINCT fp.id_artiste) AS nb_artistes
-            FROM dim_titre dt
-            JOIN fait_popularite fp ON fp.id_titre = dt.id_titre AND fp."date" = dt."date"
-            WHERE TRUE {dt}
-            GROUP BY dt.genre""",
+            SELECT genre, COUNT(DISTINCT id_artiste) AS nb_artistes, COUNT(DISTINCT id_titre) AS nb_titres
+            FROM {charted} GROUP BY ALL""",
         "rpt_emerging_artists": f"""
-            SELECT da.id_artiste, da.nom, da.nb_fan,
-                   AVG(fp.score_popularite) AS score_popularite_moyen,
-                   COUNT(*) AS nb_titres_classes
-            FROM fait_popularite fp
-            JOIN dim_artiste da ON da.id_artiste = fp.id_artiste AND da."date" = fp."date"
-            WHERE da.nb_fan < 500000 {fp}
-            GROUP BY da.id_artiste, da.nom, da.nb_fan
-            ORDER BY score_popularite_moyen DESC NULLS LAST, da.id_artiste, da.nom, da.nb_fan
-            LIMIT 20""",
+            SELECT * FROM (
+                SELECT id_artiste, nom, nb_fan, COUNT(*) AS nb_titres_classes,
+                       AVG(score_popularite) AS score_popularite_moyen
+                FROM {played} WHERE nb_fan < 500000 GROUP BY ALL)
+            QUALIFY row_number() OVER (
+                ORDER BY score_popularite_moyen DESC NULLS LAST, id_artiste, nom, nb_fan) <= 20""",
     }
 
 
@@ -635,11 +627,13 @@ def _quality_sql() -> dict[str, str]:
 
 _EXTRACTED = """, extracted AS (
     SELECT id, title, duration, rank, bpm, gain, explicit_lyrics, artist_id, genre_id, date_snapshot
-    FROM paged
-    WHERE genre_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS DISTINCT FROM 0)
-      AND id IS NOT NULL AND title IS NOT NULL AND duration IS NOT NULL AND rank IS NOT NULL
+    FROM (
+        SELECT * FROM paged
+        WHERE genre_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS DISTINCT FROM 0) AND id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY date_snapshot, id ORDER BY genre_id, page_no, page_pos) = 1
+    )
+    WHERE title IS NOT NULL AND duration IS NOT NULL AND rank IS NOT NULL
       AND artist_id IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY date_snapshot, id ORDER BY genre_id, page_no, page_pos) = 1
 )"""
 
 
@@ -661,7 +655,8 @@ def _ingest_sql() -> dict[str, str]:
             FROM bodies
             WHERE CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT'
                        THEN list_contains(json_keys(body), 'error') ELSE FALSE END""",
-        "chart_page_cap": "SELECT * FROM paged",
+        "chart_pages_read": """
+            SELECT date_snapshot, genre_id, page_no, COUNT(*) AS n_tracks FROM paged GROUP BY ALL""",
         "track_flatten": f"SELECT date_snapshot, {track_cols}, page_no, page_pos FROM paged",
         "required_fields": """
             SELECT COUNT(*) AS n_tracks,
@@ -688,7 +683,8 @@ def _ingest_sql() -> dict[str, str]:
             SELECT r.date_snapshot, r.genre_id, r.n_received, CAST(COALESCE(k.n_new, 0) AS BIGINT) AS n_new
             FROM (SELECT date_snapshot, genre_id, COUNT(*) AS n_received FROM entries GROUP BY ALL) r
             LEFT JOIN (SELECT date_snapshot, genre_id, COUNT(*) AS n_new FROM kept GROUP BY ALL) k
-                   ON k.date_snapshot = r.date_snapshot AND k.genre_id = r.genre_id""",
+                   ON k.date_snapshot IS NOT DISTINCT FROM r.date_snapshot
+                  AND k.genre_id IS NOT DISTINCT FROM r.genre_id""",
         "extract_summary": """
             SELECT COALESCE(g.date_snapshot, t.date_snapshot, a.date_snapshot) AS date_snapshot,
                    CAST(COALESCE(g.n, 0) AS BIGINT) AS n_genres,
@@ -730,10 +726,10 @@ def _lake_sql() -> dict[str, str]:
         "catalog_tables": r1_history,
         "catalog_partitions": 'SELECT DISTINCT "date" FROM fait_popularite',
         "retention_expired": f"""
-            SELECT DISTINCT date_snapshot AS "date",
-                   CAST(datediff('day', CAST(date_snapshot AS DATE), DATE '{d}') AS BIGINT) AS age_days
+            SELECT date_snapshot AS "date", COUNT(*) AS n_tracks
             FROM titres
-            WHERE CAST(date_snapshot AS DATE) < DATE '{d}' - INTERVAL 100 DAY""",
+            WHERE CAST(date_snapshot AS DATE) >= DATE '{d}' - INTERVAL 100 DAY
+            GROUP BY ALL""",
         "report_sink": r1_history,
         "load_metrics": """
             SELECT 'dim_artiste' AS table_name, COUNT(*) AS n_rows FROM dim_artiste

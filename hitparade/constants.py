@@ -6,8 +6,6 @@ them from here.
 
 # extraction
 ALL_GENRES_ID = 0
-CHART_PAGE_SIZE = 100
-MAX_CHART_PAGES = 2
 REQUIRED_TRACK_FIELDS = ("id", "title", "duration", "rank", "artist_id")
 
 # Raw path partition segment

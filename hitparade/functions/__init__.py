@@ -4,7 +4,6 @@ from hitparade.functions.columns import (
     DATE_PARTITION_PATTERN,
     calendar_parts,
     has_json_key,
-    is_valid_number,
     month_snapshot,
     out_of_range,
     path_snapshot_date,
@@ -16,7 +15,6 @@ __all__ = [
     "DATE_PARTITION_PATTERN",
     "calendar_parts",
     "has_json_key",
-    "is_valid_number",
     "month_snapshot",
     "out_of_range",
     "path_snapshot_date",

@@ -23,11 +23,6 @@ def present(col: Column | str) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def is_valid_number(col: Column | str) -> Column:
-    """Alias of :func:`present` for readability in validity rules."""
-    return present(col)
-
-
 def out_of_range(col: Column | str, low: float | None, high: float | None) -> Column:
     """True when a *present* value lies outside ``[low, high]``.
 

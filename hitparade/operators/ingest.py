@@ -7,8 +7,8 @@ responses at once, so the work is spread by Spark instead of a Python loop:
 * genres: drop the "all genres" pseudo-genre (id 0), null-safe;
 * envelopes: a body that is a JSON object with an ``error`` key is a failure
   even if the transport said OK — quarantined, never parsed as data;
-* chart pages: ordered pages of ``page_size`` rows, at most ``max_pages`` per
-  genre, stop after the first page without ``next``;
+* chart pages: every landed page is read, up to the first one whose ``next`` is
+  absent or empty;
 * first-seen dedup: per (snapshot, id) keep the occurrence that comes first in
   (genre order, page, position) — ``row_number() == 1``, which Spark limits
   map-side (``WindowGroupLimit``) so a hot id never reaches one task whole;
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitparade import schemas
-from hitparade.constants import ALL_GENRES_ID, CHART_PAGE_SIZE, MAX_CHART_PAGES, REQUIRED_TRACK_FIELDS
+from hitparade.constants import ALL_GENRES_ID, REQUIRED_TRACK_FIELDS
 from hitparade.functions import has_json_key
 
 # Total order deciding which occurrence of a title is "first seen" on a day:
@@ -77,6 +77,12 @@ def flag_envelope_errors(responses: DataFrame, body_col: str = "body") -> DataFr
     return responses.withColumn("is_error", has_json_key(body_col, "error"))
 
 
+def split_unparsable(responses: DataFrame, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) responses: a missing body or one that is not JSON is rejected."""
+    bad = F.try_parse_json(F.col(body_col)).isNull()
+    return responses.where(~bad), responses.where(bad).withColumn("error", F.lit("unparsable body"))
+
+
 def split_envelopes(responses: DataFrame, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) responses. Rejected rows keep the error payload."""
     flagged = flag_envelope_errors(responses, body_col)
@@ -89,59 +95,33 @@ def split_envelopes(responses: DataFrame, body_col: str = "body") -> tuple[DataF
     return accepted, rejected
 
 
-def paginate_chart(
-    entries: DataFrame,
-    page_size: int = CHART_PAGE_SIZE,
-    max_pages: int = MAX_CHART_PAGES,
-    keys: Sequence[str] = ("date_snapshot", "genre_id"),
-    order: Sequence[str] = ("position", "id", "artist_id", "rank", "explicit_lyrics"),
-) -> DataFrame:
-    """Chart entries → the first ``max_pages`` pages of each chart.
-
-    Adds ``page_no`` (0-based), ``page_pos`` (0-based within the page) and
-    ``has_next`` (a further entry exists after this page). Rows beyond the cap
-    are the ones the extraction never fetched. ``row_number() <= cap`` is a
-    per-group top-k: Spark keeps at most ``cap`` rows per chart in every map
-    task before the shuffle (for caps up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
-    """
-    cap = page_size * max_pages
-    w = Window.partitionBy(*keys).orderBy(*order)
-    sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_chart_len"))
-    ranked = entries.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    page_no = F.floor((F.col("_rn") - 1) / page_size)
-    return (
-        ranked.join(sizes, list(keys))
-        .withColumn("page_no", page_no.cast("int"))
-        .withColumn("page_pos", ((F.col("_rn") - 1) % page_size).cast("int"))
-        .withColumn("has_next", F.col("_chart_len") > (F.col("page_no") + 1) * page_size)
-        .drop("_rn", "_chart_len")
-    )
-
-
 def parse_chart_pages(pages: DataFrame, body_col: str = "body") -> DataFrame:
     """Add ``doc`` = the parsed ``{data, next}`` body of each landed page."""
     return pages.withColumn("doc", F.from_json(F.col(body_col), schemas.CHART_PAGE))
 
 
-def stop_after_last_page(parsed: DataFrame, max_pages: int = MAX_CHART_PAGES) -> DataFrame:
-    """Parsed pages → the pages the chart walk actually reads.
-
-    Keep page numbers below ``max_pages`` and none after the first page whose
-    ``next`` is absent. Computed as a per-chart aggregate joined back, so no
-    chart is sorted as a whole.
-    """
-    capped = parsed.where(F.col("page_no") < max_pages)
-    last = capped.groupBy("date_snapshot", "genre_id").agg(
-        F.min(F.when(F.col("doc.next").isNull(), F.col("page_no"))).alias("_last_page")
-    )
-    return (
-        capped.join(last, ["date_snapshot", "genre_id"])
-        .where(F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page")))
-        .drop("_last_page")
+def chart_ends(parsed: DataFrame) -> DataFrame:
+    """Per chart, its last page: the first whose ``next`` is absent or empty
+    (null when every landed page has one). A partial aggregate."""
+    no_next = F.coalesce(F.col("doc.next"), F.lit("")) == ""
+    return parsed.groupBy(F.col("date_snapshot").alias("_date"), F.col("genre_id").alias("_genre")).agg(
+        F.min(F.when(no_next, F.col("page_no"))).alias("_last_page")
     )
 
 
+def same_chart() -> Column:
+    """Null-safe match of a row with its chart in :func:`chart_ends`."""
+    return F.col("date_snapshot").eqNullSafe(F.col("_date")) & F.col("genre_id").eqNullSafe(F.col("_genre"))
+
+
+def stop_after_last_page(parsed: DataFrame) -> DataFrame:
+    """Parsed pages → the pages the chart walk reads: every landed page up to
+    the chart's end. The ends are an aggregate joined back, so no chart is
+    sorted as a whole."""
+    read = F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page"))
+    return parsed.join(chart_ends(parsed), same_chart()).where(read).drop("_date", "_genre", "_last_page")
+
+
 def flatten_chart_pages(parsed: DataFrame) -> DataFrame:
     """Parsed chart pages → one track record per chart entry.
 
@@ -172,31 +152,10 @@ def flatten_chart_pages(parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_chart_pages(pages: DataFrame, max_pages: int = MAX_CHART_PAGES) -> DataFrame:
+def read_chart_pages(pages: DataFrame) -> DataFrame:
     """Landed chart pages (date_snapshot, genre_id, page_no, body) → tracks,
-    following the page cap and the early stop."""
-    return flatten_chart_pages(stop_after_last_page(parse_chart_pages(pages), max_pages))
-
-
-def page_bodies(paged: DataFrame, page_size: int = CHART_PAGE_SIZE) -> DataFrame:
-    """Paged chart rows (from :func:`paginate_chart`) → one landed JSON body per
-    page, ``{data: [track...], next: url}``, tracks in page order with the
-    artist nested as in the API. A page holds at most ``page_size`` rows, so
-    the collect per group is bounded.
-    """
-    track = F.struct(
-        "id", "title", "duration", "rank", "bpm", "gain", "explicit_lyrics", F.struct(F.col("artist_id").alias("id")).alias("artist")
-    )
-    grouped = paged.groupBy("date_snapshot", "genre_id", "page_no").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("page_pos"), track.alias("t")))).alias("_rows"),
-        F.max("has_next").alias("_has_next"),
-    )
-    next_url = F.when(
-        F.col("_has_next"),
-        F.format_string("chart/%d/tracks?index=%d", F.col("genre_id"), (F.col("page_no") + 1) * page_size),
-    )
-    body = F.to_json(F.struct(F.transform("_rows", lambda r: r["t"]).alias("data"), next_url.alias("next")))
-    return grouped.select("date_snapshot", "genre_id", "page_no", body.alias("body"))
+    up to each chart's end."""
+    return flatten_chart_pages(stop_after_last_page(parse_chart_pages(pages)))
 
 
 def chart_sizes_by_genre(genres: DataFrame, entries: DataFrame) -> DataFrame:
@@ -270,7 +229,8 @@ def genre_yield(entries: DataFrame, kept: DataFrame) -> DataFrame:
     """
     received = entries.groupBy("date_snapshot", "genre_id").agg(F.count(F.lit(1)).alias("n_received"))
     new = kept.groupBy("date_snapshot", "genre_id").agg(F.count(F.lit(1)).alias("n_new"))
-    return received.join(new, ["date_snapshot", "genre_id"], "left").select(
+    new = new.withColumnsRenamed({"date_snapshot": "_date", "genre_id": "_genre"})
+    return received.join(new, same_chart(), "left").select(
         "date_snapshot", "genre_id", "n_received", F.coalesce("n_new", F.lit(0)).cast("long").alias("n_new")
     )
 

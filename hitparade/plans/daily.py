@@ -35,15 +35,23 @@ class RunResult:
     quality: list[dict] = field(default_factory=list)
 
 
-def run_staging(spark: SparkSession, raw_path: str, staging_root: str, multi_line: bool = False, strict: bool = True) -> RunResult:
+def run_staging(
+    spark: SparkSession,
+    raw_path: str,
+    staging_root: str,
+    multi_line: bool = False,
+    strict: bool = True,
+    snapshot_dates: list[str] | None = None,
+) -> RunResult:
     """Raw documents at ``raw_path`` → ``staging_root/{titres,artistes}``.
 
     Each table reads only its own kind of raw document (the two writes run as
     concurrent jobs); both use dynamic partition overwrite, so only the snapshots present
-    in the raw input are replaced.
+    in the raw input are replaced. ``snapshot_dates`` names the days to stage: only
+    their ``date=`` folders are listed and read.
     """
     def raw(kind: str):
-        return raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict, kind=kind)
+        return raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict, snapshot_dates=snapshot_dates, kind=kind)
 
     titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw("artists"))
@@ -55,7 +63,7 @@ def run_staging(spark: SparkSession, raw_path: str, staging_root: str, multi_lin
         }
     )
     log.info("staging written from %s: %s", raw_path, rows)
-    return RunResult(None, rows)
+    return RunResult(snapshot_dates, rows)
 
 
 def run_curated(

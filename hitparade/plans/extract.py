@@ -6,14 +6,16 @@ Output is the raw documents' content — first-seen titles and their artists —
 plus what was set aside:
 
 1. genres: parse the list, drop the pseudo-genre 0, keep list order;
-2. envelopes: pages and lookups whose body carries an ``error`` key are
-   quarantined, never read as data;
-3. charts: only pages of walked genres, at most ``max_pages`` each, none after
-   the first page without ``next``;
+2. bodies with an ``error`` key, and bodies that are not JSON, are quarantined,
+   never read as data; ``strict`` aborts when a needed page or a genre list has
+   no accepted body (a later retry that landed will do), or no genre is listed;
+3. charts: only pages of walked genres, every landed page up to the first one
+   whose ``next`` is absent or empty;
 4. titles: first-seen per (snapshot, id) in walk order (genre ordinal, page,
    position in page) — a partial top-1, so a title charting everywhere is one
    row per task before the shuffle;
-5. required fields: a track missing one is rejected (``strict`` aborts);
+5. required fields: a track without an id, or a kept track missing another, is
+   rejected (``strict`` aborts);
 6. artists: one lookup per distinct (snapshot, artist) of the kept titles;
    an unresolved lookup aborts when ``strict``.
 
@@ -45,16 +47,31 @@ class ExtractionError(RuntimeError):
 
 def parse_artist_lookups(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     """Artist-lookup bodies → (id, name, nb_fan, nb_album); optional fields
-    absent from the body are null."""
+    absent from the body are null. A lookup without id or name resolves nothing."""
     doc = F.from_json(F.col(body_col), schemas.ARTIST)
-    return bodies.select(doc.alias("_a")).select("_a.*")
+    return bodies.select(doc.alias("_a")).select("_a.*").where(F.col("id").isNotNull() & F.col("name").isNotNull())
+
+
+def _accepted(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected with their ``error``) of landed bodies."""
+    ok, failed = ingest.split_envelopes(bodies)
+    ok, bad = ingest.split_unparsable(ok)
+    return ok, failed.unionByName(bad)
+
+
+def _needed_failures(failed: DataFrame, accepted: DataFrame, walk: DataFrame, keys: list[str]) -> DataFrame:
+    """Failed pages of walked charts, not after their end, of which no body was accepted."""
+    page = ["date_snapshot", "genre_id", "page_no"]
+    lost = failed.select(*page).distinct().join(accepted.select(*page), page, "left_anti").join(walk, keys, "left_semi")
+    ends = ingest.chart_ends(ingest.parse_chart_pages(accepted))
+    needed = F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page"))
+    return lost.join(ends, ingest.same_chart(), "left").where(needed)
 
 
 def extract(
     genre_bodies: DataFrame,
     page_bodies: DataFrame,
     artist_bodies: DataFrame,
-    max_pages: int = ingest.MAX_CHART_PAGES,
     strict: bool = True,
 ) -> Extraction:
     """``genre_bodies``: (body) — or (date_snapshot, body) when the list is
@@ -62,33 +79,45 @@ def extract(
     body); ``artist_bodies``: (body). The genre walk is a few dozen rows and
     is joined to the pages on the genre id (AQE broadcasts it from its
     measured size)."""
-    pages_ok, pages_err = ingest.split_envelopes(page_bodies)
-    artists_ok, artists_err = ingest.split_envelopes(artist_bodies)
-    genres = ingest.exclude_all_genres(ingest.parse_genre_list(genre_bodies))
+    pages_ok, pages_err = _accepted(page_bodies)
+    artists_ok, artists_err = _accepted(artist_bodies)
+    genres_ok, genres_err = _accepted(genre_bodies)
+    genres = ingest.exclude_all_genres(ingest.parse_genre_list(genres_ok))
     keys = ["date_snapshot", "genre_id"] if "date_snapshot" in genre_bodies.columns else ["genre_id"]
     walk = genres.select(*keys[:-1], F.col("id").alias("genre_id"), "genre_ordinal")
 
     walked_pages = pages_ok.join(walk.drop("genre_ordinal"), keys, "left_semi")
-    tracks = ingest.read_chart_pages(walked_pages, max_pages).join(walk, keys)
-    complete, rejected = ingest.split_required(tracks)
-    kept = ingest.first_seen(complete, ("date_snapshot", "id"), ("genre_ordinal", "page_no", "page_pos"))
-    titres = kept.select(*schemas.TRACK_COLUMNS, "date_snapshot")
+    tracks = ingest.read_chart_pages(walked_pages).join(walk, keys)
+    # only a title's first occurrence is asked for its fields
+    first = ingest.first_seen(
+        tracks.where(F.col("id").isNotNull()), ("date_snapshot", "id"), ("genre_ordinal", "page_no", "page_pos")
+    )
+    complete, incomplete = ingest.split_required(first)
+    rejected = incomplete.unionByName(tracks.where(F.col("id").isNull()))
+    titres = complete.select(*schemas.TRACK_COLUMNS, "date_snapshot")
     enriched = ingest.enrich_artists(titres, parse_artist_lookups(artists_ok))
 
     if strict:
-        # one job, two counts: rejected tracks and unresolved artists
-        verdict = rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit("tracks").alias("what"), "n").unionByName(
-            enriched.agg(F.count_if(~F.col("resolved")).alias("n")).select(F.lit("artists").alias("what"), "n")
-        )
-        counts = {r["what"]: r["n"] for r in verdict.collect()}
-        if counts.get("tracks") or counts.get("artists"):
-            raise ExtractionError(
-                f"strict extraction: {counts.get('tracks', 0)} track(s) missing required fields, "
-                f"{counts.get('artists', 0)} unresolved artist lookup(s)"
-            )
+        # one job, a count a gate
+        def count(what: str, rows: DataFrame) -> DataFrame:
+            return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+
+        found = count("track(s) missing required fields", rejected)
+        found = found.unionByName(count("unresolved artist lookup(s)", enriched.where(~F.col("resolved"))))
+        found = found.unionByName(count("needed page(s) failed", _needed_failures(pages_err, pages_ok, walk, keys)))
+        found = found.unionByName(count("genre list(s) failed", genres_err))
+        found = found.unionByName(count("genre(s) walked", walk))
+        counts = {r["what"]: r["n"] for r in found.collect()}
+        walked = counts.pop("genre(s) walked")
+        # a retried genre list that landed stands for the failed one
+        if walked and "date_snapshot" not in keys:
+            counts.pop("genre list(s) failed")
+        if not walked or any(counts.values()):
+            said = [f"{n} {what}" for what, n in counts.items() if n] + ["no genre to walk"] * (not walked)
+            raise ExtractionError("strict extraction: " + ", ".join(said))
 
     artistes = enriched.where(F.col("resolved")).select(*schemas.ARTIST_COLUMNS, F.col("date_snapshot").alias("date"))
-    errors = pages_err.select(F.lit("chart").alias("endpoint"), "body", "error").unionByName(
-        artists_err.select(F.lit("artist").alias("endpoint"), "body", "error")
-    )
+    errors = pages_err.select(F.lit("chart").alias("endpoint"), "body", "error")
+    for endpoint, rows in (("artist", artists_err), ("genre", genres_err)):
+        errors = errors.unionByName(rows.select(F.lit(endpoint).alias("endpoint"), "body", "error"))
     return Extraction(titres, artistes, rejected, errors)

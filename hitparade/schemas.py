@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The names and types of the raw documents, the API bodies and
+# the curated tables below are the data contract.
 # ---------------------------------------------------------------- raw zone
 TRACK = T.StructType(
     [
@@ -106,6 +108,27 @@ DIM_DATE = T.StructType(
 
 PARTITION = T.StructField("date", T.StringType())
 
+# Where each curated column comes from in staging.
+CURATED_SOURCES = {
+    "fait_popularite": {
+        "date_snapshot": "date_snapshot",
+        "id_titre": "id",
+        "id_artiste": "artist_id",
+        "score_popularite": "rank",
+        "date": "date_snapshot",
+    },
+    "dim_titre": {
+        "id_titre": "id",
+        "nom": "title",
+        "duree": "duration",
+        "bpm": "bpm",
+        "gain": "gain",
+        "genre": "genre_id",
+        "date": "date_snapshot",
+    },
+    "dim_artiste": {"id_artiste": "id", "nom": "name", "nb_fan": "nb_fan", "nb_album": "nb_album", "date": "date"},
+}
+
 CURATED = {
     "fait_popularite": FAIT_POPULARITE,
     "dim_titre": DIM_TITRE,

@@ -83,17 +83,30 @@ def expired_partitions(parts: DataFrame, as_of: str, retention_days: int = RAW_R
 
 
 def drop_partitions(spark: SparkSession, table: str, dates: Iterable[str]) -> int:
-    """Drop the given partitions of an external table and delete their files.
+    """Drop every partition of the given dates from an external table and delete
+    their files; returns how many dates were dropped.
 
-    The date list is one value per expired day — a handful, driver-sized by
-    construction.
+    A date can have partitions below it (``kind``): their full specs are listed and
+    dropped one by one, and nothing is deleted before the catalog is seen to be
+    rid of them. The date list is one value per expired day. Curated tables
+    never expire and are refused.
     """
+    if table.rsplit(".", 1)[-1] in schemas.CURATED:
+        raise ValueError(f"{table} is a curated table: it never expires")
     jvm = spark._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+
+    def listed(d: str) -> list[str]:
+        return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table} PARTITION (`date` = '{d}')").collect()]
+
     n = 0
     for d in dates:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`date` = '{d}')")
+        for spec in listed(d):
+            pairs = (part.split("=", 1) for part in spec.split("/"))
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({', '.join(f"`{k}` = '{v}'" for k, v in pairs)})")
+        if left := listed(d):
+            raise RuntimeError(f"{table}: partitions still listed after the drop: {left}")
         p = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}/date={d}")
         fs = p.getFileSystem(hconf)
         if fs.exists(p):

@@ -29,7 +29,7 @@ Every function is a lazy scan + projection; nothing is cached or collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitparade import schemas
@@ -37,6 +37,10 @@ from hitparade.functions import month_snapshot
 from hitparade.operators import ingest
 
 
+# Entries of a landed chart page.
+PAGE_SIZE = 100
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -50,6 +54,8 @@ def chart_entries(spark: SparkSession, sf_dir: str, snapshot_date: str | None =
     """
     li = table(spark, sf_dir, "lineitem")
     if snapshot_date is not None:
+        if not snapshot_date.endswith("-01"):
+            raise ValueError(f"a snapshot is the first day of a month, not {snapshot_date}")
         start = F.to_date(F.lit(snapshot_date))
         li = li.where(
             (F.col("l_shipdate") >= start.cast("timestamp_ntz"))
@@ -117,15 +123,20 @@ def response_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "event_type", body.alias("body"))
 
 
-def first_seen_titles(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> DataFrame:
-    """Staging titres: first-seen title per (snapshot, id), with attributes.
+def kept_entries(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> DataFrame:
+    """First-seen chart entry per (snapshot, id), without title attributes."""
+    return ingest.first_seen(chart_entries(spark, sf_dir, snapshot_date))
 
-    Dedup runs on the narrow entry rows and *then* joins the catalogue, so the
-    join sees one row per title-day instead of one per chart appearance.
-    """
-    kept = ingest.first_seen(chart_entries(spark, sf_dir, snapshot_date))
-    titres = with_titles(kept, title_records(spark, sf_dir))
-    return titres.select(*schemas.TRACK_COLUMNS, "date_snapshot")
+
+def titles_of(spark: SparkSession, sf_dir: str, kept: DataFrame) -> DataFrame:
+    """Staging titres of kept entries: the catalogue is joined after the dedup,
+    so the join sees one row per title-day instead of one per appearance."""
+    return with_titles(kept, title_records(spark, sf_dir)).select(*schemas.TRACK_COLUMNS, "date_snapshot")
+
+
+def first_seen_titles(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> DataFrame:
+    """Staging titres: first-seen title per (snapshot, id), with attributes."""
+    return titles_of(spark, sf_dir, kept_entries(spark, sf_dir, snapshot_date))
 
 
 def staged_artists(spark: SparkSession, sf_dir: str, titres: DataFrame) -> DataFrame:
@@ -135,15 +146,70 @@ def staged_artists(spark: SparkSession, sf_dir: str, titres: DataFrame) -> DataF
 
 
 def staging(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(titres, artistes) for every snapshot of the landing tables, or for one."""
-    titres = first_seen_titles(spark, sf_dir, snapshot_date)
-    return titres, staged_artists(spark, sf_dir, titres)
+    """(titres, artistes) for every snapshot of the landing tables, or for one.
+    Artists come from the kept entries: they need no title attribute."""
+    kept = kept_entries(spark, sf_dir, snapshot_date)
+    return titles_of(spark, sf_dir, kept), staged_artists(spark, sf_dir, kept)
+
+
+def paginate_chart(
+    entries: DataFrame,
+    page_size: int = PAGE_SIZE,
+    keys: tuple[str, ...] = ("date_snapshot", "genre_id"),
+    order: tuple[str, ...] = ("position", "id", "artist_id", "rank", "explicit_lyrics"),
+    range_width: int = 50_000,
+) -> DataFrame:
+    """Chart entries numbered in pages: ``page_no``, ``page_pos`` (both from 0) and
+    ``has_next`` (entries follow the page). Plays the remote API, so that the
+    check tables give pages to read.
+
+    A chart is numbered range by range of its position: counts per (chart,
+    range) are summed up to each range's offset, and rows are numbered within
+    their range, so no task sorts a whole chart.
+    """
+    ranged = entries.withColumn("_range", F.floor(F.col(order[0]) / range_width))
+    parts = [*keys, "_range"]
+    counts = ranged.groupBy(*[F.col(c).alias(f"of_{c}") for c in parts]).agg(F.count(F.lit(1)).alias("_n"))
+    chart = Window.partitionBy(*[f"of_{c}" for c in keys])
+    offsets = counts.withColumn("_before", F.sum("_n").over(chart.orderBy("of__range")) - F.col("_n"))
+    offsets = offsets.withColumn("_chart_len", F.sum("_n").over(chart)).drop("_n")
+    same = F.lit(True)
+    for c in parts:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - 1)
+    at = F.col("_before") + F.col("_rn")
+    paged = numbered.join(offsets, same).withColumns(
+        {"page_no": F.floor(at / page_size).cast("int"), "page_pos": (at % page_size).cast("int")}
+    )
+    paged = paged.withColumn("has_next", F.col("_chart_len") > (F.col("page_no") + 1) * page_size)
+    return paged.drop("_rn", "_before", "_chart_len", "_range", *[f"of_{c}" for c in parts])
+
+
+def page_bodies(paged: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Paged chart rows (from :func:`paginate_chart`) → one landed JSON body per
+    page, ``{data: [track...], next: url}``, tracks in page order with the
+    artist nested as in the API. A page holds at most ``page_size`` rows, so
+    the collect per group is bounded.
+    """
+    track = F.struct(
+        "id", "title", "duration", "rank", "bpm", "gain", "explicit_lyrics", F.struct(F.col("artist_id").alias("id")).alias("artist")
+    )
+    grouped = paged.groupBy("date_snapshot", "genre_id", "page_no").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("page_pos"), track.alias("t")))).alias("_rows"),
+        F.max("has_next").alias("_has_next"),
+    )
+    next_url = F.when(
+        F.col("_has_next"),
+        F.format_string("chart/%d/tracks?index=%d", F.col("genre_id"), (F.col("page_no") + 1) * page_size),
+    )
+    body = F.to_json(F.struct(F.transform("_rows", lambda r: r["t"]).alias("data"), next_url.alias("next")))
+    return grouped.select("date_snapshot", "genre_id", "page_no", body.alias("body"))
 
 
 def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed chart pages: (date_snapshot, genre_id, page_no, body) for the
-    pages the extraction fetched (``max_pages`` per chart, in chart order)."""
-    return ingest.page_bodies(ingest.paginate_chart(chart_tracks(spark, sf_dir)))
+    """Landed chart pages: (date_snapshot, genre_id, page_no, body), every page
+    of every chart."""
+    return page_bodies(paginate_chart(chart_tracks(spark, sf_dir)))
 
 
 def valid_artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:

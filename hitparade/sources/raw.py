@@ -16,26 +16,16 @@ yielding zero rows / nulls; ``strict=False`` keeps bad lines in
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitparade import schemas
-from hitparade.functions import DATE_PARTITION_PATTERN, path_snapshot_date, validated_date
+from hitparade.functions import path_snapshot_date, validated_date
 
 CORRUPT = "_corrupt_record"
 
 
-def snapshot_date_from_path(raw_path: str) -> str:
-    """``YYYY-MM-DD`` of the first ``date=`` segment of a path (driver side)."""
-    match = re.search(DATE_PARTITION_PATTERN, raw_path)
-    if not match:
-        raise ValueError(f"no date=YYYY-MM-DD partition in raw path: {raw_path}")
-    return match.group(1)
-
-
 def read_raw(
     spark: SparkSession,
     path: str,

@@ -1,4 +1,4 @@
-"""Hand-built 2-3 row inputs, as in the reference's unit tests."""
+"""Hand-built inputs of a few rows."""
 
 from hitparade import schemas
 
@@ -10,15 +10,15 @@ ARTISTE_COLS = "id_artiste bigint, nom string, nb_fan bigint, nb_album bigint"
 
 
 def fait_rows():
-    return [(D, 1, 10, 500), (D, 2, 20, 600), (D, 3, 10, 700)]
+    return [(D, 1, 10, 41), (D, 2, 20, 977), (D, 3, 10, 388)]
 
 
 def titre_rows():
-    return [(1, "A", 180, 120.0, -5.0, 132), (2, "B", 200, None, -6.0, 116), (3, "C", 220, 90.0, -7.0, 152)]
+    return [(1, "Nocturne", 251, 96.5, -7.25, 7), (2, "Quay", 143, None, -3.0, 9), (3, "Ember", 309, 171.0, -11.5, 7)]
 
 
 def artiste_rows():
-    return [(10, "Artiste 1", 1000, 5), (20, "Artiste 2", 2000, 3)]
+    return [(10, "Vesper", 52310, 3), (20, "Lowtide", 77, 1)]
 
 
 def fait(spark, rows=None):

@@ -28,19 +28,19 @@ def _frames(spark, pages, artists, genres=None):
     return g, p, a
 
 
-def test_walk_order_cap_and_envelopes(spark):
+def test_walk_order_and_envelopes(spark):
     pages = [
         (D, 0, 0, _page([_t(9)])),  # pseudo-genre: never walked
         (D, 132, 0, _page([_t(1), _t(2)], nxt="p1")),
         (D, 132, 1, _page([_t(3)], nxt="p2")),
-        (D, 132, 2, _page([_t(4)])),  # beyond the 2-page cap
+        (D, 132, 2, _page([_t(4)])),  # every landed page counts
         (D, 116, 0, _page([_t(2, artist=2), _t(5, artist=2)])),  # 2 already seen under Pop
         (D, 116, 1, '{"error": {"code": 4, "message": "quota"}}'),  # quarantined
     ]
     artists = [{"id": 1, "name": "A"}, {"id": 2, "name": "B", "nb_fan": 7}]
     ex = extract.extract(*_frames(spark, pages, artists))
     got = {r.id: r.genre_id for r in ex.titres.collect()}
-    assert got == {1: 132, 2: 132, 3: 132, 5: 116}
+    assert got == {1: 132, 2: 132, 3: 132, 4: 132, 5: 116}
     assert {(r.id, r.nb_fan) for r in ex.artistes.collect()} == {(1, None), (2, 7)}
     assert [r.endpoint for r in ex.rejected_responses.collect()] == ["chart"]
 
@@ -54,3 +54,39 @@ def test_strict_extraction_aborts(spark):
         extract.extract(*_frames(spark, pages, [{"id": 1, "name": "A"}]))
     lenient = extract.extract(*_frames(spark, pages, [{"id": 1, "name": "A"}]), strict=False)
     assert lenient.titres.count() == 0 and lenient.rejected_tracks.count() == 1
+
+
+ERROR = '{"error": {"code": 4, "message": "quota"}}'
+ONE = [{"id": 1, "name": "A"}]
+
+
+@pytest.mark.parametrize("bad", [ERROR, '{"data": [{"id"', None])
+def test_strict_extraction_aborts_on_a_needed_page(spark, bad):
+    for pages in (
+        [(D, 132, 0, bad)],
+        [(D, 132, 0, bad), (D, 132, 1, _page([_t(3)]))],
+        [(D, 132, 0, _page([_t(1)], nxt="p1")), (D, 132, 1, bad)],
+    ):
+        with pytest.raises(extract.ExtractionError, match="needed page"):
+            extract.extract(*_frames(spark, pages, ONE))
+    # a retry that landed stands for the failed page; pages after a chart's end aren't needed
+    pages = [(D, 132, 0, bad), (D, 132, 0, _page([_t(1)], nxt="")), (D, 132, 1, bad), (D, 132, 2, _page([_t(8)]))]
+    ex = extract.extract(*_frames(spark, pages, ONE))
+    assert [r.id for r in ex.titres.collect()] == [1]
+    assert ex.rejected_responses.count() == 2
+
+
+def test_strict_extraction_aborts_on_the_genre_list_and_nameless_artists(spark):
+    _, p, a = _frames(spark, [(D, 132, 0, _page([_t(1)]))], ONE)
+    for body in (ERROR, "{", '{"data": []}'):
+        with pytest.raises(extract.ExtractionError, match="no genre"):
+            extract.extract(spark.createDataFrame([(body,)], "body string"), p, a)
+    with pytest.raises(extract.ExtractionError, match="unresolved"):
+        extract.extract(*_frames(spark, [(D, 132, 0, _page([_t(1)]))], [{"id": 1}]))
+
+
+def test_only_the_first_occurrence_needs_its_fields(spark):
+    pages = [(D, 132, 0, _page([_t(1)])), (D, 116, 0, _page([_t(1, title=None)]))]
+    ex = extract.extract(*_frames(spark, pages, ONE))
+    assert [(r.id, r.title) for r in ex.titres.collect()] == [(1, "t")]
+    assert ex.rejected_tracks.count() == 0

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from hitparade import schemas
 from hitparade.operators import quality
 from hitparade.operators import star as star_ops
 from hitparade.plans import daily, reports
@@ -39,12 +40,6 @@ def _write_doc(root, date, doc, name="snapshot.json", raw_text=None):
     return path
 
 
-def test_snapshot_date_from_path():
-    assert raw_src.snapshot_date_from_path("s3://b/raw/date=2026-09-05/x.json") == "2026-09-05"
-    with pytest.raises(ValueError):
-        raw_src.snapshot_date_from_path("/raw/x.json")
-
-
 def test_legacy_document_reader(spark, tmp_path):
     doc = _doc([_t(1, 132), _t(1, 116), _t(2, 116, bpm=float("nan"))], [{"id": 1, "name": "A", "nb_fan": 5}])
     path = _write_doc(str(tmp_path), "2026-09-05", doc)
@@ -138,9 +133,18 @@ def test_catalog_registration_and_retention(spark, tmp_path):
     parts = catalog.partitions(spark, "charts_test.dim_date")
     expired = [r.date for r in catalog.expired_partitions(parts, as_of="1995-06-01").collect()]
     assert expired == ["1995-01-01", "1995-02-01"]
-    assert catalog.drop_partitions(spark, "charts_test.dim_date", expired) == 2
-    assert not os.path.exists(os.path.join(cur, "dim_date", "date=1995-01-01"))
-    assert catalog.partitions(spark, "charts_test.dim_date").where("date < '1995-03-01'").count() == 0
+    with pytest.raises(ValueError):
+        catalog.drop_partitions(spark, "charts_test.dim_date", expired)
+    raw_root = str(tmp_path / "raw")
+    raw_sink.land_raw(titres, artistes, raw_root)
+    catalog.register_table(
+        spark, "charts_test", "documents", raw_root, schemas.RAW_DOCUMENT, fmt="json", partition_by=("date", "kind")
+    )
+    catalog.recover_partitions(spark, ["charts_test.documents"])
+    assert catalog.drop_partitions(spark, "charts_test.documents", expired) == 2
+    assert not os.path.exists(os.path.join(raw_root, "date=1995-01-01"))
+    left = [r[0] for r in spark.sql("SHOW PARTITIONS charts_test.documents").collect()]
+    assert len(left) == 2 * 81 and not any("1995-01" in x or "1995-02" in x for x in left)
     fresh = {r.date: r.passed for r in catalog.partition_freshness(spark, names[0], ["1998-03-01", "2030-01-01"]).collect()}
     assert fresh == {"1998-03-01": True, "2030-01-01": False}
 

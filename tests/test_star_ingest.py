@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hitparade.operators import ingest, staging
 from hitparade.operators import star as star_ops
+from hitparade.sources import landing
 from tests import fixtures as fx
 
 D1, D2 = "2026-09-05", "2026-09-06"
@@ -97,29 +98,30 @@ def test_envelope_key_presence(spark):
     assert sorted(r.event_id for r in accepted.collect()) == [3, 4, 5]
 
 
-def test_chart_pages_cap_and_early_stop(spark):
+def test_chart_pages_and_early_stop(spark):
     def body(n, nxt):
         data = ",".join(f'{{"id": {i}, "title": "t", "duration": 1, "rank": 1, "artist": {{"id": 7}}}}' for i in range(n))
         return '{"data": [' + data + "]" + (f', "next": "{nxt}"' if nxt else "") + "}"
 
     pages = spark.createDataFrame(
         [
-            (D1, 1, 0, body(2, "p1")), (D1, 1, 1, body(2, "p2")), (D1, 1, 2, body(2, None)),  # cap at 2 pages
+            (D1, 1, 0, body(2, "p1")), (D1, 1, 1, body(2, "p2")), (D1, 1, 2, body(2, None)),
             (D1, 2, 0, body(1, None)), (D1, 2, 1, body(3, None)),  # stop after page 0
             (D1, 3, 0, '{"next": "x"}'), (D1, 3, 1, body(1, None)),  # missing data = empty page
         ],
         "date_snapshot string, genre_id bigint, page_no int, body string",
     )
     got = ingest.read_chart_pages(pages).groupBy("genre_id").count().collect()
-    assert {r.genre_id: r["count"] for r in got} == {1: 4, 2: 1, 3: 1}
+    assert {r.genre_id: r["count"] for r in got} == {1: 6, 2: 1, 3: 1}
     row = ingest.read_chart_pages(pages).where("genre_id = 2").first()
     assert row.artist_id == 7 and row.bpm is None and row.page_pos == 0
 
 
 def test_paginate_chart(spark):
-    rows = [_track(i, 1, i) for i in range(5)]
-    paged = ingest.paginate_chart(fx.tracks(spark, rows), page_size=2, max_pages=2).orderBy("position").collect()
-    assert [(r.page_no, r.page_pos, r.has_next) for r in paged] == [(0, 0, True), (0, 1, True), (1, 0, True), (1, 1, True)]
+    rows = [_track(i, 1, i) for i in range(5)] + [_track(9, None, None)]
+    paged = landing.paginate_chart(fx.tracks(spark, rows), page_size=2, range_width=2).orderBy("position").collect()
+    got = [(r.id, r.page_no, r.page_pos, r.has_next) for r in paged]
+    assert got == [(9, 0, 0, False), (0, 0, 0, True), (1, 0, 1, True), (2, 1, 0, True), (3, 1, 1, True), (4, 2, 0, False)]
 
 
 def test_required_fields_and_enrichment(spark):
