@@ -2,8 +2,8 @@
 
 The tokenizer's own normaliser and pre-tokenizer never join text across white
 space, so a text's ids are those of its white-space-delimited chunks in order.
-Chunks and their pre-tokens are encoded once a worker and remembered; new
-pre-tokens go to the library's BPE model many at a time. Texts holding the
+Chunks and their pre-tokens are encoded by the library's BPE model once and
+remembered. Texts holding the
 separators U+001C to U+001F, which Python splits at and the tokenizer's pattern
 does not, are encoded whole by the library.
 """
@@ -16,17 +16,16 @@ from array import array
 
 import numpy as np
 import regex
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
 from hitparade.llm.byte_bpe import shorter_half
 
 #: Chunks and pre-tokens remembered in a Python worker; when full, the shorter half stays (results do not change).
-MEMORY = 200_000
+MEMORY = 400_000
 #: Longer chunks are encoded without being remembered.
 LONGEST_REMEMBERED = 48
-#: Pre-tokens in one call of the model.
-TOGETHER = 200
-
+# Latin-1 letters and marks after them: such a chunk's pre-tokens need no normaliser and no pattern.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)").fullmatch
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -34,6 +33,26 @@ _ALPHABET = {b: chr(b) for b in _PRINTABLE}
 _ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _ALPHABET)}
 
 
+class Memory(dict):
+    """Remembers what ``make`` gives for short keys."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.make(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            self[key] = made
+        return made
+
+    def bound(self) -> None:
+        if len(self) > MEMORY:
+            kept = shorter_half(self)
+            self.clear()
+            self.update(kept)
+
+
 class WordEncoder:
     """``encoder(texts) -> id arrays``, each with ``end_id`` appended."""
 
@@ -47,65 +66,41 @@ class WordEncoder:
         if split["type"] != "Split" or not split["invert"] or split["behavior"] != "Removed":
             raise ValueError("the tokenizer's pre-tokens must be the matches of one pattern")
         self.find = regex.compile(split["pattern"]["Regex"]).findall
-        # the library's model alone, for pre-tokens with spaces between
-        self.model = Tokenizer(self.tok.model)
-        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        suffix, vocab = spec["model"]["end_of_word_suffix"], self.tok.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.model = self.tok.model
         self.end = np.array([end_id], "<u4").tobytes()
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks = Memory(self._chunk)
+        self.words = Memory(self._word)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in got]
 
-    def _normal(self, chunk: str) -> str:
-        return chunk.lower() if chunk.isascii() else self.tok.normalizer.normalize_str(chunk)
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode pre-tokens; a pre-token's ids end at the one that carries the word end."""
-        mapped = [w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET) for w in words]
-        lines = [" ".join(mapped[i : i + TOGETHER]) for i in range(0, len(mapped), TOGETHER)]
-        at = 0
-        for e in self.model.encode_batch_fast(lines, add_special_tokens=False):
-            ids = np.array(e.ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            data, begin = ids.tobytes(), 0
-            for cut in cuts:
-                self.words[words[at]] = data[begin:cut]
-                begin, at = cut, at + 1
-        if at != len(words):
-            raise ValueError("a pre-token without a word end: the vocabulary lacks single bytes")
-
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        split = [self.find(self._normal(c)) for c in chunks]
-        if len(self.words) > MEMORY:
-            self.words = shorter_half(self.words)
-        if new := list(set().union(*split).difference(self.words)):
-            self._learn_words(new)
-        get = self.words.__getitem__
-        return {c: b"".join(map(get, ws)) for c, ws in zip(chunks, split, strict=True)}
+    def _split(self, chunk: str) -> list[str]:
+        """The chunk's normalised pre-tokens."""
+        if m := _PLAIN(chunk):
+            word, marks = m.groups()
+            return [word.lower(), marks] if marks else [word.lower()]
+        return self.find(chunk.lower() if chunk.isascii() else self.tok.normalizer.normalize_str(chunk))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a normalised pre-token, by the library's model alone."""
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join([self.words[w] for w in self._split(chunk)])
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [[] if not t or _SEPARATORS.search(t) else t.split() for t in texts]
-        new = list(set().union(*split).difference(self.chunks))
-        large = {}
-        if new:
-            for c, ids in self._learn(new).items():
-                (self.chunks if len(c) <= LONGEST_REMEMBERED else large)[c] = ids
         out = []
         for t, cs in zip(texts, split, strict=True):
-            if cs and large:
-                ids = b"".join(self.chunks[c] if c in self.chunks else large[c] for c in cs)
-            elif cs:
+            if cs:
                 ids = b"".join(map(self.chunks.__getitem__, cs))
             else:
                 ids = self._whole([t])[0] if t else b""
             out.append(np.frombuffer(ids + self.end, "<u4"))
-        if len(self.chunks) > MEMORY:
-            self.chunks = shorter_half(self.chunks)
+        self.chunks.bound()
+        self.words.bound()
         return out
 
 
