@@ -116,13 +116,27 @@ def q_dq_validite(spark, sf_dir):
     return quality.check_validite(s.fait_popularite, s.dim_titre, bpm_range=(0.0, 150.0))
 
 
-def q_dq_coherence(spark, sf_dir):
-    # dimension built from artist lookups that pass validity (fans >= 0)
-    kept = landing.kept_entries(spark, sf_dir)
+def _valid_artists(spark, sf_dir, kept: DataFrame) -> DataFrame:
+    """dim_artiste built from artist lookups that pass validity (fans >= 0)."""
     enriched = ingest.enrich_artists(kept, landing.valid_artist_records(spark, sf_dir))
     artistes = enriched.where("resolved").select("id", "name", "nb_fan", "nb_album", enriched.date_snapshot.alias("date"))
-    fait = star_ops.build_fait_popularite(kept)
-    return quality.check_coherence(fait, star_ops.build_dim_artiste(artistes))
+    return star_ops.build_dim_artiste(artistes)
+
+
+def q_dq_coherence(spark, sf_dir):
+    kept = landing.kept_entries(spark, sf_dir)
+    return quality.check_coherence(star_ops.build_fait_popularite(kept), _valid_artists(spark, sf_dir, kept))
+
+
+def q_dq_report_by_date(spark, sf_dir):
+    # the faults of dq_unicite, dq_validite and dq_coherence together
+    kept = landing.kept_entries(spark, sf_dir)
+    return quality.quality_report_by_date(
+        star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir)),
+        star_ops.build_dim_titre(landing.titles_of(spark, sf_dir, kept)),
+        _valid_artists(spark, sf_dir, kept),
+        bpm_range=(0.0, 150.0),
+    )
 
 
 def q_dq_fraicheur(spark, sf_dir):
@@ -168,7 +182,8 @@ def q_distinct_artists(spark, sf_dir):
 
 def q_genre_yield(spark, sf_dir):
     entries = landing.chart_entries(spark, sf_dir)
-    return ingest.genre_yield(entries, ingest.first_seen(entries))
+    walk = ingest.genre_walk(landing.genre_records(spark, sf_dir), entries)
+    return ingest.genre_yield(entries, ingest.first_seen(entries), walk)
 
 
 def _extraction(spark, sf_dir) -> extract_plan.Extraction:
@@ -190,8 +205,9 @@ def q_extract_artists(spark, sf_dir):
 
 
 def q_extract_summary(spark, sf_dir):
-    titres, artistes = landing.staging(spark, sf_dir)
-    return ingest.extract_summary(landing.chart_entries(spark, sf_dir), titres, artistes)
+    kept = landing.kept_entries(spark, sf_dir)
+    walk = ingest.genre_walk(landing.genre_records(spark, sf_dir), landing.chart_entries(spark, sf_dir))
+    return ingest.extract_summary(walk, kept, ingest.distinct_artists(kept).withColumnRenamed("date_snapshot", "date"))
 
 
 # lake: every query writes to a fresh folder under the session's checkpoint
@@ -359,6 +375,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_coherence": q_dq_coherence,
         "dq_fraicheur": q_dq_fraicheur,
         "dq_report": q_dq_report,
+        "dq_report_by_date": q_dq_report_by_date,
         "genre_exclude_all": q_genre_exclude_all,
         "envelope_reject": q_envelope_reject,
         "chart_pages_read": q_chart_pages_read,
@@ -594,6 +611,40 @@ def _fraicheur(d: str) -> str:
     )
 
 
+_VALID_DIM = """, valid_dim AS (
+    SELECT d.artist_id AS id_artiste, d.date_snapshot AS "date"
+    FROM (SELECT DISTINCT date_snapshot, artist_id FROM titres) d
+    JOIN artists a ON a.id = d.artist_id
+    WHERE a.nb_fan IS NULL OR a.nb_fan >= 0)
+"""
+
+
+def _by_date_sql(bpm_high: float) -> str:
+    """Every rule for each snapshot, over the chart rows before dedup."""
+    rules = [
+        _zero("unicite", "dup"),
+        _rule("completude", "n - ok", "ok / n", "0.98", "ok / n > 0.98"),
+        _zero("validite_score", "s"),
+        _rule("fraicheur", "0", "n", "NULL", "n > 0"),
+        _zero("validite_duree", "d"),
+        _zero("validite_bpm", "b", str(bpm_high)),
+        _zero("coherence", "o"),
+    ]
+    return f"""{_VALID_DIM}, facts AS (
+        SELECT date_snapshot AS "date", COUNT(*) AS n, COUNT(rank) AS ok, COUNT_IF(rank < 0) AS s,
+               COUNT(*) - COUNT(DISTINCT id) AS dup
+        FROM chart GROUP BY ALL
+    ), profiles AS (
+        SELECT "date", COUNT_IF(duree <= 0) AS d, COUNT_IF(bpm < 0 OR bpm > {bpm_high}) AS b
+        FROM dim_titre GROUP BY ALL
+    ), orphans AS (
+        SELECT c.date_snapshot AS "date", COUNT_IF(v.id_artiste IS NULL) AS o
+        FROM chart c LEFT JOIN valid_dim v ON v.id_artiste = c.artist_id AND v."date" = c.date_snapshot
+        GROUP BY ALL
+    ), days AS (SELECT * FROM facts JOIN profiles USING ("date") JOIN orphans USING ("date"))
+    """ + " UNION ALL ".join(r.replace("SELECT ", 'SELECT "date", ', 1) + " FROM days" for r in rules)
+
+
 def _quality_sql() -> dict[str, str]:
     return {
         "single_snapshot_gate": """
@@ -605,14 +656,9 @@ def _quality_sql() -> dict[str, str]:
         + " UNION ALL "
         + _completude("completude_bpm", "dim_titre", "bpm"),
         "dq_validite": _validite(150.0),
-        "dq_coherence": """, valid_dim AS (
-                SELECT d.artist_id AS id_artiste, d.date_snapshot AS "date"
-                FROM (SELECT DISTINCT date_snapshot, artist_id FROM titres) d
-                JOIN artists a ON a.id = d.artist_id
-                WHERE a.nb_fan IS NULL OR a.nb_fan >= 0)
-            """
-        + _coherence("valid_dim"),
+        "dq_coherence": _VALID_DIM + _coherence("valid_dim"),
         "dq_fraicheur": _fraicheur(REPORT_SNAPSHOT) + " UNION ALL " + _fraicheur(ABSENT_SNAPSHOT),
+        "dq_report_by_date": _by_date_sql(150.0),
         "dq_report": " UNION ALL ".join(
             [
                 _unicite("fait_popularite"),
@@ -637,6 +683,13 @@ _EXTRACTED = """, extracted AS (
 )"""
 
 
+_WALK = """, walk AS (
+    SELECT date_snapshot, CAST(n_nationkey AS BIGINT) AS genre_id
+    FROM (SELECT DISTINCT date_snapshot FROM entries), nation
+    WHERE n_nationkey IS NOT NULL AND n_nationkey <> 0
+)"""
+
+
 def _ingest_sql() -> dict[str, str]:
     track_cols = "id, title, duration, rank, bpm, gain, explicit_lyrics, artist_id, genre_id"
     return {
@@ -679,22 +732,18 @@ def _ingest_sql() -> dict[str, str]:
             SELECT d.artist_id AS id, a.name, a.nb_fan, a.nb_album, d.date_snapshot AS "date"
             FROM (SELECT DISTINCT date_snapshot, artist_id FROM extracted) d
             JOIN artists a ON a.id = d.artist_id""",
-        "genre_yield": """
-            SELECT r.date_snapshot, r.genre_id, r.n_received, CAST(COALESCE(k.n_new, 0) AS BIGINT) AS n_new
-            FROM (SELECT date_snapshot, genre_id, COUNT(*) AS n_received FROM entries GROUP BY ALL) r
-            LEFT JOIN (SELECT date_snapshot, genre_id, COUNT(*) AS n_new FROM kept GROUP BY ALL) k
-                   ON k.date_snapshot IS NOT DISTINCT FROM r.date_snapshot
-                  AND k.genre_id IS NOT DISTINCT FROM r.genre_id""",
-        "extract_summary": """
-            SELECT COALESCE(g.date_snapshot, t.date_snapshot, a.date_snapshot) AS date_snapshot,
-                   CAST(COALESCE(g.n, 0) AS BIGINT) AS n_genres,
-                   CAST(COALESCE(t.n, 0) AS BIGINT) AS n_tracks,
-                   CAST(COALESCE(a.n, 0) AS BIGINT) AS n_artists
-            FROM (SELECT date_snapshot, COUNT(DISTINCT genre_id) AS n FROM entries GROUP BY ALL) g
-            FULL JOIN (SELECT date_snapshot, COUNT(*) AS n FROM titres GROUP BY ALL) t
-                   ON t.date_snapshot = g.date_snapshot
-            FULL JOIN (SELECT "date" AS date_snapshot, COUNT(*) AS n FROM artistes GROUP BY ALL) a
-                   ON a.date_snapshot = COALESCE(g.date_snapshot, t.date_snapshot)""",
+        "genre_yield": f"""{_WALK}
+            SELECT date_snapshot, genre_id, CAST(SUM(received) AS BIGINT) AS n_received,
+                   CAST(SUM(new) AS BIGINT) AS n_new
+            FROM (SELECT date_snapshot, genre_id, 1 AS received, 0 AS new FROM entries
+                  UNION ALL SELECT date_snapshot, genre_id, 0, 1 FROM kept
+                  UNION ALL SELECT date_snapshot, genre_id, 0, 0 FROM walk)
+            GROUP BY ALL""",
+        "extract_summary": f"""{_WALK}
+            SELECT w.date_snapshot, w.n AS n_genres, t.n AS n_tracks, a.n AS n_artists
+            FROM (SELECT date_snapshot, COUNT(*) AS n FROM walk GROUP BY ALL) w
+            JOIN (SELECT date_snapshot, COUNT(*) AS n FROM titres GROUP BY ALL) t USING (date_snapshot)
+            JOIN (SELECT "date" AS date_snapshot, COUNT(*) AS n FROM artistes GROUP BY ALL) a USING (date_snapshot)""",
     }
 
 

@@ -220,32 +220,42 @@ def enrich_artists(titres: DataFrame, artist_records: DataFrame) -> DataFrame:
     )
 
 
-def genre_yield(entries: DataFrame, kept: DataFrame) -> DataFrame:
+def genre_walk(genres: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """(date_snapshot, genre_id): each snapshot walks the whole genre list but
+    the pseudo-genre. The list is one response body (dozens of genres), so it
+    reaches every snapshot as an array."""
+    listed = exclude_all_genres(genres).agg(F.collect_list("id")).scalar()
+    days = snapshots.select("date_snapshot").distinct().withColumn("_listed", listed)
+    return days.select("date_snapshot", F.explode("_listed").alias("genre_id"))
+
+
+def _tallied(key: Sequence[str], names: Sequence[str], *parts: DataFrame) -> DataFrame:
+    """Per ``key`` (null-safe), how many rows each part has; a part beyond the
+    names only adds its keys. One partial aggregate over the parts' union."""
+    rows = None
+    for i, part in enumerate(parts):
+        ones = [F.lit(int(i == j)).alias(n) for j, n in enumerate(names)]
+        some = part.select(*key, *ones)
+        rows = some if rows is None else rows.unionByName(some)
+    return rows.groupBy(*key).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def genre_yield(entries: DataFrame, kept: DataFrame, walk: DataFrame | None = None) -> DataFrame:
     """Per (snapshot, genre): chart entries received and titles new in it.
 
     ``kept`` is the first-seen result of ``entries``; a title is "new" in the
-    genre where it was kept. Two partial aggregates and a join of small
-    results — no row of the chart is sorted or flagged individually.
+    genre where it was kept. With the genre ``walk``, a genre that was walked
+    but received nothing has a line of zeros.
     """
-    received = entries.groupBy("date_snapshot", "genre_id").agg(F.count(F.lit(1)).alias("n_received"))
-    new = kept.groupBy("date_snapshot", "genre_id").agg(F.count(F.lit(1)).alias("n_new"))
-    new = new.withColumnsRenamed({"date_snapshot": "_date", "genre_id": "_genre"})
-    return received.join(new, same_chart(), "left").select(
-        "date_snapshot", "genre_id", "n_received", F.coalesce("n_new", F.lit(0)).cast("long").alias("n_new")
-    )
+    parts = [entries, kept] if walk is None else [entries, kept, walk]
+    return _tallied(("date_snapshot", "genre_id"), ("n_received", "n_new"), *parts)
 
 
-def extract_summary(entries: DataFrame, titres: DataFrame, artistes: DataFrame) -> DataFrame:
+def extract_summary(walk: DataFrame, titres: DataFrame, artistes: DataFrame) -> DataFrame:
     """Per snapshot: genres walked, unique titles, unique artists."""
-    g = entries.groupBy("date_snapshot").agg(F.count_distinct("genre_id").alias("n_genres"))
-    t = titres.groupBy("date_snapshot").agg(F.count(F.lit(1)).alias("n_tracks"))
-    a = artistes.groupBy(F.col("date").alias("date_snapshot")).agg(F.count(F.lit(1)).alias("n_artists"))
-    return g.join(t, "date_snapshot", "full").join(a, "date_snapshot", "full").select(
-        "date_snapshot",
-        F.coalesce("n_genres", F.lit(0)).cast("long").alias("n_genres"),
-        F.coalesce("n_tracks", F.lit(0)).cast("long").alias("n_tracks"),
-        F.coalesce("n_artists", F.lit(0)).cast("long").alias("n_artists"),
-    )
+    walked = walk.select("date_snapshot", "genre_id").distinct()
+    looked_up = artistes.select(F.col("date").alias("date_snapshot"))
+    return _tallied(("date_snapshot",), ("n_genres", "n_tracks", "n_artists"), walked, titres, looked_up)
 
 
 class UnresolvedArtistError(RuntimeError):
@@ -253,9 +263,11 @@ class UnresolvedArtistError(RuntimeError):
 
 
 def assert_resolved(enriched: DataFrame, sample: int = 10) -> None:
-    """Raise when any artist lookup is unresolved; only a sample of ids reaches
-    the driver."""
-    bad = enriched.where(~F.col("resolved")).select("date_snapshot", "id").limit(sample).collect()
-    if bad:
-        ids = ", ".join(f"{r['date_snapshot']}/{r['id']}" for r in bad)
-        raise UnresolvedArtistError(f"unresolved artist lookups (first {len(bad)}): {ids}")
+    """Raise when any artist lookup is unresolved, with their exact count; only
+    a sample of ids reaches the driver."""
+    bad = enriched.where(~F.col("resolved")).select("date_snapshot", "id")
+    n = bad.count()
+    if n:
+        some = bad.limit(sample).collect()
+        ids = ", ".join(f"{r['date_snapshot']}/{r['id']}" for r in some)
+        raise UnresolvedArtistError(f"{n} unresolved artist lookup(s), among them: {ids}")

@@ -171,18 +171,89 @@ def quality_report(
     )
 
 
+_BY_DATE = ("_n", "_ok", "_s", "_f", "_d", "_b", "_u", "_o")
+
+
+def quality_report_by_date(
+    fait: DataFrame,
+    dim_titre: DataFrame,
+    dim_artiste: DataFrame,
+    seuil: float = COMPLETENESS_THRESHOLD,
+    bpm_range: tuple[float, float] = BPM_RANGE,
+) -> DataFrame:
+    """The rules of :func:`quality_report` for each snapshot alone: ``date`` and
+    the report columns. A snapshot is a ``date`` of any of the three tables; its
+    expected date is itself, and one without fact rows fails as an empty fact.
+
+    Every measure is a partial aggregate by date; the few rows they leave are
+    added up in one more.
+    """
+
+    def measured(rows: DataFrame, **measures: Column) -> DataFrame:
+        by = rows.groupBy("date").agg(*[c.alias(m) for m, c in measures.items()]) if measures else rows
+        return by.select("date", *[(F.col(m) if m in measures else F.lit(0)).cast("long").alias(m) for m in _BY_DATE])
+
+    keyed = fait.groupBy("date", *UNIQUENESS_KEY).agg(F.count(F.lit(1)).alias("_c"))
+    parts = [
+        measured(
+            fait,
+            _n=F.count(F.lit(1)),
+            _ok=F.count_if(present("score_popularite")),
+            _s=F.count_if(out_of_range("score_popularite", 0, None)),
+            _f=F.count_if(F.col("date_snapshot") == F.col("date")),
+        ),
+        measured(
+            dim_titre, _d=F.count_if(F.col("duree") <= 0), _b=F.count_if(out_of_range("bpm", *bpm_range))
+        ),
+        measured(keyed, _u=F.sum(F.col("_c") - 1)),
+        measured(orphan_artist_rows(fait, dim_artiste), _o=F.sum("n_rows")),
+        measured(dim_artiste.select("date").distinct()),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    rules = [
+        _zero_row("unicite", F.col("_u")),
+        _completude_row("completude", F.col("_n"), F.col("_ok"), seuil),
+        _zero_row("validite_score", F.col("_s")),
+        _fraicheur_row(F.col("_f")),
+        *_titre_rows(bpm_range),
+        _zero_row("coherence", F.col("_o")),
+    ]
+    days = rows.groupBy("date").agg(*[F.sum(m).alias(m) for m in _BY_DATE])
+    return days.select("date", F.explode(F.array(*[F.struct(*r) for r in rules])).alias("_r")).select("date", "_r.*")
+
+
 class QualityGateError(AssertionError):
     """One or more blocking quality rules failed."""
 
 
+def _said(failed: list[dict]) -> str:
+    return "; ".join(
+        (f"{r['date']}: " if "date" in r else "")
+        + f"{r['rule']}: {r['violations']} violation(s), observed {r['observed']}"
+        for r in failed
+    )
+
+
+def judge_by_date(report: DataFrame) -> tuple[list[dict], list[str], QualityGateError | None]:
+    """(report rows, dates on which every rule passed, the error naming the
+    others or None) of :func:`quality_report_by_date`: seven rows a snapshot day
+    reach the driver."""
+    rows = [r.asDict() for r in report.orderBy("date", "rule").collect()]
+    failed = [r for r in rows if not r["passed"]]
+    bad = {r["date"] for r in failed}
+    good = sorted({r["date"] for r in rows} - bad)
+    if not rows:
+        return rows, good, QualityGateError("quality gate failed — no snapshot to judge")
+    return rows, good, QualityGateError(f"quality gate failed — {_said(failed)}") if failed else None
+
+
 def enforce(report: DataFrame) -> list[dict]:
     """Blocking gate: collect the (few) report rows, raise listing *all*
     failed rules, else return the rows for logging."""
     rows = [r.asDict() for r in report.collect()]
     failed = [r for r in rows if not r["passed"]]
     if failed:
-        detail = "; ".join(
-            f"{r['rule']}: {r['violations']} violation(s), observed {r['observed']}" for r in failed
-        )
-        raise QualityGateError(f"quality gate failed — {detail}")
+        raise QualityGateError(f"quality gate failed — {_said(failed)}")
     return rows

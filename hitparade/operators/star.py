@@ -39,6 +39,10 @@ class Star:
             return self
         return Star(*(t.where(F.col("date") == F.lit(snapshot_date)) for t in self.tables().values()))
 
+    def on(self, snapshot_dates: list[str]) -> Star:
+        """The star restricted to some snapshots."""
+        return Star(*(t.where(F.col("date").isin(snapshot_dates)) for t in self.tables().values()))
+
 
 def _projected(rows: DataFrame, table: str) -> DataFrame:
     """A curated table's columns taken from its sources, cast to the declared types."""

@@ -66,6 +66,22 @@ def run_staging(
     return RunResult(snapshot_dates, rows)
 
 
+def publish_gated(
+    star: star_ops.Star, curated_root: str, seuil: float = quality.COMPLETENESS_THRESHOLD
+) -> tuple[dict[str, int], list[dict]]:
+    """Judge every snapshot of ``star`` alone and publish those that pass; then
+    raise naming the others, if any. Returns (rows per table, report rows)."""
+    report = quality.quality_report_by_date(star.fait_popularite, star.dim_titre, star.dim_artiste, seuil=seuil)
+    checks, good, error = quality.judge_by_date(report)
+    rows = {}
+    if good:
+        rows = lake_sink.publish_star(star if error is None else star.on(good), curated_root, mode="dates")
+        log.info("curated written to %s for %d snapshot(s): %s", curated_root, len(good), rows)
+    if error:
+        raise error
+    return rows, checks
+
+
 def run_curated(
     spark: SparkSession,
     staging_root: str,
@@ -77,21 +93,23 @@ def run_curated(
     """Staging → curated star for one snapshot (or every staged one when
     ``backfill``).
 
-    Order: build (lazy) → single-snapshot gate (unless backfill) → quality
-    gate → write the four tables. Nothing is written when a gate fails.
+    Order: build (lazy) → single-snapshot gate → quality gate → write the four
+    tables; nothing is written when a gate fails. A backfill judges each
+    snapshot alone (:func:`publish_gated`).
     """
     titres = lake_src.read_table(spark, staging_root, "titres", snapshot_date, schemas.TITRES).drop("date")
     artistes = lake_src.read_table(spark, staging_root, "artistes", snapshot_date, schemas.ARTISTES)
     star = star_ops.build_star(titres, artistes)
-    dates = None
-    if not backfill:
-        dates = [star_ops.assert_single_snapshot(star.fait_popularite)]
+    if backfill:
+        rows, checks = publish_gated(star, curated_root, seuil)
+        return RunResult(None, rows, checks)
+    dates = [star_ops.assert_single_snapshot(star.fait_popularite)]
     report = quality.quality_report(
-        star.fait_popularite, star.dim_titre, star.dim_artiste, date_attendue=dates[0] if dates else None, seuil=seuil
+        star.fait_popularite, star.dim_titre, star.dim_artiste, date_attendue=dates[0], seuil=seuil
     )
     checks = quality.enforce(report)
     ratio = next((c["observed"] for c in checks if c["rule"] == "completude"), None)
-    log.info("quality gate passed for %s: completeness of score_popularite %s", dates or "all staged snapshots", ratio)
+    log.info("quality gate passed for %s: completeness of score_popularite %s", dates, ratio)
     rows = lake_sink.publish_star(star, curated_root, mode="dates")
     log.info("curated written to %s: %s", curated_root, rows)
     return RunResult(dates, rows, checks)

@@ -108,9 +108,10 @@ def publish_star(
 
 def write_report(report: DataFrame, root: str, name: str, snapshot_date: str | None = None) -> str:
     """Persist a report result at ``root/report=<name>/[date=<d>/]`` (replaced
-    on rerun) and return the folder. Reports are small: one file."""
+    on rerun) and return the folder. Adaptive execution gathers a small report's
+    partitions into one file, in their order; a large one keeps several."""
     path = f"{root.rstrip('/')}/report={name}"
     if snapshot_date is not None:
         path += f"/date={snapshot_date}"
-    report.coalesce(1).write.mode("overwrite").parquet(path)
+    report.write.mode("overwrite").parquet(path)
     return path

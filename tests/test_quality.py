@@ -157,6 +157,42 @@ def test_report_all_pass(spark):
     }
 
 
+def _three_days(spark):
+    """Ninety-nine whole facts on one day, one without a score on another, artists only on a third."""
+    rows = [("2026-09-05", i, 10, 5, "2026-09-05") for i in range(99)] + [("2026-09-06", 1, 10, None, "2026-09-06")]
+    titres = [(1, "A", 100, None, 0.0, 7, d) for d in ("2026-09-05", "2026-09-06")]
+    artistes = [(10, "x", 1, 1, d) for d in ("2026-09-05", "2026-09-06", "2026-09-07")]
+    return (
+        spark.createDataFrame(rows, fx.FAIT_COLS + ", date string"),
+        spark.createDataFrame(titres, fx.TITRE_COLS + ", date string"),
+        spark.createDataFrame(artistes, fx.ARTISTE_COLS + ", date string"),
+    )
+
+
+def test_each_snapshot_is_judged_alone(spark):
+    f, t, a = _three_days(spark)
+    assert q.enforce(q.quality_report(f, t, a))  # as one pool the empty score passes
+    rows, good, error = q.judge_by_date(q.quality_report_by_date(f, t, a))
+    assert good == ["2026-09-05"] and len(rows) == 3 * 7
+    failed = {(r["date"], r["rule"]) for r in rows if not r["passed"]}
+    assert failed == {("2026-09-06", "completude"), ("2026-09-07", "completude"), ("2026-09-07", "fraicheur")}
+    assert "2026-09-06: completude" in str(error) and "2026-09-05" not in str(error)
+    _, good, error = q.judge_by_date(q.quality_report_by_date(f.limit(0), t.limit(0), a.limit(0)))
+    assert good == [] and "no snapshot" in str(error)
+
+
+def test_backfill_publishes_the_good_snapshots(spark, tmp_path):
+    from hitparade.operators.star import Star, build_dim_date, dim_date_table
+    from hitparade.plans import daily
+
+    f, t, a = _three_days(spark)
+    star = Star(f, t, a, dim_date_table(build_dim_date(f)))
+    with pytest.raises(q.QualityGateError, match="2026-09-06"):
+        daily.publish_gated(star, str(tmp_path))
+    for table in star.tables():
+        assert [x.name for x in sorted((tmp_path / table).glob("date=*"))] == ["date=2026-09-05"]
+
+
 def test_gate_lists_every_failure(spark):
     rows = fx.fait_rows() + [fx.fait_rows()[0]]
     rows[1] = (fx.D, 2, 999, -5)

@@ -145,6 +145,24 @@ def test_genre_yield(spark):
     assert got == {1: (2, 2), 2: (2, 1)}
 
 
+def test_genre_yield_and_summary_from_the_walk(spark):
+    rows = [_track(1, 1, 1), _track(2, None, 2), _track(1, 2, 1), _track(4, 1, 1, d=D2)]
+    entries = fx.tracks(spark, rows)
+    genres = spark.createDataFrame([(0, "All"), (1, "Pop"), (2, "Rap"), (3, "Jazz")], "id bigint, name string")
+    walk = ingest.genre_walk(genres, entries)
+    kept = ingest.first_seen(entries)
+    got = {
+        (r.date_snapshot, r.genre_id): (r.n_received, r.n_new) for r in ingest.genre_yield(entries, kept, walk).collect()
+    }
+    assert got == {
+        (D1, 1): (1, 1), (D1, 2): (1, 0), (D1, 3): (0, 0), (D1, None): (1, 1),
+        (D2, 1): (1, 1), (D2, 2): (0, 0), (D2, 3): (0, 0),
+    }
+    artists = ingest.distinct_artists(kept).withColumnRenamed("date_snapshot", "date")
+    summary = {tuple(r) for r in ingest.extract_summary(walk, kept, artists).collect()}
+    assert summary == {(D1, 3, 2, 1), (D2, 3, 1, 1)}
+
+
 def test_staging_explode_nulls(spark):
     from hitparade import schemas
 
