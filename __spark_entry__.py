@@ -204,6 +204,17 @@ def q_extract_artists(spark, sf_dir):
     return _extraction(spark, sf_dir).artistes
 
 
+def q_extract_rejects(spark, sf_dir):
+    # the event bodies land among the artist lookups: error bodies are set aside, the
+    # rest resolve nobody, and every lookup that is needed has landed
+    lookups = landing.artist_lookup_bodies(spark, sf_dir)
+    return extract_plan.extract(
+        landing.genre_list_body(spark, sf_dir),
+        landing.chart_pages(spark, sf_dir),
+        lookups.unionByName(landing.response_bodies(spark, sf_dir).select("body")),
+    ).rejected_responses
+
+
 def q_extract_summary(spark, sf_dir):
     kept = landing.kept_entries(spark, sf_dir)
     walk = ingest.genre_walk(landing.genre_records(spark, sf_dir), landing.chart_entries(spark, sf_dir))
@@ -212,9 +223,12 @@ def q_extract_summary(spark, sf_dir):
 
 # lake: every query writes to a fresh folder under the session's checkpoint
 # dir, then returns what it reads back
-def _landed_raw(spark, sf_dir) -> str:
+def _landed_raw(spark, sf_dir, deduplicated: bool = True) -> str:
     raw_root = scratch_dir(spark, "raw")
-    titres, artistes = landing.staging(spark, sf_dir)
+    if deduplicated:
+        titres, artistes = landing.staging(spark, sf_dir)
+    else:
+        titres, artistes = landing.walked_tracks(spark, sf_dir), landing.looked_up_artists(spark, sf_dir)
     raw_sink.land_raw(titres, artistes, raw_root)
     return raw_root
 
@@ -225,6 +239,7 @@ def _published(spark, sf_dir) -> tuple[str, dict[str, int]]:
     staging_root, root = scratch_dir(spark, "staging"), scratch_dir(spark, "curated")
     titres, artistes = landing.staging(spark, sf_dir)
     lake_sink.run_concurrently(
+        spark,
         {
             "titres": lambda: lake_sink.counted_write(
                 titres.withColumn("date", F.col("date_snapshot")), f"{staging_root}/titres", "titres"
@@ -241,8 +256,9 @@ def q_raw_roundtrip(spark, sf_dir):
 
 
 def _staged(spark, sf_dir) -> str:
+    # titles and artists land as often as they were seen: staging deduplicates them
     staging_root = scratch_dir(spark, "staging")
-    daily.run_staging(spark, _landed_raw(spark, sf_dir), staging_root)
+    daily.run_staging(spark, _landed_raw(spark, sf_dir, deduplicated=False), staging_root)
     return staging_root
 
 
@@ -289,9 +305,12 @@ def _registered(spark, sf_dir, before_write: bool = False) -> str:
     if before_write:
         catalog.register_curated(spark, db, root, db_location=f"{root}_db")
         lake_sink.publish_star(_star(spark, sf_dir), root)
-    else:
-        root, _ = _published(spark, sf_dir)
-        catalog.register_curated(spark, db, root, db_location=f"{root}_db")
+        # one value a snapshot
+        written = lake_src.read_table(spark, root, "dim_date").select("date").distinct().collect()
+        catalog.add_partitions(spark, [f"{db}.{t}" for t in schemas.CURATED], [r.date for r in written])
+        return db
+    root, _ = _published(spark, sf_dir)
+    catalog.register_curated(spark, db, root, db_location=f"{root}_db")
     catalog.recover_partitions(spark, [f"{db}.{t}" for t in schemas.CURATED])
     return db
 
@@ -387,6 +406,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_summary": q_extract_summary,
         "extract_titles": q_extract_titles,
         "extract_artists": q_extract_artists,
+        "extract_rejects": q_extract_rejects,
         "first_seen_dedup": q_first_seen_dedup,
         "dim_titre": q_dim_titre,
         "dim_artiste": q_dim_artiste,
@@ -708,6 +728,15 @@ def _ingest_sql() -> dict[str, str]:
             FROM bodies
             WHERE CASE WHEN json_valid(body) AND json_type(body) = 'OBJECT'
                        THEN list_contains(json_keys(body), 'error') ELSE FALSE END""",
+        "extract_rejects": """
+            , bodies AS (
+                SELECT CASE WHEN event_type = 'error' THEN '{"error": ' || props || '}' ELSE props END AS body
+                FROM events)
+            SELECT 'artist' AS endpoint, body,
+                   CASE WHEN json_valid(body) THEN CAST(json_extract(body, '$.error') AS VARCHAR)
+                        ELSE 'unparsable body' END AS error
+            FROM bodies
+            WHERE body IS NULL OR NOT json_valid(body) OR list_contains(json_keys(body), 'error')""",
         "chart_pages_read": """
             SELECT date_snapshot, genre_id, page_no, COUNT(*) AS n_tracks FROM paged GROUP BY ALL""",
         "track_flatten": f"SELECT date_snapshot, {track_cols}, page_no, page_pos FROM paged",

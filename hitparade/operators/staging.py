@@ -13,18 +13,24 @@ from pyspark.sql import functions as F
 from hitparade import schemas
 from hitparade.operators.ingest import first_seen
 
-# Order among duplicates of one id in a snapshot: genre order, then position
-# in its document, then every other column so the choice is total.
-TITRE_ORDER = ("genre_id", "_doc_pos", "artist_id", "rank", "title", "duration", "bpm", "gain", "explicit_lyrics")
+# Order among duplicates of one id in a snapshot: the walk (genre's place in the
+# list, place in the chart), then place in the document (the walk of a legacy
+# document), then every other column so the choice is total.
+TITRE_ORDER = (
+    "_walk.genre_ordinal", "_walk.position", "_doc_pos",
+    "genre_id", "artist_id", "rank", "explicit_lyrics", "title", "duration", "bpm", "gain",
+)
 ARTISTE_ORDER = ("_doc_pos", "name", "nb_fan", "nb_album")
 
 
 def explode_tracks(raw: DataFrame) -> DataFrame:
     """One row per track element (null/empty array → no row; a null element →
-    an all-null row), with ``_doc_pos`` = its index in the document."""
+    an all-null row), with ``_doc_pos`` = its index in the document and ``_walk``
+    = where the line stood in the walk (null without one)."""
+    walk = F.col("walk") if "walk" in raw.columns else F.lit(None).cast(schemas.WALK)
     return raw.select(
-        "date_snapshot", F.posexplode("tracks").alias("_doc_pos", "t")
-    ).select("t.*", "date_snapshot", "_doc_pos")
+        "date_snapshot", walk.alias("_walk"), F.posexplode("tracks").alias("_doc_pos", "t")
+    ).select("t.*", "date_snapshot", "_doc_pos", "_walk")
 
 
 def explode_artists(raw: DataFrame) -> DataFrame:

@@ -57,6 +57,7 @@ def run_staging(
     artistes = staging.build_artistes(raw("artists"))
     root = staging_root.rstrip("/")
     rows = lake_sink.run_concurrently(
+        spark,
         {
             "titres": lambda: lake_sink.counted_write(titres, f"{root}/titres", "titres"),
             "artistes": lambda: lake_sink.counted_write(artistes, f"{root}/artistes", "artistes"),

@@ -47,6 +47,11 @@ RAW_DOCUMENT = T.StructType(
     ]
 )
 
+# Our lines carry one more field beside the document: where in the day's walk the
+# track stood (place of its genre in the list, place in the chart). Legacy
+# documents have none; their tracks stand in list order.
+WALK = T.StructType([T.StructField("genre_ordinal", T.LongType()), T.StructField("position", T.LongType())])
+
 # ------------------------------------------------- landed API response bodies
 # A chart page: {data: [track...], next: url?}; a track nests its artist.
 API_TRACK = T.StructType(

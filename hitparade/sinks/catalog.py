@@ -2,7 +2,8 @@
 
 * register the curated tables as external, date-partitioned Parquet tables
   with declared columns (no crawler, no inference);
-* recover partitions after a snapshot is written (``MSCK REPAIR TABLE``);
+* add the partitions of the dates just written (``ALTER TABLE ADD PARTITION``), or
+  recover all of them (``MSCK REPAIR TABLE``);
 * list partitions older than a retention window and expire them: the catalog
   entry is dropped and the folder deleted through the table's file system.
 """
@@ -62,6 +63,15 @@ def recover_partitions(spark: SparkSession, tables: Iterable[str]) -> None:
         spark.sql(f"MSCK REPAIR TABLE {t}")
 
 
+def add_partitions(spark: SparkSession, tables: Iterable[str], dates: Iterable[str]) -> None:
+    """Register the ``date=`` folders of the dates just written, without listing
+    the others (:func:`recover_partitions` lists them all)."""
+    specs = " ".join(f"PARTITION (`date` = '{d}')" for d in dates)
+    if specs:
+        for t in tables:
+            spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {specs}")
+
+
 def partitions(spark: SparkSession, table: str) -> DataFrame:
     """Distinct ``date`` values registered for a table (catalog metadata only;
     a table also partitioned below ``date`` lists each date once)."""

@@ -23,7 +23,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitparade.operators.star import Star
@@ -82,14 +83,15 @@ def counted_write(df: DataFrame, path: str, name: str, **kwargs) -> int:
     return int(obs.get["rows"])
 
 
-def run_concurrently(jobs: dict[str, Callable[[], int]], max_workers: int = 4) -> dict[str, int]:
+def run_concurrently(spark: SparkSession, jobs: dict[str, Callable[[], int]], max_workers: int = 4) -> dict[str, int]:
     """Run independent Spark actions as concurrent jobs (one driver thread
-    each) so they share the executors instead of queueing; results by name.
-    The first failure is re-raised after all jobs have finished."""
+    each, with the caller's job group, pool and tags) so they share the
+    executors instead of queueing; results by name. The first failure is
+    re-raised after all jobs have finished."""
     if len(jobs) <= 1:
         return {k: f() for k, f in jobs.items()}
     with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
-        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        futures = {k: pool.submit(inheritable_thread_target(spark)(f)) for k, f in jobs.items()}
         return {k: fut.result() for k, fut in futures.items()}
 
 
@@ -103,7 +105,7 @@ def publish_star(
         return lambda: counted_write(out, f"{root.rstrip('/')}/{name}", name, mode=mode)
 
     jobs = {name: job(name, df) for name, df in star.tables().items()}
-    return run_concurrently(jobs) if concurrent else {k: f() for k, f in jobs.items()}
+    return run_concurrently(star.fait_popularite.sparkSession, jobs) if concurrent else {k: f() for k, f in jobs.items()}
 
 
 def write_report(report: DataFrame, root: str, name: str, snapshot_date: str | None = None) -> str:

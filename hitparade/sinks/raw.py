@@ -17,21 +17,28 @@ from hitparade import schemas
 
 
 def raw_documents(titres: DataFrame, artistes: DataFrame) -> DataFrame:
-    """(tracks, artists, date, kind) rows: one document per title and per artist.
+    """(tracks, artists, walk, date, kind) rows: one document per title and per artist.
 
-    ``titres`` carry ``date_snapshot``; ``artistes`` carry ``date``.
+    ``titres`` carry ``date_snapshot``; ``artistes`` carry ``date``. Titles that carry
+    ``genre_ordinal`` and ``position`` take them along as ``walk``, so chart rows can be
+    landed before any dedup.
     """
+    places = schemas.WALK.fieldNames()
+    walked = set(places) <= set(titres.columns)
+    walk = F.struct(*[F.col(c).cast("long").alias(c) for c in places]) if walked else F.lit(None).cast(schemas.WALK)
     track = F.struct(*[F.col(c) for c in schemas.TRACK_COLUMNS])
     artist = F.struct(*[F.col(c) for c in schemas.ARTIST_COLUMNS])
     track_docs = titres.select(
         F.array(track).alias("tracks"),
         F.lit(None).cast(schemas.RAW_DOCUMENT["artists"].dataType).alias("artists"),
+        walk.alias("walk"),
         F.col("date_snapshot").alias("date"),
         F.lit("tracks").alias("kind"),
     )
     artist_docs = artistes.select(
         F.lit(None).cast(schemas.RAW_DOCUMENT["tracks"].dataType).alias("tracks"),
         F.array(artist).alias("artists"),
+        F.lit(None).cast(schemas.WALK).alias("walk"),
         F.col("date"),
         F.lit("artists").alias("kind"),
     )

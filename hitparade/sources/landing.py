@@ -97,6 +97,17 @@ def chart_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.select(*schemas.TRACK_COLUMNS, "date_snapshot", "position")
 
 
+def walked_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows before dedup with their place in the walk; the genre list is in id order."""
+    return chart_tracks(spark, sf_dir).withColumn("genre_ordinal", F.col("genre_id"))
+
+
+def looked_up_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The artist of every kept title, as often as it has titles: (artist columns, date)."""
+    of_titles = kept_entries(spark, sf_dir).select(F.col("artist_id").alias("id"), F.col("date_snapshot").alias("date"))
+    return of_titles.join(artist_records(spark, sf_dir), "id", "left").select(*schemas.ARTIST_COLUMNS, "date")
+
+
 def artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed artist lookups, one per artist id."""
     s = table(spark, sf_dir, "supplier")

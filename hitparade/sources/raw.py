@@ -36,7 +36,7 @@ def read_raw(
 ) -> DataFrame:
     """Raw documents with ``date_snapshot`` taken from each file's path.
 
-    Columns: tracks, artists, date_snapshot (+ ``_corrupt_record`` when not
+    Columns: tracks, artists, walk, date_snapshot (+ ``_corrupt_record`` when not
     strict). The partition column, when the layout has one, is declared STRING
     so inference cannot retype it. ``snapshot_dates`` restricts a partitioned
     raw root to those ``date=`` folders (partition pruning: other days are
@@ -44,7 +44,8 @@ def read_raw(
     ``kind=`` folders of that document type — a layout without ``kind=``
     folders is read whole.
     """
-    fields = list(schemas.RAW_DOCUMENT.fields) + [schemas.PARTITION, T.StructField("kind", T.StringType())]
+    fields = list(schemas.RAW_DOCUMENT.fields) + [T.StructField("walk", schemas.WALK)]
+    fields += [schemas.PARTITION, T.StructField("kind", T.StringType())]
     if not strict:
         fields.append(T.StructField(CORRUPT, T.StringType()))
     reader = (
@@ -61,5 +62,5 @@ def read_raw(
         df = df.where(F.col("kind").isNull() | (F.col("kind") == F.lit(kind)))
     from_path = F.nullif(path_snapshot_date(F.col("_metadata.file_path")), F.lit(""))
     date = F.coalesce(F.nullif(F.col("date"), F.lit("")), from_path)
-    keep = ["tracks", "artists"] + ([] if strict else [CORRUPT])
+    keep = ["tracks", "artists", "walk"] + ([] if strict else [CORRUPT])
     return df.select(*keep, validated_date(date, "snapshot date from raw path").alias("date_snapshot"))

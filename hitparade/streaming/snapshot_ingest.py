@@ -57,6 +57,7 @@ def rebuild_snapshots(
     titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw("artists"))
     lake_sink.run_concurrently(
+        spark,
         {
             "titres": lambda: lake_sink.counted_write(titres, f"{staging_root}/titres", "titres"),
             "artistes": lambda: lake_sink.counted_write(artistes, f"{staging_root}/artistes", "artistes"),

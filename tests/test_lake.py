@@ -47,7 +47,7 @@ def test_legacy_document_reader(spark, tmp_path):
     from hitparade.operators import staging
 
     titres = {r.id: r for r in staging.build_titres(raw).collect()}
-    assert set(titres) == {1, 2} and titres[1].genre_id == 116  # lowest genre id first
+    assert set(titres) == {1, 2} and titres[1].genre_id == 132  # first in the document's list order
     assert titres[1].date_snapshot == "2026-09-05"
     import math
 
@@ -149,6 +149,33 @@ def test_catalog_registration_and_retention(spark, tmp_path):
     assert fresh == {"1998-03-01": True, "2030-01-01": False}
 
 
+def test_staging_keeps_the_first_seen_in_walk_order(spark, tmp_path):
+    cols = schemas.ddl(schemas.TITRES) + ", genre_ordinal bigint, position bigint"
+    track = lambda id_, genre, ordinal, pos, rank: (id_, "t", 200, rank, None, -1.0, False, 1, genre, D, ordinal, pos)
+    D = "2026-09-05"
+    rows = [track(1, 116, 2, 0, 5), track(1, 132, 1, 9, 6), track(1, 132, 1, 3, 7), track(2, 116, 2, 1, 8)]
+    artistes = spark.createDataFrame([(1, "A", 5, 1, D)] * 3, "id bigint, name string, nb_fan bigint, nb_album bigint, date string")
+    raw, stg = str(tmp_path / "raw"), str(tmp_path / "stg")
+    raw_sink.land_raw(spark.createDataFrame(rows, cols), artistes, raw)
+    assert daily.run_staging(spark, raw, stg).rows == {"titres": 2, "artistes": 1}
+    got = {(r.id, r.genre_id, r["rank"]) for r in lake_src.read_table(spark, stg, "titres").collect()}
+    assert got == {(1, 132, 7), (2, 116, 8)}
+
+
+def test_add_partitions_registers_only_the_dates_given(spark, tmp_path):
+    titres, artistes = landing.staging(spark, SF)
+    star = star_ops.build_star(titres, artistes).on(["1998-03-01", "1998-04-01"])
+    cur = str(tmp_path / "curated")
+    lake_sink.publish_star(star, cur)
+    names = catalog.register_curated(spark, "charts_added", cur, db_location=str(tmp_path / "db"))
+    catalog.add_partitions(spark, names, [])
+    assert catalog.partitions(spark, names[0]).count() == 0
+    for _ in range(2):
+        catalog.add_partitions(spark, names, ["1998-04-01"])
+    assert [r.date for r in catalog.partitions(spark, names[0]).collect()] == ["1998-04-01"]
+    assert spark.table(names[0]).count() == star.at("1998-04-01").fait_popularite.count()
+
+
 def test_write_modes(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, date string")
