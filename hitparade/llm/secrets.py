@@ -8,10 +8,10 @@ one of ordinary identifiers by ``MIN_TOTAL`` in all and ``MIN_MEAN`` a transitio
 
 Labelled samples: random are the values that the patterns match in the corpus
 (one model), and strings of known randomness, hex and base64 of SHA-256 digests
-of ``GENERATED`` counters (the other); ordinary are the corpus's other
-runs of ``TRAIN_LENGTH`` characters and more. Transitions of all of them are
-counted by Spark, at most 128 x 128 counts a class reach the driver. Everything
-is SQL functions.
+of ``GENERATED`` counters (the other); ordinary are the corpus's runs of
+``TRAIN_LENGTH`` characters and more once pattern matches are taken out.
+Transitions of all of them are counted by Spark, at most 128 x 128 counts a class
+reach the driver. Everything is SQL functions.
 
 Positions are code points, ends exclusive. Rows: a null text has no spans. A
 corpus without ordinary runs (an empty table) gets a uniform model of them.
@@ -114,7 +114,15 @@ def fit(spark: SparkSession, docs: DataFrame, text_col: str = "text", alpha: flo
     key = F.when(F.col("t").contains("AKIA"), F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)))
     hexes = F.when(F.col("t").rlike("[0-9a-f]{32}"), F.regexp_extract_all("t", F.lit(HEX), F.lit(0)))
     empty = F.array().cast("array<string>")
-    runs = F.regexp_extract_all("t", F.lit(f"{RUN}{{{TRAIN_LENGTH},}}"), F.lit(0))
+    # what a pattern matches is no part of an ordinary run
+    rest = F.col("t")
+    for found, pattern in (
+        (F.col("t").rlike(ASSIGN), ASSIGN),
+        (F.col("t").contains("AKIA"), ACCESS),
+        (F.col("t").rlike("[0-9a-f]{32}"), HEX),
+    ):
+        rest = F.when(found, F.regexp_replace(rest, pattern, " ")).otherwise(rest)
+    runs = F.regexp_extract_all(rest, F.lit(f"{RUN}{{{TRAIN_LENGTH},}}"), F.lit(0))
     both = rows.select(F.concat(*[F.coalesce(c, empty) for c in (value, key, hexes)]).alias("hits"), runs.alias("runs"))
     labelled = both.select(
         F.explode(
