@@ -28,7 +28,7 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 from hitparade.llm.arrow import append_columns
 
 #: Pre-tokens remembered in a task; when full, the shorter half stays (results do not change).
-MEMORY = 200_000
+MEMORY = 50_000
 #: Longer pre-tokens are encoded without being remembered.
 LONGEST_REMEMBERED = 64
 
