@@ -5,7 +5,8 @@ space, so a text's ids are those of its white-space-delimited chunks in order.
 Chunks and their pre-tokens are encoded by the library's BPE model once and
 remembered. Texts holding the
 separators U+001C to U+001F, which Python splits at and the tokenizer's pattern
-does not, are encoded whole by the library.
+does not, or the content of an added token (``<|endoftext|>``), which the library
+matches before its pattern, are encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -58,10 +59,12 @@ class WordEncoder:
 
     def __init__(self, tokenizer_json: str, end_id: int):
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.tok.encode_special_tokens = True
         self.tok.no_truncation()
         self.tok.no_padding()
         spec = json.loads(tokenizer_json)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        if any(t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError("added tokens must be matched in the text as it is")
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         if split["type"] != "Split" or not split["invert"] or split["behavior"] != "Removed":
             raise ValueError("the tokenizer's pre-tokens must be the matches of one pattern")
@@ -71,6 +74,10 @@ class WordEncoder:
         self.chunks = Memory(self._chunk)
         self.words = Memory(self._word)
 
+    def _in_chunks(self, text: str) -> bool:
+        """Whether the text's ids are those of its chunks."""
+        return not _SEPARATORS.search(text) and not any(a in text for a in self.added)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in got]
@@ -91,7 +98,7 @@ class WordEncoder:
         return b"".join([self.words[w] for w in self._split(chunk)])
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [[] if not t or _SEPARATORS.search(t) else t.split() for t in texts]
+        split = [t.split() if t and self._in_chunks(t) else [] for t in texts]
         out = []
         for t, cs in zip(texts, split, strict=True):
             if cs:

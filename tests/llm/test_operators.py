@@ -290,6 +290,28 @@ def test_word_encoder_on_odd_texts():
         assert ids.tolist() == [*(tok.encode(t, add_special_tokens=False).ids if t else []), 1]
 
 
+ADDED = [
+    "a <|endoftext|> b",
+    "a<|startoftext|>b <|endoftext|><|endoftext|>\n c",
+    "<|endoftext|>",
+    "<|ENDOFTEXT|> <|endoftext|",
+    "x <|endoftext|>\x1c y",
+]
+
+
+def test_token_files_with_added_tokens(spark, tmp_path):
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = list(enumerate([*ADDED, "plain text"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start, want = 0, []
+    for doc, text in rows:
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        want.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert tok.encode(ADDED[0], add_special_tokens=False).ids == [320, 49407, 321]
+    assert sorted(tuple(r) for r in queries.op9_token_files(spark, str(tmp_path)).collect()) == want
+
+
 def test_token_files_order_of_odd_rows(spark, odd_dir):
     rows = queries.op9_token_files(spark, odd_dir[0]).collect()
     rows.sort(key=lambda r: r.start)
