@@ -162,15 +162,15 @@ def markov_spans(text_col: str, base_col: str, tables: list[list[int]], min_tota
     text = F.col(text_col)
 
     def llr(chars: Column, table: list[int]) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(chars) - 2),
-            F.lit(0),
-            lambda a, i: a + F.get(int_table(table), F.ascii(F.get(chars, i)) * 128 + F.ascii(F.get(chars, i + 1))),
-        )
+        # 64 bits: an inlined image's run passes 2^31 thousandths
+        def gain(i: Column) -> Column:
+            return F.get(int_table(table), F.ascii(F.get(chars, i)) * 128 + F.ascii(F.get(chars, i + 1))).cast("long")
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 2), F.lit(0).cast("long"), lambda a, i: a + gain(i))
 
     def random(run: Column) -> Column:
         best = bind(F.split(run, ""), lambda chars: F.array_max(F.array(*[llr(chars, t) for t in tables])))
-        return bind(best, lambda x: (x >= min_total) & (x >= min_mean * (F.char_length(run) - 1)))
+        return bind(best, lambda x: (x >= min_total) & (x >= F.lit(min_mean).cast("long") * (F.char_length(run) - 1)))
 
     pattern = f"{RUN}{{{MIN_LENGTH},}}"
     some = F.exists(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), random)

@@ -435,6 +435,21 @@ def test_markov_spans_find_random_strings_only(spark):
     assert all(left[i] == t for i, t in zip(d.doc_id, d.text) if not brute_secrets(t))
 
 
+def test_markov_span_of_an_inlined_image(spark):
+    """A run whose log-likelihood ratio passes 32 bits."""
+    d = table("documents")
+    model = secrets.fit(spark, spark.createDataFrame(list(enumerate(d.text)), "doc_id long, text string"))
+    run = "".join(np.random.default_rng(0).choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 10**6))
+    codes = np.frombuffer(run.encode(), np.uint8).astype(int)
+    total = max(int(np.array(t)[codes[:-1] * 128 + codes[1:]].sum()) for t in model)
+    assert total > 1 << 31
+    docs = spark.createDataFrame([(1, f"see {run} there")], "doc_id long, text string")
+    for mean, want in ((secrets.MIN_MEAN, [(4, 3, 4 + 10**6)]), (total // (10**6 - 1) + 1, [])):
+        got = secrets.scan(docs, model, min_mean=mean).first()
+        base = [tuple(x) for x in got.base]
+        assert [tuple(x) for x in got.secrets if tuple(x) not in base] == want and base == []
+
+
 def test_transitions_match_brute_force(spark):
     texts = ["thisisordinary thisisordinary", "x token=abcdefgh", None]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
