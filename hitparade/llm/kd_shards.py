@@ -188,4 +188,4 @@ def assign(
     before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("_n")
     placed = placed.join(counts.select("shard", "_bucket", before.alias("_before")), ["shard", "_bucket"])
     slot = F.col("_before") + F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_row")) - 1
-    return placed.select("doc_id", "size", "text_crc32", "shard", slot.cast("int").alias("slot"))
+    return placed.select("doc_id", "size", "text_crc32", "shard", slot.alias("slot"))

@@ -625,6 +625,11 @@ def check_shards(rows, docs, shards=40):
     return {s: sum(r.size for r in part) for s, part in by.items()}
 
 
+def test_slots_are_long(spark, odd_dir):
+    for folder in (SF, *odd_dir):
+        assert dict(queries.op10_kd_shards(spark, folder).dtypes)["slot"] == "bigint"
+
+
 def test_shards_are_near_equal(spark):
     d = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pandas()
     rows = queries.op10_kd_shards(spark, "/root/testdata/sf0.01").collect()
