@@ -194,6 +194,37 @@ def test_bloom_filter_holds_every_key(spark):
     assert bloom.may_hold(other).mean() < 0.02
 
 
+def test_large_url_list_matches_brute_force(spark):
+    rng = np.random.default_rng(5)
+    hosts = [h for i in range(30_000) for h in (f"s{i}.com", f"w{i % 7}.s{i}.com")]
+    paths = ["/", "/a/", "/a/b", "/long/er/"]
+    rules = [(h, paths[j], "block" if rng.random() < 0.5 else "allow") for h in hosts for j in rng.choice(4, 2, replace=False)]
+    rules += [(h, p, "block") for h, p, _ in rules[:1000]]
+    listed = {}
+    for h, p, v in rules:
+        listed[h, p] = max(v, listed.get((h, p), v))
+    assert len(listed) >= 100_000
+    pages = []
+    for i in range(3000):
+        host = rng.choice(["", "x.", f"w{i % 7}.", f"y.w{i % 7}."]) + f"S{rng.integers(0, 33_000)}.com"
+        pages.append((i, f"http://{host}{rng.choice(['', '/', '/a/', '/a/b', '/a/bc/d', '/long/er/x', '/z'])}?q"))
+    want = []
+    for i, url in pages:
+        host, _, path = url[7:-2].partition("/")
+        host, path = host.lower(), "/" + path if "/" in url[7:] else ""
+        parts = host.split(".")
+        ends = [".".join(parts[k:]) for k in range(len(parts))]
+        keys = [(h, path[:k]) for h in ends for k in range(len(path) + 1) if (h, path[:k]) in listed]
+        best = max(((len(h + p), h + p, listed[h, p]) for h, p in keys), default=(0, None, "allow"))
+        want.append((i, url, host, path, *best[1:]))
+    got = url_filter.judge(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame(rules, "host string, path string, verdict string"),
+    )
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert min(Counter((r[4] is None, r[5]) for r in want).values()) > 100
+
+
 def test_empty_url_list(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
