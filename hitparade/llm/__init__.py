@@ -1,4 +1,4 @@
-"""Training-data operators: ten document operators and their queries.
+"""Training-data operators: document and conversation operators and their queries.
 
 Nothing else in the library imports this subpackage.
 """

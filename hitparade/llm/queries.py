@@ -6,17 +6,22 @@ and derives the contract's digest columns from what the operator returns.
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitparade.llm import (
+    bbit_minhash,
     byte_bpe,
+    conversation_repair,
     decontaminate,
     kd_shards,
     language_id,
     line_crf,
     ngram_join,
+    periodic_runs,
     quality_rules,
     secrets,
     token_files,
@@ -199,6 +204,114 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 11: near duplicates --------------------------------------------------------------------
+
+
+def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+           ELSE list_distinct(list_transform(generate_series(1, len(w) - 4),
+                i -> list_aggregate(list_slice(w, i, i + 4), 'string_agg', ' '))) END AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, len(s) AS n FROM shingled
+), items AS (
+    SELECT doc_id, unnest(s) AS x FROM shingled
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * c >= 85 * (p.n + q.n - c)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+
+# --- 12: periodic runs ----------------------------------------------------------------------
+
+
+def with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's damage: in one document of ten, a stretch to the end repeats its first words."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find(docs, edit=with_planted_run)
+    # greatest length / period as an exact comparison of products; ties: least start, then period
+    steeper = lambda r, s: (
+        F.when(r["length"] * s["period"] != s["length"] * r["period"], F.when(r["length"] * s["period"] > s["length"] * r["period"], -1).otherwise(1))
+        .when(r["start"] != s["start"], F.when(r["start"] < s["start"], -1).otherwise(1))
+        .otherwise(F.when(r["period"] < s["period"], -1).when(r["period"] > s["period"], 1).otherwise(0))
+    )
+    top = F.get(F.array_sort("runs", steeper), 0)
+    line = lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(F.expr("1000 * top.length div top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# --- 13: conversation structure repair ------------------------------------------------------
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage to conversations, by a hash of each row's id and turn."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    kind = F.col("kind")
+    made = rows.withColumn("kind", h).where(kind != 0)
+    return made.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(text("role")).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text")).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = conversation_repair.repair(damaged(rows), keep_text=False).drop("n_rows")
+    ids = rows.select(F.col("conv_id").alias("_id")).distinct()
+    out = ids.join(made.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        F.col("_id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontaminate": op2_decontaminate,
@@ -210,6 +323,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_files": op9_token_files,
     "op10_kd_shards": op10_kd_shards,
+    "op11_bbit_minhash": op11_bbit_minhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-ORACLE_SQL = {"op4_url_filter": OP4_SQL}
+ORACLE_SQL = {"op4_url_filter": OP4_SQL, "op11_bbit_minhash": OP11_SQL}

@@ -64,6 +64,9 @@ def odd_dir(spark, tmp_path_factory):
         urls = [None, "", "x", "http://A.example.com/en/1?x", "a://com", "a://com/", "http://www.Example.com/en/", "u://net/es/#f"]
         pages = [(i if i else None, u, None) for i, u in enumerate(urls)] + [(3, urls[3], "h")] * 2
         spark.createDataFrame(pages, "page_id long, url string, html string").limit(n).write.parquet(f"{d}/pages.parquet")
+        turns = [(c, t, r, x) for c in (None, 1) for t in (None, 0, 2) for r in (None, "user") for x in (None, "", "a. ", LONG)]
+        turns = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+        turns.limit(n).write.parquet(f"{d}/conversations.parquet")
         out.append(d)
     return out
 
@@ -71,8 +74,11 @@ def odd_dir(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_odd_and_empty_tables(spark, odd_dir, name):
     odd, empty = odd_dir
-    table_name = "pages" if name.startswith("op4_") else "documents"
-    n = spark.read.parquet(f"{odd}/{table_name}.parquet").count()
+    read = lambda t: spark.read.parquet(f"{odd}/{t}.parquet")
+    if name.startswith("op13_"):
+        n = read("conversations").select("conv_id").distinct().count()
+    else:
+        n = read("pages" if name.startswith("op4_") else "documents").count()
     assert len(queries.QUERIES[name](spark, odd).collect()) == n
     assert queries.QUERIES[name](spark, empty).collect() == []
 
