@@ -214,12 +214,12 @@ def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP11_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), shingled AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
            ELSE list_distinct(list_transform(generate_series(1, len(w) - 4),
-                i -> list_aggregate(list_slice(w, i, i + 4), 'string_agg', ' '))) END AS s
+                lambda i: list_aggregate(list_slice(w, i, i + 4), 'string_agg', ' '))) END AS s
     FROM words
 ), sizes AS (
     SELECT doc_id, len(s) AS n FROM shingled
