@@ -1,9 +1,8 @@
 """Encoding with a tokenizers-library vocabulary of word BPE.
 
 The tokenizer's own normaliser and pre-tokenizer never join text across white
-space, so a text's ids are those of its white-space-delimited chunks in order.
-Chunks and their pre-tokens are encoded by the library's BPE model once and
-remembered. Texts holding the
+space, nor at a mark after a letter, so a text's ids are those of the chunks between them in
+order. Chunks are encoded by the library's BPE model once and remembered. Texts holding the
 separators U+001C to U+001F, which Python splits at and the tokenizer's pattern
 does not, or the content of an added token (``<|endoftext|>``), which the library
 matches before its pattern, are encoded whole by the library.
@@ -19,15 +18,15 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from hitparade.llm.byte_bpe import shorter_half
-
-#: Chunks and pre-tokens remembered in a Python worker; when full, the shorter half stays (results do not change).
-MEMORY = 400_000
+#: Chunks remembered in a Python worker, in two generations (results do not depend on it).
+MEMORY = 800_000
 #: Longer chunks are encoded without being remembered.
 LONGEST_REMEMBERED = 48
-# Latin-1 letters and marks after them: such a chunk's pre-tokens need no normaliser and no pattern.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)").fullmatch
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+# Between a Latin-1 letter and a mark there is always an end of a pre-token.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_BOUNDARY = re.compile(f"(?<=[{_LETTER}])(?=[.,!?;:])")
+_LETTERS = re.compile(f"[{_LETTER}]+").fullmatch
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _ALPHABET = {b: chr(b) for b in _PRINTABLE}
@@ -35,23 +34,26 @@ _ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b n
 
 
 class Memory(dict):
-    """Remembers what ``make`` gives for short keys."""
+    """Remembers what ``make`` gives for short keys: those met lately, and those met before the last turn."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        made = self.make(key)
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
         if len(key) <= LONGEST_REMEMBERED:
             self[key] = made
         return made
 
     def bound(self) -> None:
-        if len(self) > MEMORY:
-            kept = shorter_half(self)
+        """A full generation becomes the older one; what it does not meet again is forgotten at the next turn."""
+        if len(self) > MEMORY // 2:
+            self.older = dict(self)
             self.clear()
-            self.update(kept)
 
 
 class WordEncoder:
@@ -72,42 +74,47 @@ class WordEncoder:
         self.model = self.tok.model
         self.end = np.array([end_id], "<u4").tobytes()
         self.chunks = Memory(self._chunk)
-        self.words = Memory(self._word)
 
     def _in_chunks(self, text: str) -> bool:
         """Whether the text's ids are those of its chunks."""
-        return not _SEPARATORS.search(text) and not any(a in text for a in self.added)
+        return not any(c in text for c in _SEPARATORS) and not any(a in text for a in self.added)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in got]
 
-    def _split(self, chunk: str) -> list[str]:
-        """The chunk's normalised pre-tokens."""
-        if m := _PLAIN(chunk):
-            word, marks = m.groups()
-            return [word.lower(), marks] if marks else [word.lower()]
-        return self.find(chunk.lower() if chunk.isascii() else self.tok.normalizer.normalize_str(chunk))
-
     def _word(self, word: str) -> bytes:
         """The ids of a normalised pre-token, by the library's model alone."""
         mapped = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self.words[w] for w in self._split(chunk)])
+        """The ids of a chunk, from those of its normalised pre-tokens."""
+        if _LETTERS(chunk):
+            return self._word(chunk.lower())
+        split = self.find(chunk.lower() if chunk.isascii() else self.tok.normalizer.normalize_str(chunk))
+        return b"".join([self._word(w) for w in split])
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        try:  # Latin-1 text is normal but for its capitals
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        return _BOUNDARY.sub(" ", text).split()
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [t.split() if t and self._in_chunks(t) else [] for t in texts]
         out = []
-        for t, cs in zip(texts, split, strict=True):
-            if cs:
-                ids = b"".join(map(self.chunks.__getitem__, cs))
+        for t in texts:
+            if not t:
+                ids = b""
+            elif self._in_chunks(t):
+                ids = b"".join(map(self.chunks.__getitem__, self._split(t)))
+                self.chunks.bound()
             else:
-                ids = self._whole([t])[0] if t else b""
+                ids = self._whole([t])[0]
             out.append(np.frombuffer(ids + self.end, "<u4"))
-        self.chunks.bound()
-        self.words.bound()
         return out
 
 
