@@ -34,32 +34,39 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no language that the model can tell, go."""
+    """Documents without letters, or of no language that the model can tell, go. Where no document
+    has a label there is nothing to tell languages by, and all documents with letters stay.
+
+    Null and empty texts have no letters; repeated rows are judged alike; extra columns stay."""
     model = queries.fit_language_id(docs.select("doc_id", "text", "lang"))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = model.predict(_apart(docs))
     kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return kept.select(*[F.col(c if c == "text" else f"_doc_{c}").alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies stays."""
+    """One document of each group of copies and near copies stays: the one of the least id. Documents
+    without words (null and empty texts) all stay; of repeated rows one stays."""
     return ngram_join.keep_one(docs).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; shorter benchmark spans are cut out of the others."""
-    scanned = decontaminate.scan(_apart(docs), queries.table(spark, sf_dir, "benchmark"))
-    return _back(decontaminate.remove_spans(scanned), docs.columns)
+    """Contaminated documents go; shorter benchmark spans are cut out of the others. Null and empty
+    texts, and all texts where the benchmark is empty, stay as they are."""
+    return _back(decontaminate.clean(_apart(docs), queries.table(spark, sf_dir, "benchmark")), docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the text; every document stays."""
+    """Secrets are masked in the text; every document stays, null texts as null."""
     tables = secrets.fit(spark, docs.select("text"))
     return _back(secrets.redact(secrets.scan(_apart(docs), tables)), docs.columns)
 
 
 def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the digests of the ids and of what they decode to."""
+    """Token ids of every document, with the digests of the ids and of what they decode to; null and
+    empty texts have no ids."""
     made = queries.byte_bpe_operator(spark).round_trip(docs.select("doc_id", "text"))
     return made.select("doc_id", *queries.bpe_digests(made), "ids")
 

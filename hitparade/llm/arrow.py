@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,16 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
             start = i
 
 
+def release_memory() -> None:
+    """Hands memory that a finished task left unused back to the system: workers are reused, and
+    what one stage once needed would stay with the next ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def append_columns(
     docs: DataFrame,
     text_col: str,
@@ -37,7 +48,7 @@ def append_columns(
 
     ``make_kernel()`` runs once a task and returns ``kernel(texts) -> [arrow array per field]``;
     a kernel call sees one slice of bounded size. An input column with the name
-    of a new field is replaced by it.
+    of a new field (the text column too) is replaced by it.
     """
     new = [f.name for f in fields]
     base = docs.drop(*[c for c in docs.columns if c in new and c != text_col])
@@ -47,9 +58,13 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make_kernel()
-        for batch in batches:
-            for part in slices(batch, text_col):
-                made = kernel(part.column(text_col).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *made], names=[*names, *new])
+        try:
+            for batch in batches:
+                for part in slices(batch, text_col):
+                    made = kernel(part.column(text_col).to_pylist())
+                    yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *made], names=[*names, *new])
+        finally:
+            del kernel
+            release_memory()
 
     return base.mapInArrow(run, out)

@@ -9,12 +9,16 @@ it occurs whole. Hit words make up spans; a document whose hit share reaches the
 coverage limit is contaminated, and spans can be cut out of the text.
 
 Items are dealt by hash into groups of about ``max_group_words`` words, the
-bound on what one automaton, its broadcast and the driver hold; each group is
-one pass over the documents, and several groups' spans meet by row.
+bound on what one automaton, its broadcast and the driver hold. There is one
+automaton at a time: each group is a pass over the documents, written with the
+spans found so far under the scratch folder before the next group's automaton is
+built, and the spans of a row are merged.
 
 Rows: null texts have no words (never contaminated, returned as they are). Items
 without words match nothing; items with a null id mark words but are not listed;
-equal texts under several ids list every id; repeated ids are listed once.
+equal texts under several ids list every id; repeated ids are listed once. Texts are
+whole whatever their length, repeated rows give repeated results, and input columns
+named like an output column (``n_words``, ``spans``, ``items``) are replaced by it.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import re
 from itertools import repeat
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitparade.llm.arrow import append_columns
 from hitparade.llm.hashing import TO_WORDS, words_of
+from hitparade.session import scratch_dir
 
 WINDOW = 13
 #: Item words that one automaton may hold (about 600 bytes each).
@@ -169,36 +175,40 @@ SCAN = [
 ]
 
 
-def _scan_columns(docs: DataFrame, automaton: Automaton, text_col: str, keep_text: bool) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast(automaton)
+def _scan_columns(docs: DataFrame, model: Broadcast, text_col: str, keep_text: bool, remove: bool = False) -> DataFrame:
+    """The scan's columns; with ``remove``, the text without the found spans."""
 
     def kernel():
         scan = model.value.scan
 
         def run(texts):
-            n, spans, items = [], [], []
+            n, spans, items, left = [], [], [], []
             for t in texts:
                 words = words_of(t)
                 s, f = scan(words)
                 n.append(len(words))
                 spans.append([x for span in s for x in span])
                 items.append(sorted(f))
-            return [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+                if remove:
+                    left.append(cut(t, spans[-1]))
+            made = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+            return [*made, pa.array(left, pa.string())] if remove else made
 
         return run
 
-    return append_columns(docs, text_col, kernel, SCAN, keep_text)
+    fields = [*SCAN, T.StructField(text_col, T.StringType())] if remove else SCAN
+    return append_columns(docs, text_col, kernel, fields, keep_text)
 
 
 def _automata(items: DataFrame, id_col: str, text_col: str, window: int, max_group_words: int):
-    """The automata of the items' groups, one after the other."""
+    """``(group, groups, automaton)`` of the items' groups, each built when it is asked for."""
     rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     n_words = F.size(F.split("text", SEPARATORS)).cast("long")
     total = rows.agg(F.sum(F.when(F.col("text").isNotNull(), n_words))).first()[0] or 0
     groups = max(1, -(-total // max_group_words))
     for g in range(groups):
         mine = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g).collect()
-        yield Automaton([(r.item, words_of(r.text)) for r in mine], window)
+        yield g, groups, Automaton([(r.item, words_of(r.text)) for r in mine], window)
 
 
 def scan(
@@ -213,18 +223,40 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (start, end, start, end ... of hit words, ends
     exclusive, in order, apart from each other) and ``items`` (ids hit, sorted as strings)."""
-    automata = list(_automata(items, item_id_col, item_text_col, window, max_group_words))
-    if len(automata) == 1:
-        return _scan_columns(docs, automata[0], text_col, keep_text)
-    # every further group scans the text again; what it finds is merged into the row's spans
-    out = docs
-    for g, automaton in enumerate(automata):
-        out = _scan_columns(out, automaton, text_col, keep_text=True)
+    return _scan(docs, items, text_col, item_id_col, item_text_col, window, max_group_words, keep_text, False)[0]
+
+
+def _scan(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str,
+    item_id_col: str,
+    item_text_col: str,
+    window: int,
+    max_group_words: int,
+    keep_text: bool,
+    remove: bool,
+) -> tuple[DataFrame, bool]:
+    """The scanned documents, and whether their spans are already removed (asked for by ``remove``
+    and done where one automaton holds all items)."""
+    spark = docs.sparkSession
+    out, folder = docs, None
+    for g, groups, automaton in _automata(items, item_id_col, item_text_col, window, max_group_words):
+        model = spark.sparkContext.broadcast(automaton)
+        del automaton
+        if groups == 1:
+            return _scan_columns(docs, model, text_col, keep_text, remove), remove
+        # the text is scanned again for every further group; what it finds is merged into the row's spans
+        out = _scan_columns(out, model, text_col, keep_text=True)
         if g:
             out = _merge_columns(out, text_col)
-        names = ("n_words", "spans", "items") if g == len(automata) - 1 else ("_n", "_spans", "_items")
-        out = out.withColumnsRenamed(dict(zip(("n_words", "spans", "items"), names, strict=True)))
-    return out if keep_text else out.drop(text_col)
+        if g < groups - 1:
+            out = out.withColumnsRenamed({"n_words": "_n", "spans": "_spans", "items": "_items"})
+        folder = folder or scratch_dir(spark, "decontaminate")
+        out.write.parquet(f"{folder}/group-{g}")
+        model.destroy()
+        out = spark.read.parquet(f"{folder}/group-{g}")
+    return (out if keep_text else out.drop(text_col)), False
 
 
 def _merge_columns(df: DataFrame, text_col: str) -> DataFrame:
@@ -275,15 +307,35 @@ def cut(text: str | None, spans: list[int]) -> str | None:
     return b"".join([*out, data[done:]]).decode()
 
 
+def _under_limit(scanned: DataFrame, coverage: float) -> DataFrame:
+    hit = hit_words()
+    return scanned.where((hit == 0) | (hit / F.col("n_words") < coverage))
+
+
 def remove_spans(scanned: DataFrame, text_col: str = "text", coverage: float = 0.05) -> DataFrame:
     """What is left of scanned documents: those under the coverage limit, their hit
     spans cut out of the text. The scan's columns are dropped."""
-    hit = hit_words()
-    kept = scanned.where((hit == 0) | (hit / F.col("n_words") < coverage))
 
     @F.pandas_udf("string")
     def without(text, spans):
         return text.combine(spans, lambda t, s: t if t is None or not len(s) else cut(t, list(s)))
 
     text = F.when(F.size("spans") > 0, without(text_col, "spans")).otherwise(F.col(text_col))
-    return kept.withColumn(text_col, text).drop(*(f.name for f in SCAN))
+    return _under_limit(scanned, coverage).withColumn(text_col, text).drop(*(f.name for f in SCAN))
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    max_group_words: int = MAX_GROUP_WORDS,
+    coverage: float = 0.05,
+) -> DataFrame:
+    """``remove_spans`` of ``scan``, in the scan's own pass where one automaton holds all items."""
+    scanned, removed = _scan(docs, items, text_col, item_id_col, item_text_col, window, max_group_words, True, True)
+    if not removed:
+        return remove_spans(scanned, text_col, coverage)
+    return _under_limit(scanned, coverage).drop(*(f.name for f in SCAN))

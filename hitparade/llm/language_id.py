@@ -102,10 +102,17 @@ class LanguageID:
         orders: tuple[int, ...] = (1, 2, 3),
         buckets: int = 1 << 15,
         alpha: float = 0.5,
-        max_languages: int = 256,
+        max_cells: int = 1 << 23,
     ) -> LanguageID:
-        """Learn from every row with a non-null label (bucket 0 of order 0 counts texts)."""
+        """Learn from every row with a non-null label. ``buckets`` is halved while all languages' rows
+        would be more than ``max_cells`` numbers, which bounds the matrix that is broadcast; beyond
+        ``max_cells / 256`` languages there is no such matrix, and that is an error."""
         rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        languages = rows.agg(F.count_distinct("lang")).first()[0]
+        while buckets > 256 and languages * buckets > max_cells:
+            buckets //= 2
+        if languages * buckets > max_cells:
+            raise ValueError(f"{languages} languages: raise max_cells if the matrix may be that large")
         out = T.StructType(
             [T.StructField("lang", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())]
         )
@@ -136,12 +143,9 @@ class LanguageID:
                 )
 
         made = rows.where(F.col("lang").isNotNull()).mapInArrow(count, out)
-        # languages x (buckets + 1) rows at most; one language more than allowed is enough to tell
-        total = made.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-        got = total.limit((max_languages + 1) * (buckets + 1)).toPandas()
+        # languages x (buckets + 1) rows at most
+        got = made.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
         langs = sorted(got["lang"].unique())
-        if len(langs) > max_languages:
-            raise ValueError(f"more than {max_languages} languages: raise max_languages if the matrix may be that large")
         n = np.zeros((len(langs), buckets + 1))
         n[[langs.index(x) for x in got["lang"]], got["bucket"]] = got["n"]
         texts, grams = n[:, buckets], n[:, :buckets] + alpha

@@ -305,7 +305,6 @@ def test_token_file_blocks(tmp_path):
 
 def test_token_files_match_library(spark):
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     d = table("documents").sort_values("doc_id")
     got = sorted(tuple(r) for r in queries.op9_token_files(spark, SF).collect())
     start, want = 0, []
@@ -319,7 +318,6 @@ def test_token_files_match_library(spark):
 def test_word_encoder_on_odd_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     enc = word_bpe.WordEncoder(open(path, encoding="utf-8").read(), 1)
     rng = np.random.default_rng(1)
     mixed = ["".join(rng.choice(list("ab \n\té中\x1f\x85\xa0'slt9. İǅﬁΣ<|>\u0301"), 200)) for _ in range(200)]

@@ -84,3 +84,21 @@ def test_language_stage_keeps_clean_documents(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     gone = [t for i, t in texts.items() if i not in kept]
     assert all(len(t) < 40 for t in gone), gone
+
+
+def test_language_stage_of_unlabelled_documents(spark):
+    rows = [(i, t, None, "s", 1) for i, t in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
+    assert got == {i for i, t in enumerate(ODD) if t and any(c.isalpha() for c in t)}
+
+
+def test_clean_in_one_pass_equals_span_removal(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    one = decontaminate.clean(docs, bench).collect()
+    assert "ArrowEvalPython" not in decontaminate.clean(docs, bench)._jdf.queryExecution().toString()
+    apart = decontaminate.remove_spans(decontaminate.scan(docs, bench)).select(*one[0].asDict()).collect()
+    grouped = decontaminate.clean(docs, bench, max_group_words=300).select(*one[0].asDict()).collect()
+    assert sorted(one, key=str) == sorted(apart, key=str) == sorted(grouped, key=str)
+    assert len(one) < docs.count()
