@@ -240,10 +240,9 @@ class _Groups:
             i = self.up[i]
         return i
 
-    def join(self, i: int, j: int) -> bool:
+    def join(self, i: int, j: int) -> None:
         i, j = self.root(i), self.root(j)
         self.up[max(i, j)] = min(i, j)
-        return i != j
 
 
 def _chains(t: pa.Table) -> pa.RecordBatch:
@@ -259,7 +258,6 @@ def _chains(t: pa.Table) -> pa.RecordBatch:
     sig = sig.values.to_numpy().reshape(-1, _WORDS)
     sets = _Groups(len(keys))
     here, shift = np.flatnonzero(~pivot), 1
-    a, b = [], []
     while True:
         here = here[here + shift < len(gid)]
         here = here[gid[here] == gid[here + shift]]
@@ -270,11 +268,11 @@ def _chains(t: pa.Table) -> pa.RecordBatch:
         for k in range(0, len(want), 1 << 14):
             some = want[k : k + (1 << 14)]
             for x in some[agreeing(sig[some], sig[some + shift]) >= AGREE].tolist():
-                if sets.join(x, x + shift):
-                    a.append(keys[x])
-                    b.append(keys[x + shift])
+                sets.join(x, x + shift)
         shift += 1
-    return _link_batch(a, b)
+    # to the least class of each chain, which is often the same one in other buckets
+    made = [(i, r) for i in range(len(keys)) if (r := sets.root(i)) != i]
+    return _link_batch([keys[i] for i, _ in made], [keys[r] for _, r in made])
 
 
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
