@@ -225,7 +225,12 @@ def quality_report_by_date(
 
 
 class QualityGateError(AssertionError):
-    """One or more blocking quality rules failed."""
+    """One or more blocking quality rules failed; ``dates`` are the snapshots they failed on,
+    where snapshots were judged alone."""
+
+    def __init__(self, message: str, dates: list[str] | None = None):
+        super().__init__(message)
+        self.dates = dates or []
 
 
 def _said(failed: list[dict]) -> str:
@@ -246,7 +251,7 @@ def judge_by_date(report: DataFrame) -> tuple[list[dict], list[str], QualityGate
     good = sorted({r["date"] for r in rows} - bad)
     if not rows:
         return rows, good, QualityGateError("quality gate failed — no snapshot to judge")
-    return rows, good, QualityGateError(f"quality gate failed — {_said(failed)}") if failed else None
+    return rows, good, QualityGateError(f"quality gate failed — {_said(failed)}", sorted(bad)) if failed else None
 
 
 def enforce(report: DataFrame) -> list[dict]:
