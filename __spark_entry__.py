@@ -186,12 +186,23 @@ def q_genre_yield(spark, sf_dir):
     return ingest.genre_yield(entries, ingest.first_seen(entries), walk)
 
 
+def _landed_pages(spark, sf_dir) -> DataFrame:
+    """A page or more of every walked chart."""
+    return landing.chart_pages(spark, sf_dir).unionByName(landing.empty_chart_pages(spark, sf_dir))
+
+
+def q_page_gaps(spark, sf_dir):
+    pages = ingest.parse_chart_pages(landing.broken_chart_pages(spark, sf_dir))
+    walk = ingest.genre_walk(landing.genre_records(spark, sf_dir), landing.chart_entries(spark, sf_dir))
+    return ingest.page_gaps(pages, walk)
+
+
 def _extraction(spark, sf_dir) -> extract_plan.Extraction:
     """The extraction job over landed bodies: genre list, chart pages, artist
     lookups."""
     return extract_plan.extract(
         landing.genre_list_body(spark, sf_dir),
-        landing.chart_pages(spark, sf_dir),
+        _landed_pages(spark, sf_dir),
         landing.artist_lookup_bodies(spark, sf_dir),
     )
 
@@ -210,7 +221,7 @@ def q_extract_rejects(spark, sf_dir):
     lookups = landing.artist_lookup_bodies(spark, sf_dir)
     return extract_plan.extract(
         landing.genre_list_body(spark, sf_dir),
-        landing.chart_pages(spark, sf_dir),
+        _landed_pages(spark, sf_dir),
         lookups.unionByName(landing.response_bodies(spark, sf_dir).select("body")),
     ).rejected_responses
 
@@ -398,6 +409,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "genre_exclude_all": q_genre_exclude_all,
         "envelope_reject": q_envelope_reject,
         "chart_pages_read": q_chart_pages_read,
+        "page_gaps": q_page_gaps,
         "track_flatten": q_track_flatten,
         "required_fields": q_required_fields,
         "artist_enrich": q_artist_enrich,
@@ -739,6 +751,29 @@ def _ingest_sql() -> dict[str, str]:
             WHERE body IS NULL OR NOT json_valid(body) OR list_contains(json_keys(body), 'error')""",
         "chart_pages_read": """
             SELECT date_snapshot, genre_id, page_no, COUNT(*) AS n_tracks FROM paged GROUP BY ALL""",
+        "page_gaps": f"""{_WALK}, short AS (
+                SELECT date_snapshot, genre_id, page_no, chart_len > (page_no + 1) * 10 AS has_next
+                FROM (SELECT date_snapshot, genre_id, unnest(range((n + 9) // 10)) AS page_no, n AS chart_len
+                      FROM (SELECT date_snapshot, genre_id, count(*) AS n FROM chart GROUP BY ALL))
+            ), landed AS (
+                SELECT * REPLACE (has_next AND NOT (genre_id % 2 = 0 AND page_no = 3) AS has_next) FROM short
+                WHERE (page_no * 7 + genre_id * 3 + CAST(substr(date_snapshot, 6, 2) AS INTEGER)) % 5 <> 0
+            ), charts AS (
+                SELECT w.date_snapshot, w.genre_id, min(page_no) FILTER (NOT has_next) AS ends, max(page_no) AS last
+                FROM walk w LEFT JOIN landed l USING (date_snapshot, genre_id) GROUP BY ALL
+            ), missing AS (
+                SELECT date_snapshot, genre_id, page_no,
+                       page_no - row_number() OVER (PARTITION BY date_snapshot, genre_id ORDER BY page_no) AS island
+                FROM (SELECT date_snapshot, genre_id, unnest(range(COALESCE(ends, last))) AS page_no FROM charts)
+                ANTI JOIN landed USING (date_snapshot, genre_id, page_no)
+            )
+            SELECT date_snapshot, genre_id, 'gap' AS kind, CAST(min(page_no) AS INTEGER) AS first_page,
+                   CAST(max(page_no) AS INTEGER) AS last_page
+            FROM missing GROUP BY date_snapshot, genre_id, island
+            UNION ALL
+            SELECT date_snapshot, genre_id, CASE WHEN last IS NULL THEN 'unlanded' ELSE 'open' END,
+                   CAST(COALESCE(last + 1, 0) AS INTEGER), NULL
+            FROM charts WHERE ends IS NULL""",
         "track_flatten": f"SELECT date_snapshot, {track_cols}, page_no, page_pos FROM paged",
         "required_fields": """
             SELECT COUNT(*) AS n_tracks,

@@ -8,7 +8,7 @@ responses at once, so the work is spread by Spark instead of a Python loop:
 * envelopes: a body that is a JSON object with an ``error`` key is a failure
   even if the transport said OK — quarantined, never parsed as data;
 * chart pages: every landed page is read, up to the first one whose ``next`` is
-  absent or empty;
+  absent or empty; pages that the walk needed and that never landed are reported;
 * first-seen dedup: per (snapshot, id) keep the occurrence that comes first in
   (genre order, page, position) — ``row_number() == 1``, which Spark limits
   map-side (``WindowGroupLimit``) so a hot id never reaches one task whole;
@@ -122,6 +122,65 @@ def stop_after_last_page(parsed: DataFrame) -> DataFrame:
     return parsed.join(chart_ends(parsed), same_chart()).where(read).drop("_date", "_genre", "_last_page")
 
 
+def page_gaps(parsed: DataFrame, walk: DataFrame) -> DataFrame:
+    """What the walk needed and no accepted page answers: gaps and islands of page numbers.
+
+    ``parsed`` are the accepted pages (:func:`parse_chart_pages`), ``walk`` the charts walked
+    (date_snapshot, genre_id). Returns ``date_snapshot, genre_id, kind, first_page, last_page``:
+
+    * ``unlanded`` — a chart without any page (``last_page`` null: nobody knows how many);
+    * ``gap`` — pages missing before a landed page that is not after the chart's end;
+    * ``open`` — the last landed page has a ``next`` that did not land (``last_page`` null).
+
+    Each page marks its own number and the next one; grouped by number, an island
+    starts where a page has no page before it and ends before a number that has no page.
+    That aggregate deals pages evenly however long a chart is; only the few
+    ends of islands meet by chart. Pages of equal number count once; a page number
+    or id that is null answers nothing.
+    """
+    key = ["date_snapshot", "genre_id"]
+    charts = walk.select(*key).where(F.col("date_snapshot").isNotNull() & F.col("genre_id").isNotNull()).distinct()
+    pages = parsed.where(F.col("page_no") >= 0).select(
+        *key, F.col("page_no").cast("int").alias("page_no"), (F.coalesce(F.col("doc.next"), F.lit("")) != "").alias("more")
+    )
+    pages = pages.join(charts, key, "left_semi")
+    marks = F.array(
+        F.struct(F.col("page_no").alias("no"), F.lit(True).alias("landed"), (~F.col("more")).alias("ends")),
+        F.struct((F.col("page_no") + 1).alias("no"), F.lit(False).alias("landed"), F.lit(False).alias("ends")),
+    )
+    at = pages.select(*key, F.explode(marks).alias("m")).groupBy(*key, F.col("m.no").alias("no")).agg(
+        F.max("m.landed").alias("landed"),
+        F.min("m.landed").alias("_first_only"),
+        F.max("m.ends").alias("ends"),
+    )
+    # landed without a page before it: an island starts; a number after a page without one: it ended
+    edges = at.withColumn("starts", F.col("landed") & F.col("_first_only")).where(
+        F.col("starts") | ~F.col("landed") | F.col("ends")
+    )
+    by_no, chart = Window.partitionBy(*key).orderBy("no"), Window.partitionBy(*key)
+    after = F.when(~F.col("landed"), F.col("no"))
+    edges = edges.withColumns(
+        {
+            "from": F.coalesce(F.last(after, ignorenulls=True).over(by_no.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "end": F.min(F.when(F.col("ends"), F.col("no"))).over(chart),
+            "tail": F.max(after).over(chart),
+        }
+    )
+    missing = F.col("starts") & (F.col("from") < F.col("no")) & (F.col("end").isNull() | (F.col("no") <= F.col("end")))
+    onward = ~F.col("landed") & F.col("end").isNull() & (F.col("no") == F.col("tail"))
+    found = edges.where(missing | onward).select(
+        *key,
+        F.when(missing, F.lit("gap")).otherwise(F.lit("open")).alias("kind"),
+        F.when(missing, F.col("from")).otherwise(F.col("no")).cast("int").alias("first_page"),
+        F.when(missing, F.col("no") - 1).cast("int").alias("last_page"),
+    )
+    unlanded = charts.join(pages.select(*key).distinct(), key, "left_anti")
+    never = unlanded.select(
+        *key, F.lit("unlanded").alias("kind"), F.lit(0).alias("first_page"), F.lit(None).cast("int").alias("last_page")
+    )
+    return found.unionByName(never)
+
+
 def flatten_chart_pages(parsed: DataFrame) -> DataFrame:
     """Parsed chart pages → one track record per chart entry.
 

@@ -8,9 +8,12 @@ plus what was set aside:
 1. genres: parse the list, drop the pseudo-genre 0, keep list order;
 2. bodies with an ``error`` key, and bodies that are not JSON, are quarantined,
    never read as data; ``strict`` aborts when a needed page or a genre list has
-   no accepted body (a later retry that landed will do), or no genre is listed;
+   no accepted body (a later retry that landed will do), when a snapshot with
+   pages has no genre list, or no genre is listed;
 3. charts: only pages of walked genres, every landed page up to the first one
-   whose ``next`` is absent or empty;
+   whose ``next`` is absent or empty; ``strict`` aborts when a walked chart has no
+   page or a page before another one is missing (a last page that announces
+   another is reported only: the walk may stop there);
 4. titles: first-seen per (snapshot, id) in walk order (genre ordinal, page,
    position in page) — a partial top-1, so a title charting everywhere is one
    row per task before the shuffle;
@@ -39,6 +42,7 @@ class Extraction:
     artistes: DataFrame  # artist columns + date
     rejected_tracks: DataFrame
     rejected_responses: DataFrame  # error envelopes (pages and lookups)
+    page_gaps: DataFrame  # pages the walk needed that never landed
 
 
 class ExtractionError(RuntimeError):
@@ -75,7 +79,8 @@ def extract(
     strict: bool = True,
 ) -> Extraction:
     """``genre_bodies``: (body) — or (date_snapshot, body) when the list is
-    fetched per snapshot; ``page_bodies``: (date_snapshot, genre_id, page_no,
+    fetched per snapshot (then a snapshot's list is needed, and a failed one
+    is made good by an accepted one of the same date); ``page_bodies``: (date_snapshot, genre_id, page_no,
     body); ``artist_bodies``: (body). The genre walk is a few dozen rows and
     is joined to the pages on the genre id (AQE broadcasts it from its
     measured size)."""
@@ -86,6 +91,12 @@ def extract(
     keys = ["date_snapshot", "genre_id"] if "date_snapshot" in genre_bodies.columns else ["genre_id"]
     walk = genres.select(*keys[:-1], F.col("id").alias("genre_id"), "genre_ordinal")
 
+    dated = "date_snapshot" in keys
+    snapshots = page_bodies.select("date_snapshot").distinct()
+    # an undated list is walked by every snapshot of which anything landed
+    charts = walk if dated else snapshots.join(walk)
+    gaps = ingest.page_gaps(ingest.parse_chart_pages(pages_ok), charts)
+
     walked_pages = pages_ok.join(walk.drop("genre_ordinal"), keys, "left_semi")
     tracks = ingest.read_chart_pages(walked_pages).join(walk, keys)
     # only a title's first occurrence is asked for its fields
@@ -105,13 +116,17 @@ def extract(
         found = count("track(s) missing required fields", rejected)
         found = found.unionByName(count("unresolved artist lookup(s)", enriched.where(~F.col("resolved"))))
         found = found.unionByName(count("needed page(s) failed", _needed_failures(pages_err, pages_ok, walk, keys)))
-        found = found.unionByName(count("genre list(s) failed", genres_err))
+        lost = gaps.where("kind <> 'open'")
+        found = found.unionByName(count("walked chart(s) without a page", lost.where("kind = 'unlanded'")))
+        found = found.unionByName(count("gap(s) of pages", lost.where("kind = 'gap'")))
+        if dated:
+            # a retried genre list that landed stands for the failed one
+            listed = genres_ok.select("date_snapshot").distinct()
+            unlisted = genres_err.select("date_snapshot").union(snapshots).distinct().join(listed, "date_snapshot", "left_anti")
+            found = found.unionByName(count("snapshot(s) without a genre list", unlisted))
         found = found.unionByName(count("genre(s) walked", walk))
         counts = {r["what"]: r["n"] for r in found.collect()}
         walked = counts.pop("genre(s) walked")
-        # a retried genre list that landed stands for the failed one
-        if walked and "date_snapshot" not in keys:
-            counts.pop("genre list(s) failed")
         if not walked or any(counts.values()):
             said = [f"{n} {what}" for what, n in counts.items() if n] + ["no genre to walk"] * (not walked)
             raise ExtractionError("strict extraction: " + ", ".join(said))
@@ -120,4 +135,4 @@ def extract(
     errors = pages_err.select(F.lit("chart").alias("endpoint"), "body", "error")
     for endpoint, rows in (("artist", artists_err), ("genre", genres_err)):
         errors = errors.unionByName(rows.select(F.lit(endpoint).alias("endpoint"), "body", "error"))
-    return Extraction(titres, artistes, rejected, errors)
+    return Extraction(titres, artistes, rejected, errors, gaps)

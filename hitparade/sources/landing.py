@@ -223,6 +223,24 @@ def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_bodies(paginate_chart(chart_tracks(spark, sf_dir)))
 
 
+def empty_chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed pages of walked charts that have no entry: one each, without tracks."""
+    entries = chart_entries(spark, sf_dir)
+    walk = ingest.genre_walk(genre_records(spark, sf_dir), entries)
+    none = walk.join(entries.select("date_snapshot", "genre_id").distinct(), ["date_snapshot", "genre_id"], "left_anti")
+    return none.select("date_snapshot", "genre_id", F.lit(0).alias("page_no"), F.lit('{"data": []}').alias("body"))
+
+
+def broken_chart_pages(spark: SparkSession, sf_dir: str, page_size: int = 10) -> DataFrame:
+    """Short landed pages of which one in five never landed, and some announce no next page."""
+    pages = page_bodies(paginate_chart(chart_tracks(spark, sf_dir), page_size), page_size)
+    month = F.substring("date_snapshot", 6, 2).cast("int")
+    lost = (F.col("page_no") * 7 + F.col("genre_id") * 3 + month) % 5 == 0
+    early = (F.col("genre_id") % 2 == 0) & (F.col("page_no") == 3)
+    body = F.when(early, F.lit('{"data": [], "next": ""}')).otherwise(F.col("body"))
+    return pages.where(~lost).withColumn("body", body)
+
+
 def valid_artist_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artist lookups that pass validity: a fan count, when given, is >= 0.
     A rejected lookup leaves its artist out of the dimension."""

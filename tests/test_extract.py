@@ -21,7 +21,9 @@ def _t(id_, artist=1, title="t"):
 
 
 def _frames(spark, pages, artists, genres=None):
-    genres = genres or [{"id": 0, "name": "All"}, {"id": 132, "name": "Pop"}, {"id": 116, "name": "Rap"}]
+    if not genres:  # the genres that the pages are of, Pop first
+        ids = sorted({132, *(g for _, g, _, _ in pages if g)}, reverse=True)
+        genres = [{"id": 0, "name": "All"}, *({"id": g, "name": f"g{g}"} for g in ids)]
     g = spark.createDataFrame([(json.dumps({"data": genres}),)], "body string")
     p = spark.createDataFrame(pages, "date_snapshot string, genre_id bigint, page_no int, body string")
     a = spark.createDataFrame([(json.dumps(x),) for x in artists], "body string")
@@ -90,3 +92,83 @@ def test_only_the_first_occurrence_needs_its_fields(spark):
     ex = extract.extract(*_frames(spark, pages, ONE))
     assert [(r.id, r.title) for r in ex.titres.collect()] == [(1, "t")]
     assert ex.rejected_tracks.count() == 0
+
+
+def _dated(spark, lists, pages):
+    g = spark.createDataFrame(lists, "date_snapshot string, body string")
+    _, p, a = _frames(spark, pages, ONE)
+    return g, p, a
+
+
+LIST = json.dumps({"data": [{"id": 0, "name": "All"}, {"id": 132, "name": "Pop"}]})
+NEXT_DAY = "2026-09-06"
+
+
+def test_strict_extraction_aborts_on_pages_that_never_landed(spark):
+    first, third = (D, 132, 0, _page([_t(1)], nxt="p1")), (D, 132, 2, _page([_t(3)]))
+    with pytest.raises(extract.ExtractionError, match=r"1 gap\(s\) of pages"):
+        extract.extract(*_frames(spark, [first, third], ONE))
+    with pytest.raises(extract.ExtractionError, match=r"1 gap\(s\) of pages"):
+        extract.extract(*_frames(spark, [third], ONE))
+    genres = [{"id": 132, "name": "Pop"}, {"id": 116, "name": "Rap"}]
+    with pytest.raises(extract.ExtractionError, match=r"1 walked chart\(s\) without a page"):
+        extract.extract(*_frames(spark, [(D, 132, 0, _page([_t(1)]))], ONE, genres))
+    lenient = extract.extract(*_frames(spark, [first, third], ONE, genres), strict=False)
+    assert sorted(map(tuple, lenient.page_gaps.collect()), key=str) == [
+        (D, 116, "unlanded", 0, None),
+        (D, 132, "gap", 1, 1),
+    ]
+    # the walk may stop before the chart does: reported, no reason to abort
+    ex = extract.extract(*_frames(spark, [first], ONE))
+    assert list(map(tuple, ex.page_gaps.collect())) == [(D, 132, "open", 1, None)]
+
+
+def test_dated_genre_lists(spark):
+    pages = [(D, 132, 0, _page([_t(1)])), (NEXT_DAY, 132, 0, _page([_t(2)]))]
+    with pytest.raises(extract.ExtractionError, match=r"1 snapshot\(s\) without a genre list"):
+        extract.extract(*_dated(spark, [(D, LIST)], pages))
+    with pytest.raises(extract.ExtractionError, match=r"1 snapshot\(s\) without a genre list"):
+        extract.extract(*_dated(spark, [(D, LIST), (NEXT_DAY, ERROR)], pages))
+    # a retry that landed stands for the failed list
+    ex = extract.extract(*_dated(spark, [(D, LIST), (NEXT_DAY, ERROR), (NEXT_DAY, LIST)], pages))
+    assert sorted(r.id for r in ex.titres.collect()) == [1, 2]
+    assert [r.endpoint for r in ex.rejected_responses.collect()] == ["genre"]
+    # a list whose snapshot has no page at all
+    with pytest.raises(extract.ExtractionError, match=r"1 walked chart\(s\) without a page"):
+        extract.extract(*_dated(spark, [(D, LIST), (NEXT_DAY, LIST)], pages[:1]))
+
+
+def test_page_gaps_match_counting(spark):
+    import random
+
+    from hitparade.operators import ingest
+
+    rnd = random.Random(3)
+    walk, pages, want = [], [], []
+    for g in range(1, 60):
+        n = rnd.randint(0, 12)
+        landed = sorted(p for p in range(n) if rnd.random() < 0.7)
+        ends = {p for p in landed if rnd.random() < 0.15}
+        walk.append((D, g))
+        for p in landed:
+            pages += [(D, g, p, _page([], nxt="" if p in ends else "n"))] * rnd.choice([1, 1, 2])
+        if not landed:
+            want.append((D, g, "unlanded", 0, None))
+            continue
+        stop = min(ends, default=max(landed))
+        p = 0
+        while p < stop:
+            q = p
+            while q not in landed and q < stop:
+                q += 1
+            if q > p:
+                want.append((D, g, "gap", p, q - 1))
+            p = q + 1
+        if not ends:
+            want.append((D, g, "open", max(landed) + 1, None))
+    pages += [(D, 99, 1, _page([])), (D, 1, None, _page([])), (None, 1, 0, _page([]))]
+    df = spark.createDataFrame(pages, "date_snapshot string, genre_id bigint, page_no int, body string")
+    made = ingest.page_gaps(
+        ingest.parse_chart_pages(df), spark.createDataFrame([*walk, (None, 5)], "date_snapshot string, genre_id bigint")
+    )
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(want, key=str)
