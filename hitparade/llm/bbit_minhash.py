@@ -352,6 +352,17 @@ def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return out.withColumn("label", F.coalesce("label", "key")).drop("_node")
 
 
+def _fewer(chains: DataFrame) -> DataFrame:
+    """Links with the same components as ``chains`` (``b`` the least class of a bucket's chain): each class to
+    the least of its ``b``, which the others of them, shared by many classes, are linked to. A
+    class has one ``b`` a bucket and pair of blocks, so none of the gathered sets is large."""
+    by_class = chains.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("bs"))
+    least = F.get("bs", 0)
+    link = lambda x: F.struct(x.alias("a"), least.alias("b"))
+    made = F.concat(F.array(link(F.col("a"))), F.transform(F.slice("bs", 2, F.size("bs")), link))
+    return by_class.select(F.explode(made).alias("x")).select("x.a", "x.b").distinct()
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     spark = docs.sparkSession
@@ -404,7 +415,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block:
     split = split.join(signature.hint("shuffle_hash"), F.col("key") == F.col("_key"))
     split = split.select(F.xxhash64("band", "i", "j").alias("gid"), "key", "label", "block", "i", "j", "pivot", "sig")
     dealt = split.repartition("gid").sortWithinPartitions("gid", "key")
-    chained = components(written(dealt.mapInArrow(_chain_batches, _LINKS), "chains"), f"{folder}/chain-groups")
+    chains = written(_fewer(dealt.mapInArrow(_chain_batches, _LINKS)), "chains")
+    chained = components(chains, f"{folder}/chain-groups")
 
     members = _labelled(chained.select(F.col("node").alias("key"), F.col("label").alias("chain")), first)
     members = written(members.join(signature.hint("shuffle_hash"), F.col("key") == F.col("_key")).drop("_key"), "members")
