@@ -21,6 +21,7 @@ from hitparade import schemas
 from hitparade.operators import quality, staging
 from hitparade.operators import star as star_ops
 from hitparade.sinks import lake as lake_sink
+from hitparade.sinks import versions
 from hitparade.sources import lake as lake_src
 from hitparade.sources import raw as raw_src
 
@@ -83,6 +84,36 @@ def publish_gated(
     return rows, checks
 
 
+def publish_audited(
+    star: star_ops.Star,
+    curated_root: str,
+    seuil: float = quality.COMPLETENESS_THRESHOLD,
+    version: str | None = None,
+) -> tuple[dict[str, int], list[dict]]:
+    """Write, audit, publish: the star becomes a version of its own (:mod:`hitparade.sinks.versions`),
+    the *written* tables are judged snapshot by snapshot, and those that pass are published
+    together in one step; then raise naming the others, if any, which keep what they had.
+
+    The star is computed once, for the write; the rules read the files. Returns
+    (rows per table of the snapshots published, report rows).
+    """
+    spark = star.fait_popularite.sparkSession
+    version = version or versions.new_version()
+    written = versions.write_version(star, curated_root, version)
+    audited = versions.read_version(spark, curated_root, version)
+    report = quality.quality_report_by_date(audited.fait_popularite, audited.dim_titre, audited.dim_artiste, seuil=seuil)
+    checks, good, error = quality.judge_by_date(report)
+    rows: dict[str, int] = {}
+    if good:
+        dates = versions.commit(spark, curated_root, version, written, good)
+        mine = versions.publications(spark, curated_root).where(F.col("version") == version)
+        rows = mine.agg(*[F.sum(t).alias(t) for t in schemas.CURATED]).first().asDict()
+        log.info("version %s published in %s for %d snapshot(s): %s", version, curated_root, len(dates), rows)
+    if error:
+        raise error
+    return rows, checks
+
+
 def run_curated(
     spark: SparkSession,
     staging_root: str,
@@ -90,21 +121,26 @@ def run_curated(
     snapshot_date: str | None = None,
     backfill: bool = False,
     seuil: float = quality.COMPLETENESS_THRESHOLD,
+    versioned: bool = False,
 ) -> RunResult:
     """Staging → curated star for one snapshot (or every staged one when
     ``backfill``).
 
     Order: build (lazy) → single-snapshot gate → quality gate → write the four
     tables; nothing is written when a gate fails. A backfill judges each
-    snapshot alone (:func:`publish_gated`).
+    snapshot alone (:func:`publish_gated`). ``versioned`` keeps the star in versions whose
+    four tables are published together (:func:`publish_audited`).
     """
     titres = lake_src.read_table(spark, staging_root, "titres", snapshot_date, schemas.TITRES).drop("date")
     artistes = lake_src.read_table(spark, staging_root, "artistes", snapshot_date, schemas.ARTISTES)
     star = star_ops.build_star(titres, artistes)
     if backfill:
-        rows, checks = publish_gated(star, curated_root, seuil)
+        rows, checks = (publish_audited if versioned else publish_gated)(star, curated_root, seuil)
         return RunResult(None, rows, checks)
     dates = [star_ops.assert_single_snapshot(star.fait_popularite)]
+    if versioned:
+        rows, checks = publish_audited(star, curated_root, seuil)
+        return RunResult(dates, rows, checks)
     report = quality.quality_report(
         star.fait_popularite, star.dim_titre, star.dim_artiste, date_attendue=dates[0], seuil=seuil
     )

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from hitparade import schemas
 from hitparade.constants import RAW_RETENTION_DAYS
+from hitparade.sinks import files
 
 
-def _quote(path: str) -> str:
-    return path.replace("'", "\\'")
+def _quote(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -66,12 +67,35 @@ def recover_partitions(spark: SparkSession, tables: Iterable[str]) -> None:
 def add_partitions(spark: SparkSession, tables: Iterable[str], dates: Iterable[str]) -> None:
     """Register the ``date=`` folders of the dates just written, without listing
     the others (:func:`recover_partitions` lists them all)."""
-    specs = " ".join(f"PARTITION (`date` = '{d}')" for d in dates)
+    specs = " ".join(_dated(d) for d in dates)
     if specs:
         for t in tables:
             spark.sql(f"ALTER TABLE {t} ADD IF NOT EXISTS {specs}")
 
 
+def _dated(d: str) -> str:
+    return f"PARTITION (`date` = '{_quote(d)}')"
+
+
+def place_partitions(spark: SparkSession, table: str, places: dict[str, str]) -> None:
+    """Register dates with the folders that hold them."""
+    specs = " ".join(f"{_dated(d)} LOCATION '{_quote(p)}'" for d, p in sorted(places.items()))
+    if specs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
+def move_partition(spark: SparkSession, table: str, date: str, place: str) -> None:
+    """Let a registered date read from another folder."""
+    spark.sql(f"ALTER TABLE {table} {_dated(date)} SET LOCATION '{_quote(place)}'")
+
+
+def forget_partitions(spark: SparkSession, table: str, dates: Iterable[str]) -> None:
+    """Drop dates from the catalog of an external table; their files stay."""
+    specs = ", ".join(_dated(d) for d in dates)
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
 def partitions(spark: SparkSession, table: str) -> DataFrame:
     """Distinct ``date`` values registered for a table (catalog metadata only;
     a table also partitioned below ``date`` lists each date once)."""
@@ -103,25 +127,19 @@ def drop_partitions(spark: SparkSession, table: str, dates: Iterable[str]) -> in
     """
     if table.rsplit(".", 1)[-1] in schemas.CURATED:
         raise ValueError(f"{table} is a curated table: it never expires")
-    jvm = spark._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
 
     def listed(d: str) -> list[str]:
-        return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table} PARTITION (`date` = '{d}')").collect()]
+        return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table} {_dated(d)}").collect()]
 
     n = 0
     for d in dates:
         for spec in listed(d):
             pairs = (part.split("=", 1) for part in spec.split("/"))
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({', '.join(f"`{k}` = '{v}'" for k, v in pairs)})")
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({', '.join(f"`{k}` = '{_quote(v)}'" for k, v in pairs)})")
         if left := listed(d):
             raise RuntimeError(f"{table}: partitions still listed after the drop: {left}")
-        p = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}/date={d}")
-        fs = p.getFileSystem(hconf)
-        if fs.exists(p):
-            fs.delete(p, True)
-            n += 1
+        n += files.delete_folder(spark, f"{location.rstrip('/')}/date={d}")
     return n
 
 
