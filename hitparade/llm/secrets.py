@@ -13,8 +13,12 @@ of ``GENERATED`` counters (the other); ordinary are the corpus's runs of
 Transitions of all of them are counted by Spark, at most 128 x 128 counts a class
 reach the driver. Everything is SQL functions.
 
-Positions are code points, ends exclusive. Rows: a null text has no spans. A
-corpus without ordinary runs (an empty table) gets a uniform model of them.
+Positions are code points, ends exclusive. Rows: a null text has no spans; texts are
+scanned whole whatever their length, and the work on a text's matches grows little faster than
+their number. Repeated rows are scanned each for itself. Of kinds that start together, the
+order is that of KINDS. Columns named ``base`` and ``secrets`` are replaced by the
+scan's own; other columns pass, whatever their names but ``_text``. A corpus without
+ordinary runs (an empty table) gets a uniform model of them.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ MIN_TOTAL = 4_000
 MIN_MEAN = 150
 #: Weight, in transitions, of a character's own share in its conditional probabilities.
 BACK_OFF = 200.0
+#: Items that are folded together before what they give is added to the rest.
+BLOCK = 256
 #: What is put in place of a span.
 MASK = "[SECRET]"
 
@@ -50,27 +56,52 @@ def _none() -> Column:
     return F.array().cast(_SPAN)
 
 
+def _in_blocks(items: Column) -> Column:
+    """An array cut into arrays of ``BLOCK`` items."""
+    last = F.ceil(F.size(items) / BLOCK).cast("int") - 1
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, BLOCK)))
+
+
+def _folded(items: Column, carry: Column, step) -> Column:
+    """Spans that ``step(carry, item)`` tells: (next carry, whether to add one, the span), item by item.
+
+    Spans are gathered a block at a time, so that adding one copies a block's at most.
+    """
+
+    def add(a: Column, x: Column) -> Column:
+        after, wanted, span = step(a.carry, x)
+        out = F.when(wanted, F.concat(a.out, F.array(span))).otherwise(a.out)
+        return F.struct(after.alias("carry"), out.alias("out"))
+
+    def add_block(a: Column, block: Column) -> Column:
+        got = F.aggregate(block, F.struct(a.carry.alias("carry"), _none().alias("out")), add)
+        return bind(got, lambda g: F.struct(g.carry.alias("carry"), F.concat(a.out, g.out).alias("out")))
+
+    begin = F.struct(carry.alias("carry"), _none().alias("out"))
+    whole = lambda x: F.aggregate(_in_blocks(x), begin, add_block, lambda a: a.out)
+    return bind(items, lambda x: F.when(F.size(x) > 0, whole(x)).otherwise(_none()))
+
+
+def _span(start: Column, rank: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), rank.alias("rank"), end.alias("end"))
+
+
 def _spans(text: Column, pattern: str, rank: int, kept, group: int = 0) -> Column:
     """Spans of the pattern's matches whose ``group`` passes ``kept(matched group)``."""
     lit = F.lit(pattern)
-    between = F.transform(F.split(text, pattern, -1), F.char_length)
-    found = F.regexp_extract_all(text, lit, F.lit(0))
-    judged = F.regexp_extract_all(text, lit, F.lit(group))
+    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
+    lens = F.transform(F.regexp_extract_all(text, lit, F.lit(0)), F.char_length)
+    verdicts = F.transform(F.regexp_extract_all(text, lit, F.lit(group)), kept)
+    matches = F.zip_with(lens, verdicts, lambda n, k: F.struct(n.alias("n"), k.alias("kept")))
+    # the last gap, after the last match, meets no match
+    rows = F.zip_with(matches, gaps, lambda m, g: F.struct(g.alias("gap"), m["n"].alias("n"), m["kept"].alias("kept")))
 
-    def spans(p: Column) -> Column:
-        # p: matches with their verdicts, lengths and the gaps before them
-        at = F.filter(F.sequence(F.lit(0), F.size(p.judged) - 1), lambda i: kept(F.get(p.judged, i)))
+    def step(at: Column, m: Column):
+        start = at + m.gap
+        end = start + F.coalesce(m["n"], F.lit(0))
+        return end, F.coalesce(m.kept, F.lit(False)), _span(start, F.lit(rank), end)
 
-        def span(i: Column) -> Column:
-            start = F.aggregate(
-                F.slice(p.gaps, 1, i + 1), F.lit(0), lambda a, x: a + x
-            ) + F.aggregate(F.slice(p.lens, 1, i), F.lit(0), lambda a, x: a + x)
-            return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.get(p.lens, i)).alias("end"))
-
-        return F.transform(at, span)
-
-    parts = F.struct(judged.alias("judged"), F.transform(found, F.char_length).alias("lens"), between.alias("gaps"))
-    return bind(parts, lambda p: F.when(F.size(p.judged) > 0, spans(p)).otherwise(_none()))
+    return _folded(rows, F.lit(0), step)
 
 
 def base_spans(text_col: str) -> Column:
@@ -175,7 +206,24 @@ def markov_spans(text_col: str, base_col: str, tables: list[list[int]], min_tota
     pattern = f"{RUN}{{{MIN_LENGTH},}}"
     some = F.exists(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), random)
     spans = F.when(some, _spans(text, pattern, 3, random)).otherwise(_none())
-    return F.filter(spans, lambda s: ~F.exists(base_col, lambda b: (b.start < s.end) & (s.start < b.end)))
+    return bind(spans, lambda x: F.when((F.size(x) > 0) & (F.size(base_col) > 0), _apart(x, F.col(base_col))).otherwise(x))
+
+
+def _apart(spans: Column, base: Column) -> Column:
+    """Method spans that overlap no base span: once forwards against the base spans that
+    start before, once backwards against those that start after."""
+    method = len(KINDS) - 1
+
+    def after_base(reach: Column, s: Column):
+        own = s["rank"] < method
+        return F.when(own, F.greatest(reach, s.end)).otherwise(reach), own | (reach <= s.start), s
+
+    def before_base(begin: Column, s: Column):
+        own = s["rank"] < method
+        return F.when(own, s.start).otherwise(begin), ~own & (s.end <= begin), s
+
+    ahead = _folded(F.array_sort(F.concat(base, spans)), F.lit(0), after_base)
+    return F.reverse(_folded(F.reverse(ahead), F.lit(2**31 - 1), before_base))
 
 
 def scan(
@@ -199,18 +247,20 @@ def described(spans: str) -> Column:
 def redact(scanned: DataFrame, text_col: str = "text") -> DataFrame:
     """Scanned documents with every secret (and what overlaps it) replaced by MASK."""
     text = F.col(text_col)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = F.concat(a.out, F.substring(text, a.at + 1, s.start - a.at), F.lit(MASK))
-        # an overlapping span only moves the end on
-        return F.struct(
-            F.greatest(a.at, s.end).alias("at"),
-            F.when((s.start < a.at), a.out).otherwise(fresh).alias("out"),
-        )
-
-    def whole(a: Column) -> Column:
-        return F.concat(a.out, F.substring(text, a.at + 1, F.char_length(text)))
 
-    masked = bind(F.aggregate("secrets", begin, step), whole)
+    def before(at: Column, s: Column):
+        # what stays before a span; an overlapping span only moves the end on
+        return F.greatest(at, s.end), s.start >= at, _span(at, s["rank"], s.start)
+
+    def block(gaps: Column) -> Column:
+        first, last = F.get(gaps, 0), F.element_at(gaps, -1)
+        # positions are found by counting from the start: cut out the block's part first
+        part = F.struct(F.substring(text, first.start + 1, last.end - first.start).alias("t"), first.start.alias("at"))
+        cut = lambda p: F.transform(gaps, lambda g: F.substring(p.t, g.start - p.at + 1, g.end - g.start))
+        return bind(part, lambda p: F.array_join(cut(p), MASK))
+
+    end = F.array_max(F.transform("secrets", lambda s: s.end))
+    rest = F.substring(text, end + 1, F.char_length(text))
+    gaps = _folded(F.col("secrets"), F.lit(0), before)
+    masked = bind(gaps, lambda g: F.array_join(F.concat(F.transform(_in_blocks(g), block), F.array(rest)), MASK))
     return scanned.withColumn(text_col, F.when(F.size("secrets") > 0, masked).otherwise(text)).drop("base", "secrets")
