@@ -20,6 +20,8 @@ from hitparade.operators import field_types, ingest, quality, staging
 from hitparade.operators import star as star_ops
 from hitparade.plans import daily, reports
 from hitparade.plans import extract as extract_plan
+from hitparade.plans import first_seen as first_seen_plan
+from hitparade.plans import history as history_plan
 from hitparade.session import scratch_dir
 from hitparade.sinks import catalog
 from hitparade.sinks import lake as lake_sink
@@ -351,6 +353,47 @@ def q_published_versions(spark, sf_dir):
     return read.join(versions.live(spark, root).select("date", "version"), "date")
 
 
+def _kept_history(spark, star: star_ops.Star) -> history_plan.History:
+    """Kept results of a published star. One snapshot is published after the rest, when
+    the others' results are kept already: only its own are built then."""
+    curated, root = scratch_dir(spark, "versions"), scratch_dir(spark, "history")
+    lake_sink.publish_star(star, f"{curated}-staged")
+    staged = lake_src.read_star(spark, f"{curated}-staged")
+    for late in (False, True):
+        mine = (F.col("date") == REPORT_SNAPSHOT) == F.lit(late)
+        part = star_ops.Star(*(t.where(mine) for t in staged.tables().values()))
+        version = versions.new_version()
+        versions.commit(spark, curated, version, versions.write_version(part, curated, version))
+        history_plan.refresh(spark, curated, root)
+    return history_plan.read(spark, curated, root)
+
+
+def _history(report: Callable[[history_plan.History], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: report(_kept_history(spark, _star(spark, sf_dir)))
+
+
+def q_history_quality(spark, sf_dir):
+    # the faults of dq_unicite and dq_coherence together, published without an audit
+    kept = landing.kept_entries(spark, sf_dir)
+    star = dataclasses.replace(
+        _star(spark, sf_dir),
+        fait_popularite=star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir)),
+        dim_artiste=_valid_artists(spark, sf_dir, kept),
+    )
+    return history_plan.quality_report(_kept_history(spark, star))
+
+
+def q_first_seen_merged(spark, sf_dir):
+    # explicit titles land first, the others after them, among them entries that
+    # come before a kept one in the walk; some entries land twice
+    entries = landing.chart_entries(spark, sf_dir)
+    root = scratch_dir(spark, "first-seen")
+    first_seen_plan.merge(entries.where("explicit_lyrics"), root)
+    first_seen_plan.merge(entries.where("NOT explicit_lyrics"), root)
+    first_seen_plan.merge(entries.where(F.col("date_snapshot") == REPORT_SNAPSHOT), root)
+    return first_seen_plan.read(spark, root, entries.schema)
+
+
 def _registered(spark, sf_dir, before_write: bool = False) -> str:
     root = scratch_dir(spark, "curated")
     db = "charts_" + root.rsplit("-", 1)[-1]
@@ -439,6 +482,11 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_read": q_snapshot_read,
         "freshness_partition": q_freshness_partition,
         "published_versions": q_published_versions,
+        "history_genre_popularity": _history(history_plan.genre_popularity),
+        "history_bpm_by_genre": _history(history_plan.bpm_by_genre),
+        "history_catalog_overview": _history(history_plan.catalog_overview),
+        "history_emerging_artists": _history(history_plan.emerging_artists),
+        "history_quality": q_history_quality,
         "stream_snapshot_ingest": q_stream_snapshot_ingest,
         "single_snapshot_gate": q_single_snapshot_gate,
         "dq_unicite": q_dq_unicite,
@@ -463,6 +511,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_artists": q_extract_artists,
         "extract_rejects": q_extract_rejects,
         "first_seen_dedup": q_first_seen_dedup,
+        "first_seen_merged": q_first_seen_merged,
         "dim_titre": q_dim_titre,
         "dim_artiste": q_dim_artiste,
         "fait_popularite": q_fait_popularite,
@@ -611,6 +660,7 @@ def oracle_sql() -> dict[str, str]:
 def library_oracle_sql() -> dict[str, str]:
     body = {
         "first_seen_dedup": "SELECT * FROM titres",
+        "first_seen_merged": "SELECT * FROM kept",
         "dim_titre": "SELECT * FROM dim_titre",
         "dim_artiste": "SELECT * FROM dim_artiste",
         "fait_popularite": "SELECT * FROM fait_popularite",
@@ -734,6 +784,7 @@ def _quality_sql() -> dict[str, str]:
         "dq_coherence": _VALID_DIM + _coherence("valid_dim"),
         "dq_fraicheur": _fraicheur(REPORT_SNAPSHOT) + " UNION ALL " + _fraicheur(ABSENT_SNAPSHOT),
         "dq_report_by_date": _by_date_sql(150.0),
+        "history_quality": _by_date_sql(300.0),
         "dq_report": " UNION ALL ".join(
             [
                 _unicite("fait_popularite"),
@@ -878,7 +929,8 @@ def _ingest_sql() -> dict[str, str]:
 
 
 def _lake_sql() -> dict[str, str]:
-    r1_history = _report_sql(None)["rpt_genre_popularity"]
+    history = _report_sql(None)
+    r1_history = history["rpt_genre_popularity"]
     d, absent = REPORT_SNAPSHOT, ABSENT_SNAPSHOT
     fresh = lambda x: f"""SELECT 'fraicheur_partition' AS rule, '{x}' AS "date",
             CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS violations,
@@ -927,4 +979,8 @@ def _lake_sql() -> dict[str, str]:
             JOIN (SELECT date_snapshot AS "date", COUNT(*) AS n, COUNT(DISTINCT id) AS ids
                   FROM chart GROUP BY ALL) c USING ("date")""",
         "stream_snapshot_ingest": "SELECT * FROM fait_popularite",
+        "history_genre_popularity": r1_history,
+        "history_bpm_by_genre": history["rpt_bpm_by_genre"],
+        "history_catalog_overview": history["rpt_catalog_overview"],
+        "history_emerging_artists": history["rpt_emerging_artists"],
     }

@@ -171,19 +171,14 @@ def quality_report(
     )
 
 
-_BY_DATE = ("_n", "_ok", "_s", "_f", "_d", "_b", "_u", "_o")
+#: What the rules measure of a snapshot; sums of each merge.
+MEASURES = ("n", "present", "negative", "fresh", "short", "tempo", "repeated", "orphans")
 
 
-def quality_report_by_date(
-    fait: DataFrame,
-    dim_titre: DataFrame,
-    dim_artiste: DataFrame,
-    seuil: float = COMPLETENESS_THRESHOLD,
-    bpm_range: tuple[float, float] = BPM_RANGE,
+def measures_by_date(
+    fait: DataFrame, dim_titre: DataFrame, dim_artiste: DataFrame, bpm_range: tuple[float, float] = BPM_RANGE
 ) -> DataFrame:
-    """The rules of :func:`quality_report` for each snapshot alone: ``date`` and
-    the report columns. A snapshot is a ``date`` of any of the three tables; its
-    expected date is itself, and one without fact rows fails as an empty fact.
+    """``date`` and :data:`MEASURES` of each snapshot: a ``date`` of any of the three tables.
 
     Every measure is a partial aggregate by date; the few rows they leave are
     added up in one more.
@@ -191,39 +186,60 @@ def quality_report_by_date(
 
     def measured(rows: DataFrame, **measures: Column) -> DataFrame:
         by = rows.groupBy("date").agg(*[c.alias(m) for m, c in measures.items()]) if measures else rows
-        return by.select("date", *[(F.col(m) if m in measures else F.lit(0)).cast("long").alias(m) for m in _BY_DATE])
+        return by.select("date", *[(F.col(m) if m in measures else F.lit(0)).cast("long").alias(m) for m in MEASURES])
 
     keyed = fait.groupBy("date", *UNIQUENESS_KEY).agg(F.count(F.lit(1)).alias("_c"))
     parts = [
         measured(
             fait,
-            _n=F.count(F.lit(1)),
-            _ok=F.count_if(present("score_popularite")),
-            _s=F.count_if(out_of_range("score_popularite", 0, None)),
-            _f=F.count_if(F.col("date_snapshot") == F.col("date")),
+            n=F.count(F.lit(1)),
+            present=F.count_if(present("score_popularite")),
+            negative=F.count_if(out_of_range("score_popularite", 0, None)),
+            fresh=F.count_if(F.col("date_snapshot") == F.col("date")),
         ),
         measured(
-            dim_titre, _d=F.count_if(F.col("duree") <= 0), _b=F.count_if(out_of_range("bpm", *bpm_range))
+            dim_titre, short=F.count_if(F.col("duree") <= 0), tempo=F.count_if(out_of_range("bpm", *bpm_range))
         ),
-        measured(keyed, _u=F.sum(F.col("_c") - 1)),
-        measured(orphan_artist_rows(fait, dim_artiste), _o=F.sum("n_rows")),
+        measured(keyed, repeated=F.sum(F.col("_c") - 1)),
+        measured(orphan_artist_rows(fait, dim_artiste), orphans=F.sum("n_rows")),
         measured(dim_artiste.select("date").distinct()),
     ]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
+    return rows.groupBy("date").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def report_of_measures(
+    days: DataFrame, seuil: float = COMPLETENESS_THRESHOLD, bpm_range: tuple[float, float] = BPM_RANGE
+) -> DataFrame:
+    """The report rows of each snapshot from its measures; ``bpm_range`` is the one they
+    were measured with."""
     rules = [
-        _zero_row("unicite", F.col("_u")),
-        _completude_row("completude", F.col("_n"), F.col("_ok"), seuil),
-        _zero_row("validite_score", F.col("_s")),
-        _fraicheur_row(F.col("_f")),
-        *_titre_rows(bpm_range),
-        _zero_row("coherence", F.col("_o")),
+        _zero_row("unicite", F.col("repeated")),
+        _completude_row("completude", F.col("n"), F.col("present"), seuil),
+        _zero_row("validite_score", F.col("negative")),
+        _fraicheur_row(F.col("fresh")),
+        _zero_row("validite_duree", F.col("short")),
+        _zero_row("validite_bpm", F.col("tempo"), bpm_range[1]),
+        _zero_row("coherence", F.col("orphans")),
     ]
-    days = rows.groupBy("date").agg(*[F.sum(m).alias(m) for m in _BY_DATE])
     return days.select("date", F.explode(F.array(*[F.struct(*r) for r in rules])).alias("_r")).select("date", "_r.*")
 
 
+def quality_report_by_date(
+    fait: DataFrame,
+    dim_titre: DataFrame,
+    dim_artiste: DataFrame,
+    seuil: float = COMPLETENESS_THRESHOLD,
+    bpm_range: tuple[float, float] = BPM_RANGE,
+) -> DataFrame:
+    """The rules of :func:`quality_report` for each snapshot alone: ``date`` and
+    the report columns. A snapshot's expected date is itself, and one without
+    fact rows fails as an empty fact."""
+    return report_of_measures(measures_by_date(fait, dim_titre, dim_artiste, bpm_range), seuil, bpm_range)
+
+
 class QualityGateError(AssertionError):
     """One or more blocking quality rules failed; ``dates`` are the snapshots they failed on,
     where snapshots were judged alone."""

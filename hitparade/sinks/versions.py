@@ -126,11 +126,8 @@ def _folder(root: str, table: str, row) -> str:
     return f"{_table_path(root, table)}/version={row.version}/date={row.date}"
 
 
-def read_live(spark: SparkSession, root: str, snapshot_date: str | None = None) -> Star:
-    """The published star, or one snapshot of it. The versions are fixed when this is
-    called: publications after that are not seen, so the four tables agree."""
-    rows = live(spark, root)
-    rows = (rows if snapshot_date is None else rows.where(F.col("date") == snapshot_date)).collect()
+def read_rows(spark: SparkSession, root: str, rows: list) -> Star:
+    """The star of some (collected) rows of the log: of each, its version's folders of its date."""
 
     def table(t: str) -> DataFrame:
         sch = schemas.with_partition(schemas.CURATED[t])
@@ -144,6 +141,14 @@ def read_live(spark: SparkSession, root: str, snapshot_date: str | None = None)
     return Star(**{t: table(t) for t in schemas.CURATED})
 
 
+def read_live(spark: SparkSession, root: str, snapshot_date: str | None = None) -> Star:
+    """The published star, or one snapshot of it. The versions are fixed when this is
+    called: publications after that are not seen, so the four tables agree."""
+    rows = live(spark, root)
+    rows = (rows if snapshot_date is None else rows.where(F.col("date") == snapshot_date)).collect()
+    return read_rows(spark, root, rows)
+
+
 def sync_catalog(spark: SparkSession, database: str, root: str, dates: Iterable[str] | None = None) -> list[str]:
     """Point the database's curated tables (made where missing) at the live versions of
     ``dates`` (null: all), partition by partition; the names of the tables.
