@@ -577,64 +577,6 @@ def test_join_splits_large_groups(spark):
     assert got == brute_join(docs)
 
 
-def boilerplate_texts(n, pairs, seed=5):
-    """Texts of 45 shingles, 33 of them in all texts (0.58 of any two); ``pairs`` have a second
-    text with one word changed: 40 common shingles of 50, the threshold itself."""
-    rnd = np.random.default_rng(seed)
-    shared = [f"b{i}" for i in range(37)]
-    docs = []
-    for i in range(n):
-        own = [f"w{rnd.integers(10**6)}" for _ in range(12)]
-        docs.append((len(docs), " ".join(shared + own)))
-        if i < pairs:
-            own[6] = "other"
-            docs.append((len(docs), " ".join(shared + own)))
-    return docs
-
-
-def test_join_of_boilerplate_at_the_threshold(spark, tmp_path):
-    docs = boilerplate_texts(500, 60)
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    expected = brute_join(docs)
-    assert sum(r[3] for r in expected) == 120
-    got = sorted((tuple(r)[:4] for r in ngram_join.join(df, bucket=8, block=64).collect()), key=str)
-    assert got == expected
-
-
-def test_forests_dealt_anew_bring_pairs_to_the_recall(spark, tmp_path):
-    docs = boilerplate_texts(500, 250, seed=6)
-    values, _ = ngram_join.signatures([ngram_join.normal(t) for _, t in docs])
-    paths = (values >> np.uint32(8)).astype("<u2")
-    classes = spark.createDataFrame(
-        [(str(i).encode(), p.tobytes()) for (i, _), p in zip(docs, paths, strict=True)], "key binary, paths binary"
-    )
-
-    def met(folder):
-        buckets = {}
-        for r in ngram_join._buckets(classes, str(tmp_path / folder), 16).collect():
-            buckets.setdefault(r.gid, set()).add(int(bytes(r.key)))
-        assert max(map(len, buckets.values())) <= 17
-        return sum(any({2 * i, 2 * i + 1} <= b for b in buckets.values()) for i in range(250)) / 250
-
-    after = met("all")
-    short = spark.read.parquet(str(tmp_path / "all" / "short-0"))
-    assert not short.isEmpty()
-    assert short.where(f"miss <= {np.log(1 - ngram_join.RECALL)}").isEmpty()
-    assert after >= 0.99
-
-
-def test_dealt_paths_hold_the_values_of_other_trees(spark):
-    values = np.arange(128, dtype="<u2")
-    row = spark.createDataFrame([(values.tobytes(),)], "paths binary").selectExpr("paths", "explode(sequence(0, 15)) AS tree")
-    seen = {}
-    for deal in ngram_join.DEALS:
-        for r in row.select("tree", ngram_join._path(deal).alias("path")).collect():
-            path = np.frombuffer(r.path, "<u2").tolist()
-            assert path == [(r.tree + deal * k) % 16 * 8 + k for k in range(8)]
-            seen[deal, r.tree] = set(path)
-    assert all(len(a & b) <= 2 for i, a in seen.items() for j, b in seen.items() if i[0] != j[0])
-
-
 def test_join_on_odd_rows(spark):
     docs = [(i if i else None, t) for i, t in enumerate(ODD)] + [(7, ODD[7]), (None, None), (3, "other words entirely")]
     docs += [(None, "only null ids hold this text"), (None, "only null ids hold this text")]
