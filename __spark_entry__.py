@@ -209,7 +209,7 @@ def q_genre_yield(spark, sf_dir):
 
 def _landed_pages(spark, sf_dir) -> DataFrame:
     """A page or more of every walked chart."""
-    return landing.chart_pages(spark, sf_dir).unionByName(landing.empty_chart_pages(spark, sf_dir))
+    return landing.landed(landing.chart_pages(spark, sf_dir).unionByName(landing.empty_chart_pages(spark, sf_dir)))
 
 
 def q_page_gaps(spark, sf_dir):

@@ -117,9 +117,10 @@ def same_chart() -> Column:
 def stop_after_last_page(parsed: DataFrame) -> DataFrame:
     """Parsed pages → the pages the chart walk reads: every landed page up to
     the chart's end. The ends are an aggregate joined back, so no chart is
-    sorted as a whole."""
+    sorted as a whole; they are a row a chart (dozens of genres a snapshot), so they
+    go to the pages, and no body is shuffled."""
     read = F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page"))
-    return parsed.join(chart_ends(parsed), same_chart()).where(read).drop("_date", "_genre", "_last_page")
+    return parsed.join(F.broadcast(chart_ends(parsed)), same_chart()).where(read).drop("_date", "_genre", "_last_page")
 
 
 def page_gaps(parsed: DataFrame, walk: DataFrame) -> DataFrame:

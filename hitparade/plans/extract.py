@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from hitparade import schemas
 from hitparade.operators import ingest
+from hitparade.session import scratch_dir
 
 
 @dataclass
@@ -81,9 +82,10 @@ def extract(
     """``genre_bodies``: (body) — or (date_snapshot, body) when the list is
     fetched per snapshot (then a snapshot's list is needed, and a failed one
     is made good by an accepted one of the same date); ``page_bodies``: (date_snapshot, genre_id, page_no,
-    body); ``artist_bodies``: (body). The genre walk is a few dozen rows and
-    is joined to the pages on the genre id (AQE broadcasts it from its
-    measured size)."""
+    body); ``artist_bodies``: (body). The genre walk is a few dozen rows (a snapshot, when
+    lists are dated) and goes to the pages, so that no body is shuffled.
+    ``strict`` keeps the first-seen titles in a scratch folder: the gates need them
+    all, and what is returned reads them from there."""
     pages_ok, pages_err = _accepted(page_bodies)
     artists_ok, artists_err = _accepted(artist_bodies)
     genres_ok, genres_err = _accepted(genre_bodies)
@@ -97,12 +99,16 @@ def extract(
     charts = walk if dated else snapshots.join(walk)
     gaps = ingest.page_gaps(ingest.parse_chart_pages(pages_ok), charts)
 
-    walked_pages = pages_ok.join(walk.drop("genre_ordinal"), keys, "left_semi")
-    tracks = ingest.read_chart_pages(walked_pages).join(walk, keys)
+    walked_pages = pages_ok.join(F.broadcast(walk.drop("genre_ordinal")), keys, "left_semi")
+    tracks = ingest.read_chart_pages(walked_pages).join(F.broadcast(walk), keys)
     # only a title's first occurrence is asked for its fields
     first = ingest.first_seen(
         tracks.where(F.col("id").isNotNull()), ("date_snapshot", "id"), ("genre_ordinal", "page_no", "page_pos")
     )
+    if strict:
+        folder = scratch_dir(first.sparkSession, "first-seen-titles")
+        first.write.option("compression", "zstd").parquet(folder)
+        first = first.sparkSession.read.schema(first.schema).parquet(folder)
     complete, incomplete = ingest.split_required(first)
     rejected = incomplete.unionByName(tracks.where(F.col("id").isNull()))
     titres = complete.select(*schemas.TRACK_COLUMNS, "date_snapshot")

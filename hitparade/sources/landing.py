@@ -24,7 +24,7 @@ genre id / name        n_nationkey (BIGINT) / n_name
 response body          error event → {"error": props}, otherwise props
 =====================  ====================================================
 
-Every function is a lazy scan + projection; nothing is cached or collected.
+Every function but :func:`landed` is a lazy scan + projection; nothing is cached or collected.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from hitparade import schemas
 from hitparade.functions import month_snapshot
 from hitparade.operators import ingest
+from hitparade.session import scratch_dir
 
 
 # Entries of a landed chart page.
@@ -176,24 +177,29 @@ def paginate_chart(
 
     A chart is numbered range by range of its position: counts per (chart,
     range) are summed up to each range's offset, and rows are numbered within
-    their range, so no task sorts a whole chart.
+    their range, so no task sorts a whole chart. A range's offset travels as a
+    row ahead of its entries, so that they are shuffled once.
     """
     ranged = entries.withColumn("_range", F.floor(F.col(order[0]) / range_width))
     parts = [*keys, "_range"]
-    counts = ranged.groupBy(*[F.col(c).alias(f"of_{c}") for c in parts]).agg(F.count(F.lit(1)).alias("_n"))
-    chart = Window.partitionBy(*[f"of_{c}" for c in keys])
-    offsets = counts.withColumn("_before", F.sum("_n").over(chart.orderBy("of__range")) - F.col("_n"))
+    counts = ranged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+    chart = Window.partitionBy(*keys)
+    offsets = counts.withColumn("_before", F.sum("_n").over(chart.orderBy("_range")) - F.col("_n"))
     offsets = offsets.withColumn("_chart_len", F.sum("_n").over(chart)).drop("_n")
-    same = F.lit(True)
-    for c in parts:
-        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
-    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - 1)
-    at = F.col("_before") + F.col("_rn")
-    paged = numbered.join(offsets, same).withColumns(
-        {"page_no": F.floor(at / page_size).cast("int"), "page_pos": (at % page_size).cast("int")}
+    both = ranged.unionByName(offsets, allowMissingColumns=True)
+    in_range = Window.partitionBy(*parts).orderBy(F.col("_before").isNull(), *order)
+    so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = both.withColumns(
+        {
+            "_at": F.first("_before").over(so_far) + F.row_number().over(in_range) - 2,
+            "_len": F.first("_chart_len").over(so_far),
+        }
+    ).where(F.col("_before").isNull())
+    paged = numbered.withColumns(
+        {"page_no": F.floor(F.col("_at") / page_size).cast("int"), "page_pos": (F.col("_at") % page_size).cast("int")}
     )
-    paged = paged.withColumn("has_next", F.col("_chart_len") > (F.col("page_no") + 1) * page_size)
-    return paged.drop("_rn", "_before", "_chart_len", "_range", *[f"of_{c}" for c in parts])
+    paged = paged.withColumn("has_next", F.col("_len") > (F.col("page_no") + 1) * page_size)
+    return paged.drop("_at", "_len", "_before", "_chart_len", "_range")
 
 
 def page_bodies(paged: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -223,6 +229,14 @@ def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_bodies(paginate_chart(chart_tracks(spark, sf_dir)))
 
 
+def landed(bodies: DataFrame) -> DataFrame:
+    """``bodies`` written to a scratch folder and read from there, as landed responses are:
+    a job that reads them several times has them made once."""
+    folder = scratch_dir(bodies.sparkSession, "landed")
+    bodies.write.option("compression", "zstd").parquet(folder)
+    return bodies.sparkSession.read.schema(bodies.schema).parquet(folder)
+
+
 def empty_chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed pages of walked charts that have no entry: one each, without tracks."""
     entries = chart_entries(spark, sf_dir)

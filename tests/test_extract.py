@@ -4,7 +4,9 @@ import json
 
 import pytest
 
+from hitparade.operators import ingest
 from hitparade.plans import extract
+from hitparade.sources import landing
 
 D = "2026-09-05"
 
@@ -172,3 +174,46 @@ def test_page_gaps_match_counting(spark):
         ingest.parse_chart_pages(df), spark.createDataFrame([*walk, (None, 5)], "date_snapshot string, genre_id bigint")
     )
     assert sorted(map(tuple, made.collect()), key=str) == sorted(want, key=str)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_strict_run_reads_its_pages_and_its_dedup_once(spark):
+    pages = [(D, 132, 0, _page([_t(1), _t(2)], nxt="p1")), (D, 132, 1, _page([_t(2), _t(3)]))]
+    frames = _frames(spark, pages, [{"id": 1, "name": "A"}])
+    ex = extract.extract(*frames)
+    # the gates needed every first-seen title: what is returned reads them, and no page
+    for df in (ex.titres, ex.artistes):
+        assert "from_json(body" not in _plan(df).split("artist_id")[0] and "next" not in _plan(df)
+    assert "Window" not in _plan(ex.titres)
+    assert sorted(r.id for r in ex.titres.collect()) == [1, 2, 3]
+    # bodies stay where they are: the walk and the charts' ends go to them
+    tracks = ingest.stop_after_last_page(ingest.parse_chart_pages(frames[1]))
+    assert "BroadcastHashJoin" in _plan(tracks) and "SortMergeJoin" not in _plan(tracks)
+    assert sorted(r.page_no for r in tracks.collect()) == [0, 1]
+
+
+def test_chart_entries_are_shuffled_once_to_be_paged(spark):
+    rows = [(D, g, p, i, i % 3, 5, None) for g in (1, 2, None) for i, p in enumerate([7, 7, None, 1, 25, 31, 31, 99])]
+    rows.append(rows[0])  # a repeated entry is an entry
+    entries = spark.createDataFrame(
+        rows, "date_snapshot string, genre_id long, position long, id long, artist_id long, rank long, explicit_lyrics boolean"
+    )
+    paged = landing.paginate_chart(entries, page_size=3, range_width=10)
+    assert "Join" not in _plan(paged)
+    assert paged.columns == [*entries.columns, "page_no", "page_pos", "has_next"]
+    for g in (1, 2, None):
+        got = sorted(
+            ((r.page_no, r.page_pos, r.has_next, r.position, r.id) for r in paged.collect() if r.genre_id == g),
+        )
+        chart = sorted(((r[2] is not None, r[2] or 0, r[3], r[2]) for r in rows if r[1] == g))
+        n = len(chart)
+        assert got == [(k // 3, k % 3, n > (k // 3 + 1) * 3, c[3], c[2]) for k, c in enumerate(chart)]
+
+
+def test_landed_bodies_are_made_once(spark):
+    pages = spark.createDataFrame([(D, 1, 0, "{}")], "date_snapshot string, genre_id bigint, page_no int, body string")
+    landed = landing.landed(pages.groupBy(*pages.columns).count().drop("count"))
+    assert "Aggregate" not in _plan(landed) and landed.collect() == pages.collect()
