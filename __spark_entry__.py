@@ -57,6 +57,14 @@ def _star(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> star
     return star_ops.build_star(titres, artistes, kept)
 
 
+def _star_to_write(spark: SparkSession, sf_dir: str) -> star_ops.Star:
+    """The star of every snapshot for a write of its four tables: they are jobs of their
+    own, so the kept entries are written once and read by each."""
+    kept = landing.landed(landing.kept_entries(spark, sf_dir))
+    titres, artistes = landing.titles_of(spark, sf_dir, kept), landing.staged_artists(spark, sf_dir, kept)
+    return star_ops.build_star(titres, artistes, kept)
+
+
 def _report(name: str, snapshot: str | None) -> Callable[[SparkSession, str], DataFrame]:
     fn = reports.REPORTS[name]
 
@@ -336,18 +344,18 @@ def q_published_versions(spark, sf_dir):
     # on one snapshot, so that only what passes the audit is switched; a third run
     # writes its facts and dies. Each snapshot is read from what was published last.
     root = scratch_dir(spark, "versions")
-    lake_sink.publish_star(_star(spark, sf_dir), f"{root}-staged")
+    lake_sink.publish_star(_star_to_write(spark, sf_dir), f"{root}-staged")
     star = lake_src.read_star(spark, f"{root}-staged")
-    daily.publish_audited(star, root, version="run-1")
+    daily.publish_audited(star, root, version="run-1", laid_out=schemas.CURATED)
     entries = star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir)).where(F.col("date") != REPORT_SNAPSHOT)
     second = dataclasses.replace(
         star, fait_popularite=entries.unionByName(star.fait_popularite.where(F.col("date") == REPORT_SNAPSHOT))
     )
     try:
-        daily.publish_audited(second, root, version="run-2")
+        daily.publish_audited(second, root, version="run-2", laid_out=set(schemas.CURATED) - {"fait_popularite"})
     except quality.QualityGateError:
         pass  # the snapshots that failed keep their first version
-    lake_sink.write_table(star.fait_popularite, f"{root}/fait_popularite/version=run-3", mode="full")
+    lake_sink.write_table(star.fait_popularite, f"{root}/fait_popularite/version=run-3", mode="full", rebalance=False)
     versions.sync_catalog(spark, db := "charts_" + root.rsplit("-", 1)[-1], root)
     read = versions.rows_by_date(lake_src.catalog_star(spark, db))
     return read.join(versions.live(spark, root).select("date", "version"), "date")
@@ -363,22 +371,24 @@ def _kept_history(spark, star: star_ops.Star) -> history_plan.History:
         mine = (F.col("date") == REPORT_SNAPSHOT) == F.lit(late)
         part = star_ops.Star(*(t.where(mine) for t in staged.tables().values()))
         version = versions.new_version()
-        versions.commit(spark, curated, version, versions.write_version(part, curated, version))
+        versions.commit(spark, curated, version, versions.write_version(part, curated, version, schemas.CURATED))
         history_plan.refresh(spark, curated, root)
     return history_plan.read(spark, curated, root)
 
 
 def _history(report: Callable[[history_plan.History], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: report(_kept_history(spark, _star(spark, sf_dir)))
+    return lambda spark, sf_dir: report(_kept_history(spark, _star_to_write(spark, sf_dir)))
 
 
 def q_history_quality(spark, sf_dir):
     # the faults of dq_unicite and dq_coherence together, published without an audit
-    kept = landing.kept_entries(spark, sf_dir)
-    star = dataclasses.replace(
-        _star(spark, sf_dir),
-        fait_popularite=star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir)),
+    kept = landing.landed(landing.kept_entries(spark, sf_dir))
+    fait = star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir))
+    star = star_ops.Star(
+        fait_popularite=fait,
+        dim_titre=star_ops.build_dim_titre(landing.titles_of(spark, sf_dir, kept)),
         dim_artiste=_valid_artists(spark, sf_dir, kept),
+        dim_date=star_ops.dim_date_table(star_ops.build_dim_date(star_ops.build_fait_popularite(kept))),
     )
     return history_plan.quality_report(_kept_history(spark, star))
 

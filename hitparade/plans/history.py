@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from hitparade.constants import COMPLETENESS_THRESHOLD, EMERGING_MAX_FANS, TOP_K
 from hitparade.operators import quality
 from hitparade.operators.star import Star
+from hitparade.session import scratch_dir
 from hitparade.sinks import kept, versions
 
 #: From how many ids on a bucket is a bitmap: as many places take as many bytes.
@@ -90,8 +91,15 @@ def _typed(rows: DataFrame, table: str) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _genres(star: Star) -> DataFrame:
-    charted = star.fait_popularite.join(star.dim_titre.select("id_titre", "genre", "date"), ["id_titre", "date"])
+def _charted(star: Star, folder: str) -> DataFrame:
+    """The fact with its titles' genres, written once for the two tables that need it."""
+    fait = star.fait_popularite.select("date", "id_titre", "id_artiste", "score_popularite")
+    charted = fait.join(star.dim_titre.select("id_titre", "genre", "date"), ["id_titre", "date"])
+    charted.write.option("compression", "zstd").parquet(folder)
+    return charted.sparkSession.read.schema(charted.schema).parquet(folder)
+
+
+def _genres(star: Star, charted: DataFrame) -> DataFrame:
     scores = charted.groupBy("date", "genre").agg(
         F.count(F.lit(1)).alias("charted"),
         F.sum("score_popularite").alias("score_sum"),
@@ -109,8 +117,7 @@ def _genres(star: Star) -> DataFrame:
     return _typed(both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns]), "genres")
 
 
-def _members(star: Star, dense: int) -> DataFrame:
-    charted = star.fait_popularite.join(star.dim_titre.select("id_titre", "genre", "date"), ["id_titre", "date"])
+def _members(charted: DataFrame, dense: int) -> DataFrame:
     ids = charted.select(
         "date",
         "genre",
@@ -171,7 +178,8 @@ def refresh(spark: SparkSession, curated_root: str, history_root: str, dense: in
     if not stale:
         return []
     star = versions.read_rows(spark, curated_root, stale)
-    tables = {"genres": _genres(star), "members": _members(star, dense), "artists": _artists(star), "quality": _quality(star)}
+    charted = _charted(star, scratch_dir(spark, "charted"))
+    tables = {"genres": _genres(star, charted), "members": _members(charted, dense), "artists": _artists(star), "quality": _quality(star)}
     kept.write(spark, history_root, tables, {r.date: r.version for r in stale})
     return [r.date for r in stale]
 

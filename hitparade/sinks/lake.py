@@ -20,7 +20,7 @@ taken with an ``Observation`` during the write — no second pass.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -76,7 +76,7 @@ def counted_write(df: DataFrame, path: str, name: str, **kwargs) -> int:
     when tasks or map stages are retried.
     """
     partition_by = kwargs.get("partition_by", ("date",))
-    if partition_by and kwargs.pop("rebalance", True):
+    if kwargs.pop("rebalance", True) and partition_by:
         df = df.hint("rebalance", *partition_by)
     obs = Observation(f"rows_{name}")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, rebalance=False, **kwargs)
@@ -96,13 +96,22 @@ def run_concurrently(spark: SparkSession, jobs: dict[str, Callable[[], int]], ma
 
 
 def publish_star(
-    star: Star, root: str, mode: str = "dates", files_per_date: int | None = None, concurrent: bool = True
+    star: Star,
+    root: str,
+    mode: str = "dates",
+    files_per_date: int | None = None,
+    concurrent: bool = True,
+    laid_out: Iterable[str] = (),
 ) -> dict[str, int]:
     """Write the four curated tables under ``root/<table>/date=...`` (four
-    independent jobs, submitted together); return the rows written per table."""
+    independent jobs, submitted together); return the rows written per table.
+    ``laid_out`` names tables read row by row from well-sized ``date=`` folders:
+    a task has few dates of them, so they are written without a shuffle."""
+    laid_out = set(laid_out)
+
     def job(name: str, df: DataFrame) -> Callable[[], int]:
         out = spread_by_date(df, files_per_date) if files_per_date else df
-        return lambda: counted_write(out, f"{root.rstrip('/')}/{name}", name, mode=mode)
+        return lambda: counted_write(out, f"{root.rstrip('/')}/{name}", name, mode=mode, rebalance=name not in laid_out)
 
     jobs = {name: job(name, df) for name, df in star.tables().items()}
     return run_concurrently(star.fait_popularite.sparkSession, jobs) if concurrent else {k: f() for k, f in jobs.items()}

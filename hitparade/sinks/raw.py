@@ -5,7 +5,8 @@ and an artist ``{"artists": [artist]}`` under ``date=<snapshot>/kind=artists/``;
 the reader explodes both arrays, so the legacy one-document-per-day files and
 these lines read the same way, and each staging table lists and parses only
 its own kind of document. Rerunning a snapshot replaces only its own
-``date=`` folders (dynamic overwrite).
+``date=`` folders (dynamic overwrite). Lines repeat their keys, so files are
+gzipped; such a file is read by one task, so none holds more than ``FILE_ROWS`` lines.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from hitparade import schemas
 
+#: Lines of one raw file.
+FILE_ROWS = 500_000
+
 
 def raw_documents(titres: DataFrame, artistes: DataFrame) -> DataFrame:
     """(tracks, artists, walk, date, kind) rows: one document per title and per artist.
@@ -52,6 +56,8 @@ def land_raw(titres: DataFrame, artistes: DataFrame, raw_root: str) -> None:
         .hint("rebalance", "date", "kind")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy("date", "kind")
         .json(raw_root)
     )

@@ -55,17 +55,20 @@ def _table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_version(star: Star, root: str, version: str) -> dict[str, int]:
+def write_version(star: Star, root: str, version: str, laid_out: Iterable[str] = ()) -> dict[str, int]:
     """Write the four tables as ``version``, unseen by readers; rows by table. A version
-    that was published is never written again."""
+    that was published is never written again. ``laid_out``: see :func:`lake_sink.publish_star`."""
     spark = star.fait_popularite.sparkSession
     if not _VERSION.fullmatch(version):
         raise ValueError(f"not a version: {version!r}")
     if not publications(spark, root).where(F.col("version") == version).isEmpty():
         raise ValueError(f"version {version} is published already")
 
+    laid_out = set(laid_out)
+
     def job(table: str, df: DataFrame):
-        return lambda: lake_sink.counted_write(df, f"{_table_path(root, table)}/version={version}", table, mode="full")
+        path = f"{_table_path(root, table)}/version={version}"
+        return lambda: lake_sink.counted_write(df, path, table, mode="full", rebalance=table not in laid_out)
 
     return lake_sink.run_concurrently(spark, {t: job(t, df) for t, df in star.tables().items()})
 

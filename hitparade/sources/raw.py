@@ -4,8 +4,8 @@ Two layouts share one schema:
 
 * legacy — one multi-line document per day at ``.../date=YYYY-MM-DD/x.json``
   (``multi_line=True``; one file cannot be split, so a day is one task);
-* ours — JSON lines, one bounded document per line, partitioned by ``date``
-  (see :mod:`hitparade.sinks.raw`), split across as many tasks as Spark likes.
+* ours — gzipped JSON lines, one bounded document per line, partitioned by ``date``
+  (see :mod:`hitparade.sinks.raw`), in files of a bounded number of lines, a task each.
 
 The snapshot date always comes from the path (``date=YYYY-MM-DD``), never from
 the clock, and is validated as a real date. ``strict=True`` (FAILFAST) fails

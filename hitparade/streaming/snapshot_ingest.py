@@ -133,8 +133,8 @@ def rebuild_snapshots(
     star = star_ops.build_star(staged("titres", schemas.TITRES).drop("date"), staged("artistes", schemas.ARTISTES))
     if enforce_quality:
         # each snapshot alone: the good ones are published before the others fail the batch
-        return daily.publish_gated(star, curated_root)[0]
-    return lake_sink.publish_star(star, curated_root, mode="dates")
+        return daily.publish_gated(star, curated_root, laid_out=daily.FROM_STAGING)[0]
+    return lake_sink.publish_star(star, curated_root, mode="dates", laid_out=daily.FROM_STAGING)
 
 
 def rebuild_changed(
