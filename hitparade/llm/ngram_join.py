@@ -12,7 +12,9 @@ shingle); two texts are linked where the sets' Jaccard similarity is 0.8 or more
    longer, and one class of each longer prefix stays in the shorter one, so a
    large group of near copies costs rows in proportion; classes that share a
    whole path and are still too many meet in ``BUCKET`` at a time and through
-   one class of each part.
+   one class of each part. That joins most of a large group cheaply; classes of
+   such a prefix that it left in different components meet in a second pass, every
+   block of them with every other one, so no two classes of a prefix are passed over.
 3. In a bucket, classes whose signatures agree like similar texts are joined; the
    components of these joins (Spark joins, no collection) are the candidates.
 4. Every two classes of a candidate component are compared exactly, by their
@@ -139,8 +141,11 @@ class _Sets:
 
 
 def _bucket_links(gid: np.ndarray, keys: list[bytes], sig: np.ndarray) -> tuple[list[bytes], list[bytes]]:
-    """Links (to the first class of its part) of similar classes in buckets laid out one after the other."""
-    sets = _Sets(len(keys))
+    """Links (to the first class of its part) of similar classes in buckets laid out one after the other.
+    Rows of one key are not compared."""
+    names: dict[bytes, int] = {}
+    code = np.array([names.setdefault(k, len(names)) for k in keys], np.int64)
+    sets = _Sets(len(names))
     shift = 1
     here = np.arange(len(gid))
     while True:
@@ -150,16 +155,19 @@ def _bucket_links(gid: np.ndarray, keys: list[bytes], sig: np.ndarray) -> tuple[
             break
         for i in range(0, len(here), 1 << 14):
             some = here[i : i + (1 << 14)]
+            some = some[code[some] != code[some + shift]]
             agree = (sig[some] == sig[some + shift]).sum(axis=1)
-            for x in some[agree >= AGREE].tolist():
-                sets.join(x, x + shift)
+            alike = some[agree >= AGREE]
+            for x in np.unique(code[alike] * len(names) + code[alike + shift]).tolist():
+                sets.join(x // len(names), x % len(names))
         shift += 1
     a, b = [], []
-    for i in range(len(keys)):
+    listed = list(names)
+    for i, key in enumerate(listed):
         r = sets.root(i)
         if r != i:
-            a.append(keys[i])
-            b.append(keys[r])
+            a.append(key)
+            b.append(listed[r])
     return a, b
 
 
@@ -190,7 +198,8 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _buckets(classes: DataFrame, folder: str, bucket: int) -> DataFrame:
-    """``(gid, key)``: which classes meet; no bucket holds more than ``bucket`` of them."""
+    """``(gid, key)``: which classes meet; no bucket holds more than ``bucket`` of them.
+    What a larger prefix leaves apart is met in :func:`_rest`."""
     spark = classes.sparkSession
     base = prefix_depth()
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
@@ -232,6 +241,56 @@ def _buckets(classes: DataFrame, folder: str, bucket: int) -> DataFrame:
     return out.distinct() if len(made) > 1 else out
 
 
+def _linked(met: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
+    """Links of the classes that meet (``gid, key``), written to ``folder``; with a ``label``, links
+    of the labels, found between rows of different ones."""
+    met = met.join(classes.select("key", "sig").hint("shuffle_hash"), "key")
+    if "label" in met.columns:
+        met = met.select("gid", F.col("label").alias("key"), "sig")
+    met = met.repartition("gid").sortWithinPartitions("gid", "key")
+    met.mapInArrow(_link_batches, _LINKS).write.parquet(folder)
+    return met.sparkSession.read.parquet(folder)
+
+
+def _rest(large: DataFrame, grouped: DataFrame, bucket: int) -> DataFrame:
+    """``(gid, key, label)``: the classes of each prefix of ``large`` that lie in different components,
+    dealt into blocks of half a bucket; every two blocks meet. Rows grow with the square of
+    such a prefix's classes, a task's rows do not."""
+    placed = large.select("gid", "n", "key").join(grouped.withColumnRenamed("node", "key").hint("shuffle_hash"), "key", "left")
+    # a class that was linked with none is a component
+    placed = placed.select("gid", "n", "key", F.coalesce("label", "key").alias("label"))
+    # components are compared whole, so a prefix of one component has nothing left
+    torn = placed.groupBy("gid").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("gid")
+    blocks = F.ceil(F.col("n") * 2 / bucket).cast("int")
+    dealt = placed.join(torn.hint("shuffle_hash"), "gid", "left_semi").select(
+        "gid", "key", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("key", F.lit(11)), blocks).cast("int").alias("block")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return dealt.select("gid", "key", "label", "block", other.alias("o")).where("block <> o").select(
+        F.xxhash64("gid", F.least("block", "o"), F.greatest("block", "o")).alias("gid"), "key", "label"
+    )
+
+
+def _candidates(classes: DataFrame, folder: str, bucket: int) -> DataFrame:
+    """``(node, label)``: the components of classes that are similar by their signatures."""
+    spark = classes.sparkSession
+    met = _buckets(classes, f"{folder}/buckets", bucket)
+    links = _linked(met, classes, f"{folder}/candidates")
+    grouped = components(links, f"{folder}/candidate-groups")
+    large = spark.read.parquet(f"{folder}/buckets/depth-{prefix_depth()}").where(F.col("n") > bucket)
+    if large.isEmpty():
+        return grouped
+    more = _linked(_rest(large, grouped, bucket), classes, f"{folder}/rest")
+    if more.isEmpty():
+        return grouped
+    # components become nodes, so that links within one are not followed again
+    joined = components(more, f"{folder}/joined-groups").withColumnRenamed("label", "least")
+    nodes = grouped.unionByName(joined.select("node", F.col("node").alias("label")).join(grouped, "node", "left_anti"))
+    return nodes.join(joined.withColumnRenamed("node", "label"), "label", "left").select(
+        "node", F.coalesce("least", "label").alias("label")
+    )
+
+
 def _compare(part: pd.DataFrame) -> pd.DataFrame:
     """Exact links between the classes of one block, or of one block and another."""
     texts = [normal(t) for t in part["text"]]
@@ -289,10 +348,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     ).write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
 
-    met = _buckets(classes, f"{folder}/buckets", bucket)
-    met = met.join(classes.select("key", "sig").hint("shuffle_hash"), "key").repartition("gid").sortWithinPartitions("gid", "key")
-    met.mapInArrow(_link_batches, _LINKS).write.parquet(f"{folder}/candidates")
-    grouped = components(spark.read.parquet(f"{folder}/candidates"), f"{folder}/candidate-groups")
+    grouped = _candidates(classes, folder, bucket)
 
     sizes = grouped.groupBy("label").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / block).cast("int")

@@ -382,3 +382,22 @@ def test_repair_query_of_odd_rows(spark, tmp_path):
     empty = tmp_path / "empty"
     spark.createDataFrame([], schema).write.parquet(str(empty / "conversations.parquet"))
     assert queries.op13_conversation_repair(spark, str(empty)).collect() == []
+
+
+def test_a_prefix_held_by_many_classes_passes_over_no_pair(spark, tmp_path):
+    from hitparade.llm import ngram_join as nj
+
+    rng = np.random.default_rng(5)
+    n, base = 40, nj.prefix_depth()
+    # one prefix of the first tree is held by all; nothing else is alike but the signatures of pairs
+    paths = rng.integers(0, 1 << 16, (n, nj.TREES * nj.DEPTH)).astype("<u2")
+    paths[:, :base] = 3
+    sig = rng.integers(0, 256, (n, nj.TREES * nj.DEPTH)).astype(np.uint8)
+    sig[n // 2 :] = sig[: n // 2]
+    keys = [hashlib.blake2b(bytes([i]), digest_size=16).digest() for i in range(n)]
+    rows = [(bytearray(k), bytearray(p.tobytes()), bytearray(s.tobytes())) for k, p, s in zip(keys, paths, sig, strict=True)]
+    classes = spark.createDataFrame(rows, "key binary, paths binary, sig binary")
+    found = {bytes(r.node): bytes(r.label) for r in nj._candidates(classes, str(tmp_path), 8).collect()}
+    for i in range(n // 2):
+        a, b = keys[i], keys[i + n // 2]
+        assert found[a] == found[b] == min(a, b)
