@@ -59,9 +59,9 @@ def _star(spark: SparkSession, sf_dir: str, snapshot: str | None = None) -> star
 
 def _star_to_write(spark: SparkSession, sf_dir: str) -> star_ops.Star:
     """The star of every snapshot for a write of its four tables: they are jobs of their
-    own, so the kept entries are written once and read by each."""
-    kept = landing.landed(landing.kept_entries(spark, sf_dir))
-    titres, artistes = landing.titles_of(spark, sf_dir, kept), landing.staged_artists(spark, sf_dir, kept)
+    own, so the kept entries are written once and read by each; no table has the flag."""
+    kept = landing.landed(landing.kept_up_to(spark, sf_dir, "rank"))
+    titres, artistes = landing.with_titles(kept, landing.title_records(spark, sf_dir)), landing.staged_artists(spark, sf_dir, kept)
     return star_ops.build_star(titres, artistes, kept)
 
 
@@ -382,13 +382,13 @@ def _history(report: Callable[[history_plan.History], DataFrame]) -> Callable[[S
 
 def q_history_quality(spark, sf_dir):
     # the faults of dq_unicite and dq_coherence together, published without an audit
-    kept = landing.landed(landing.kept_entries(spark, sf_dir))
+    kept = landing.landed(landing.kept_up_to(spark, sf_dir, "artist_id"))
     fait = star_ops.build_fait_popularite(landing.chart_entries(spark, sf_dir))
     star = star_ops.Star(
         fait_popularite=fait,
-        dim_titre=star_ops.build_dim_titre(landing.titles_of(spark, sf_dir, kept)),
+        dim_titre=star_ops.build_dim_titre(landing.with_titles(kept, landing.title_records(spark, sf_dir))),
         dim_artiste=_valid_artists(spark, sf_dir, kept),
-        dim_date=star_ops.dim_date_table(star_ops.build_dim_date(star_ops.build_fait_popularite(kept))),
+        dim_date=star_ops.dim_date_table(star_ops.build_dim_date(kept)),
     )
     return history_plan.quality_report(_kept_history(spark, star))
 

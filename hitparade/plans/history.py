@@ -1,14 +1,15 @@
 """Reports over all of history from results kept by snapshot.
 
 :func:`refresh` builds, for each snapshot whose published version changed and no other,
-four small tables that merge: measures by genre, the ids of each genre's titles and
-artists, scores by artist, and the quality measures. A report over history then adds up
+four small tables that merge: tempi by genre, the ids of each genre's titles and
+artists with the titles' scores, scores by artist, and the quality measures. A report over history then adds up
 those rows and reads no row of the fact.
 
 * Sums, counts, minima and maxima merge as they are.
 * Distinct counts merge as sets. A set is cut into buckets of 32,768 consecutive ids; a bucket holds
   the places of its ids, or, from ``DENSE`` ids on, a bitmap of 4 KB. Buckets of the same ids
-  are united by OR and counted: exact, and never more rows than buckets.
+  are united by OR and counted: exact, and never more rows than buckets. While it is built a
+  bucket travels as the places alone, so a task that has few of its ids ships few.
 * The quality rules read their measures, so a gate or a report over a backfill scans
   only what changed; thresholds apply when the report is made.
 
@@ -32,6 +33,8 @@ from hitparade.sinks import kept, versions
 
 #: From how many ids on a bucket is a bitmap: as many places take as many bytes.
 DENSE = 1024
+#: Part of a build's stamp: results kept in another layout are stale.
+LAYOUT = "scores-by-bucket"
 
 
 def _long(*names: str) -> list[T.StructField]:
@@ -43,10 +46,9 @@ def _double(*names: str) -> list[T.StructField]:
 
 
 TABLES = {
-    # a row a genre: its charted titles with their scores, its titles' tempi
-    "genres": T.StructType(
-        [*_long("genre", "charted", "score_sum", "scored", "bpm_count"), *_double("bpm_sum", "bpm_min", "bpm_max")]
-    ),
+    # a row a genre: its titles' tempi
+    "genres": T.StructType([*_long("genre", "bpm_count"), *_double("bpm_sum", "bpm_min", "bpm_max")]),
+    # a row a bucket; one of titles has the charted rows of its ids with their scores
     "members": T.StructType(
         [
             *_long("genre"),
@@ -54,6 +56,7 @@ TABLES = {
             *_long("bucket"),
             T.StructField("places", T.ArrayType(T.IntegerType())),
             T.StructField("bits", T.BinaryType()),
+            *_long("charted", "score_sum", "scored"),
         ]
     ),
     "artists": T.StructType(
@@ -91,22 +94,13 @@ def _typed(rows: DataFrame, table: str) -> DataFrame:
 
 
 def _genres(star: Star) -> DataFrame:
-    charted = star.fait_popularite.join(star.dim_titre.select("id_titre", "genre", "date"), ["id_titre", "date"])
-    scores = charted.groupBy("date", "genre").agg(
-        F.count(F.lit(1)).alias("charted"),
-        F.sum("score_popularite").alias("score_sum"),
-        F.count("score_popularite").alias("scored"),
-    )
     tempi = star.dim_titre.groupBy("date", "genre").agg(
         F.count("bpm").alias("bpm_count"),
         F.sum("bpm").alias("bpm_sum"),
         F.min("bpm").alias("bpm_min"),
         F.max("bpm").alias("bpm_max"),
     )
-    # a null genre is a group: the two halves are added up, not joined
-    columns = ["charted", "score_sum", "scored", "bpm_count", "bpm_sum", "bpm_min", "bpm_max"]
-    both = scores.unionByName(tempi, allowMissingColumns=True).groupBy("date", "genre")
-    return _typed(both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns]), "genres")
+    return _typed(tempi, "genres")
 
 
 def _members(star: Star, dense: int) -> DataFrame:
@@ -116,30 +110,46 @@ def _members(star: Star, dense: int) -> DataFrame:
         "genre",
         F.explode(
             F.array(
-                F.struct(F.lit("titre").alias("kind"), F.col("id_titre").alias("id")),
-                F.struct(F.lit("artiste").alias("kind"), F.col("id_artiste").alias("id")),
+                F.struct(
+                    F.lit("titre").alias("kind"),
+                    F.col("id_titre").alias("id"),
+                    F.lit(1).alias("row"),
+                    F.col("score_popularite").alias("score"),
+                ),
+                F.struct(
+                    F.lit("artiste").alias("kind"),
+                    F.col("id_artiste").alias("id"),
+                    F.lit(None).cast("int").alias("row"),
+                    F.lit(None).cast("long").alias("score"),
+                ),
             )
         ).alias("_m"),
     ).select("date", "genre", "_m.*")
-    places = (
+    bucket = ["date", "genre", "kind", "bucket"]
+    # a bucket has at most 32,768 places, so no group grows with the data
+    sets = (
         ids.where(F.col("id").isNotNull())
-        .select(
-            "date",
-            "genre",
-            "kind",
-            F.bitmap_bucket_number("id").alias("bucket"),
-            F.bitmap_bit_position("id").cast("int").alias("place"),
+        .withColumns({"bucket": F.bitmap_bucket_number("id"), "place": F.bitmap_bit_position("id").cast("int")})
+        .groupBy(*bucket)
+        .agg(
+            F.sort_array(F.collect_set("place")).alias("places"),
+            F.count("row").alias("charted"),
+            F.sum("score").alias("score_sum"),
+            F.count("score").alias("scored"),
         )
-        .distinct()
     )
-    # a bucket has at most 32,768 places, so no group grows with the data
-    buckets = places.groupBy("date", "genre", "kind", "bucket").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sort_array(F.collect_list("place")).alias("places"),
-        F.bitmap_construct_agg("place").alias("bits"),
+    few = sets.where(F.size("places") < dense)
+    # dealt by bucket already: the bitmap is made where the places are
+    many = (
+        sets.where(F.size("places") >= dense)
+        .select(*bucket, "charted", "score_sum", "scored", F.explode("places").alias("place"))
+        .groupBy(*bucket)
+        .agg(
+            F.bitmap_construct_agg("place").alias("bits"),
+            *[F.first(c).alias(c) for c in ("charted", "score_sum", "scored")],
+        )
     )
-    few = F.col("_n") < dense
-    return _typed(buckets.withColumn("places", F.when(few, F.col("places"))).withColumn("bits", F.when(~few, F.col("bits"))), "members")
+    return _typed(few.unionByName(many, allowMissingColumns=True), "members")
 
 
 def _artists(star: Star) -> DataFrame:
@@ -155,11 +165,15 @@ def _quality(star: Star) -> DataFrame:
     return _typed(quality.measures_by_date(star.fait_popularite, star.dim_titre, star.dim_artiste), "quality")
 
 
+def _stamp(published) -> str:
+    return f"{published.version} {LAYOUT}"
+
+
 def _stale(spark: SparkSession, curated_root: str, history_root: str) -> tuple[list, list]:
     """(published rows without kept results of their version, kept rows of the others)."""
     published = versions.live(spark, curated_root).orderBy("date").collect()
     have = {r.date: r for r in kept.live(spark, history_root)}
-    stale = [r for r in published if r.date not in have or have[r.date].stamp != r.version]
+    stale = [r for r in published if r.date not in have or have[r.date].stamp != _stamp(r)]
     gone = {r.date for r in stale}
     return stale, [have[r.date] for r in published if r.date not in gone]
 
@@ -172,7 +186,7 @@ def refresh(spark: SparkSession, curated_root: str, history_root: str, dense: in
         return []
     star = versions.read_rows(spark, curated_root, stale)
     tables = {"genres": _genres(star), "members": _members(star, dense), "artists": _artists(star), "quality": _quality(star)}
-    kept.write(spark, history_root, tables, {r.date: r.version for r in stale})
+    kept.write(spark, history_root, tables, {r.date: _stamp(r) for r in stale})
     return [r.date for r in stale]
 
 
@@ -190,7 +204,7 @@ def _ratio(total: str, count: str) -> Column:
 
 def genre_popularity(history: History) -> DataFrame:
     """R1 over all snapshots."""
-    charted = history.genres.where(F.col("charted") > 0).groupBy("genre")
+    charted = history.members.where(F.col("kind") == "titre").groupBy("genre")
     return charted.agg(
         F.sum("charted").alias("nb_titres"), _ratio("score_sum", "scored").alias("score_popularite_moyen")
     ).orderBy(F.desc("score_popularite_moyen"), "genre")
@@ -198,7 +212,7 @@ def genre_popularity(history: History) -> DataFrame:
 
 def bpm_by_genre(history: History) -> DataFrame:
     """R3 over all snapshots."""
-    titles = history.genres.where(F.col("bpm_count").isNotNull()).groupBy("genre")
+    titles = history.genres.groupBy("genre")
     return titles.agg(
         F.sum("bpm_count").alias("nb_titres_avec_bpm"),
         _ratio("bpm_sum", "bpm_count").alias("bpm_moyen"),

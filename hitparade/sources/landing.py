@@ -24,7 +24,8 @@ genre id / name        n_nationkey (BIGINT) / n_name
 response body          error event → {"error": props}, otherwise props
 =====================  ====================================================
 
-Every function but :func:`landed` is a lazy scan + projection; nothing is cached or collected.
+Every function but :func:`landed`, and :func:`staging`, which lands the kept entries, is a
+lazy scan + projection; nothing is cached or collected.
 """
 
 from __future__ import annotations
@@ -105,7 +106,8 @@ def walked_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def looked_up_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The artist of every kept title, as often as it has titles: (artist columns, date)."""
-    of_titles = kept_entries(spark, sf_dir).select(F.col("artist_id").alias("id"), F.col("date_snapshot").alias("date"))
+    kept = kept_up_to(spark, sf_dir, "artist_id")
+    of_titles = kept.select(F.col("artist_id").alias("id"), F.col("date_snapshot").alias("date"))
     return of_titles.join(artist_records(spark, sf_dir), "id", "left").select(*schemas.ARTIST_COLUMNS, "date")
 
 
@@ -140,6 +142,13 @@ def kept_entries(spark: SparkSession, sf_dir: str, snapshot_date: str | None = N
     return ingest.first_seen(chart_entries(spark, sf_dir, snapshot_date))
 
 
+def kept_up_to(spark: SparkSession, sf_dir: str, last: str) -> DataFrame:
+    """:func:`kept_entries` with the key and the order's columns up to ``last`` only, which
+    is all that is shuffled: entries that tie on those agree in them, whichever is kept."""
+    order = ingest.FIRST_SEEN_ORDER[: ingest.FIRST_SEEN_ORDER.index(last) + 1]
+    return ingest.first_seen(chart_entries(spark, sf_dir).select(*ingest.SNAPSHOT_KEY, *order), order=order)
+
+
 def titles_of(spark: SparkSession, sf_dir: str, kept: DataFrame) -> DataFrame:
     """Staging titres of kept entries: the catalogue is joined after the dedup,
     so the join sees one row per title-day instead of one per appearance."""
@@ -159,8 +168,9 @@ def staged_artists(spark: SparkSession, sf_dir: str, titres: DataFrame) -> DataF
 
 def staging(spark: SparkSession, sf_dir: str, snapshot_date: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(titres, artistes) for every snapshot of the landing tables, or for one.
-    Artists come from the kept entries: they need no title attribute."""
-    kept = kept_entries(spark, sf_dir, snapshot_date)
+    Artists come from the kept entries: they need no title attribute. The kept entries are
+    written once and read by both."""
+    kept = landed(kept_entries(spark, sf_dir, snapshot_date))
     return titles_of(spark, sf_dir, kept), staged_artists(spark, sf_dir, kept)
 
 

@@ -153,3 +153,32 @@ def test_first_seen_merged_equals_a_rebuild(spark, tmp_path):
     assert first_seen.merge(entries.limit(0), root) == []
     with pytest.raises(ValueError, match="date_snapshot"):
         first_seen.merge(entries.limit(1).withColumn("date_snapshot", F.lit(None).cast("string")), root)
+
+
+def test_a_refresh_joins_the_fact_with_its_titles_once(spark, tmp_path, monkeypatch):
+    curated, root = str(tmp_path / "cur"), str(tmp_path / "kept")
+    _publish(spark, _star(spark, [D1, D2], 9), curated)
+    real, seen = kept.write, {}
+
+    def watched(spark, root, tables, stamps):
+        seen.update({t: df.inputFiles() for t, df in tables.items()})
+        seen["plan"] = tables["members"]._jdf.queryExecution().optimizedPlan().toString()
+        return real(spark, root, tables, stamps)
+
+    monkeypatch.setattr(kept, "write", watched)
+    history.refresh(spark, curated, root)
+    assert seen["genres"] and not any("/fait_popularite/" in f for f in seen["genres"])
+    # a bucket is gathered as places: neither are its rows made distinct first, nor bitmaps shipped
+    assert "collect_set" in seen["plan"] and "collect_list" not in seen["plan"]
+
+
+def test_results_kept_in_another_layout_are_stale(spark, tmp_path, monkeypatch):
+    curated, root = str(tmp_path / "cur"), str(tmp_path / "kept")
+    _publish(spark, _star(spark, [D1, D2], 10), curated)
+    monkeypatch.setattr(history, "LAYOUT", "before")
+    history.refresh(spark, curated, root)
+    monkeypatch.undo()
+    with pytest.raises(history.StaleHistoryError):
+        history.read(spark, curated, root)
+    assert history.refresh(spark, curated, root) == [D1, D2]
+    _agree(spark, curated, root)
