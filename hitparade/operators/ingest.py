@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitparade import schemas
@@ -32,6 +32,8 @@ from hitparade.functions import has_json_key
 # that still tie are identical and a recomputed task keeps the same row.
 FIRST_SEEN_ORDER = ("genre_id", "position", "artist_id", "rank", "explicit_lyrics")
 SNAPSHOT_KEY = ("date_snapshot", "id")
+#: The fewest parts of a snapshot's ids that :func:`parts_per_date` asks for.
+PARTS_PER_DATE = 4
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -54,6 +56,24 @@ def first_seen(
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def parts_per_date(spark: SparkSession, n_dates: int) -> int:
+    """Parts to deal each of ``n_dates`` snapshots in: over all of them, twice what the session
+    shuffles into. A snapshot has at most so many tasks, and files."""
+    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(PARTS_PER_DATE, -(-wanted // max(1, n_dates)))
+
+
+def first_seen_by_date(
+    df: DataFrame, order: Sequence[str | Column] = FIRST_SEEN_ORDER, parts: int = PARTS_PER_DATE
+) -> DataFrame:
+    """:func:`first_seen` per (snapshot, id) for rows that are written by date: they are dealt
+    once, by snapshot and a share of its ids, and the write needs no shuffle of its own.
+    Every row is shipped, so this is for ids that repeat a few times a snapshot."""
+    part = F.pmod(F.xxhash64("id"), F.lit(parts))
+    dealt = df.withColumn("_part", part).repartition("date_snapshot", "_part")
+    return first_seen(dealt, ("date_snapshot", "_part", "id"), order).drop("_part")
+
+
 def exclude_all_genres(genres: DataFrame, id_col: str = "id") -> DataFrame:
     """Drop the pseudo-genre 0. A null id is kept (it is not 0)."""
     return genres.where(~F.col(id_col).eqNullSafe(F.lit(ALL_GENRES_ID)))

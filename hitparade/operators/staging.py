@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitparade import schemas
-from hitparade.operators.ingest import first_seen
+from hitparade.operators.ingest import PARTS_PER_DATE, first_seen, first_seen_by_date
 
 # Order among duplicates of one id in a snapshot: the walk (genre's place in the
 # list, place in the chart), then place in the document (the walk of a legacy
@@ -39,13 +39,14 @@ def explode_artists(raw: DataFrame) -> DataFrame:
     ).select("a.*", "date_snapshot", "_doc_pos")
 
 
-def build_titres(raw: DataFrame, snapshot_date: str | None = None) -> DataFrame:
+def build_titres(raw: DataFrame, snapshot_date: str | None = None, parts: int = PARTS_PER_DATE) -> DataFrame:
     """Staging titles: the nine track columns + ``date_snapshot``, one row per
-    (snapshot, id). ``snapshot_date`` overrides the path date (single run)."""
+    (snapshot, id), laid out by snapshot, each in ``parts`` (to be written without a further shuffle).
+    ``snapshot_date`` overrides the path date (single run)."""
     tracks = explode_tracks(raw)
     if snapshot_date is not None:
         tracks = tracks.withColumn("date_snapshot", F.lit(snapshot_date))
-    kept = first_seen(tracks, ("date_snapshot", "id"), TITRE_ORDER)
+    kept = first_seen_by_date(tracks, TITRE_ORDER, parts)
     return kept.select(*schemas.TRACK_COLUMNS, "date_snapshot")
 
 

@@ -19,10 +19,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from hitparade import schemas
-from hitparade.operators import quality, staging
+from hitparade.operators import ingest, quality, staging
 from hitparade.operators import star as star_ops
+from hitparade.sinks import files, versions
 from hitparade.sinks import lake as lake_sink
-from hitparade.sinks import versions
 from hitparade.sources import lake as lake_src
 from hitparade.sources import raw as raw_src
 
@@ -55,13 +55,15 @@ def run_staging(
     def raw(kind: str):
         return raw_src.read_raw(spark, raw_path, multi_line=multi_line, strict=strict, snapshot_dates=snapshot_dates, kind=kind)
 
-    titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
+    n_dates = len(snapshot_dates or files.matching(spark, f"{raw_path.rstrip('/')}/date=*"))
+    parts = ingest.parts_per_date(spark, n_dates)
+    titres = staging.build_titres(raw("tracks"), parts=parts).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw("artists"))
     root = staging_root.rstrip("/")
     rows = lake_sink.run_concurrently(
         spark,
         {
-            "titres": lambda: lake_sink.counted_write(titres, f"{root}/titres", "titres"),
+            "titres": lambda: lake_sink.counted_write(titres, f"{root}/titres", "titres", rebalance=False),
             "artistes": lambda: lake_sink.counted_write(artistes, f"{root}/artistes", "artistes"),
         }
     )

@@ -32,6 +32,8 @@ def raw_documents(titres: DataFrame, artistes: DataFrame) -> DataFrame:
     walk = F.struct(*[F.col(c).cast("long").alias(c) for c in places]) if walked else F.lit(None).cast(schemas.WALK)
     track = F.struct(*[F.col(c) for c in schemas.TRACK_COLUMNS])
     artist = F.struct(*[F.col(c) for c in schemas.ARTIST_COLUMNS])
+    # repeats of an artist side by side compress on their way
+    artistes = artistes.sortWithinPartitions("date", "id")
     track_docs = titres.select(
         F.array(track).alias("tracks"),
         F.lit(None).cast(schemas.RAW_DOCUMENT["artists"].dataType).alias("artists"),

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hitparade import schemas
 from hitparade.functions import path_snapshot_date, validated_date
-from hitparade.operators import quality, staging
+from hitparade.operators import ingest, quality, staging
 from hitparade.operators import star as star_ops
 from hitparade.plans import daily
 from hitparade.sinks import lake as lake_sink
@@ -117,12 +117,13 @@ def rebuild_snapshots(
     def raw(kind: str) -> DataFrame:
         return raw_src.read_raw(spark, raw_root, snapshot_dates=dates, kind=kind)
 
-    titres = staging.build_titres(raw("tracks")).withColumn("date", F.col("date_snapshot"))
+    parts = ingest.parts_per_date(spark, len(dates))
+    titres = staging.build_titres(raw("tracks"), parts=parts).withColumn("date", F.col("date_snapshot"))
     artistes = staging.build_artistes(raw("artists"))
     lake_sink.run_concurrently(
         spark,
         {
-            "titres": lambda: lake_sink.counted_write(titres, f"{staging_root}/titres", "titres"),
+            "titres": lambda: lake_sink.counted_write(titres, f"{staging_root}/titres", "titres", rebalance=False),
             "artistes": lambda: lake_sink.counted_write(artistes, f"{staging_root}/artistes", "artistes"),
         }
     )

@@ -352,3 +352,35 @@ def test_a_star_to_write_has_its_dedup_once(spark):
     star = entry._star_to_write(spark, entry.SMOKE_DIR)
     for t in ("fait_popularite", "dim_titre", "dim_date"):
         assert "Window" not in star.tables()[t]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staging_titles_are_shuffled_once(spark, tmp_path):
+    from hitparade.operators import ingest, staging
+
+    raw, stg = str(tmp_path / "raw"), str(tmp_path / "staging")
+    tracks = [(i % 7, f"t{i % 7}", 100, i, None, 1.0, False, i % 3, g, d, g, p) for d in ("2026-09-05", "2026-09-06")
+              for i in range(20) for g in (1, 2) for p in (i,)] + [(None, "n", 1, 1, None, None, True, 1, 1, "2026-09-05", 1, 5)] * 2
+    titres = spark.createDataFrame(
+        tracks,
+        "id long, title string, duration int, rank long, bpm double, gain double, explicit_lyrics boolean, "
+        "artist_id long, genre_id long, date_snapshot string, genre_ordinal long, position long",
+    )
+    artistes = spark.createDataFrame([(1, "a", 5, 1, "2026-09-05")] * 3, "id long, name string, nb_fan long, nb_album long, date string")
+    raw_sink.land_raw(titres, artistes, raw)
+    made = staging.build_titres(raw_src.read_raw(spark, raw, kind="tracks"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(date_snapshot" in plan and "_part" in plan
+    rows = daily.run_staging(spark, raw, stg).rows
+    assert rows == {"titres": 15, "artistes": 1}
+    want = ingest.first_seen(titres, order=("genre_ordinal", "position")).select(*schemas.TRACK_COLUMNS, "date_snapshot")
+    got = lake_src.read_table(spark, stg, "titres", schema=schemas.TITRES).select(*want.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert ingest.parts_per_date(spark, 1) >= ingest.parts_per_date(spark, 1000) == ingest.PARTS_PER_DATE
+
+
+def test_kept_entries_with_fewer_columns_are_the_same_entries(spark):
+    whole = landing.kept_entries(spark, SF)
+    for last in ("artist_id", "rank"):
+        some = landing.kept_up_to(spark, SF, last)
+        assert "explicit_lyrics" not in some.columns
+        assert sorted(map(repr, some.collect())) == sorted(map(repr, whole.select(*some.columns).collect()))
